@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from .decontaminate import op6_decontaminate
+from .packing import op5_packing
+from .token_counts import op3_token_counts
+from .token_files import op4_token_files
 
-QUERIES = {f.__name__: f for f in (op6_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op3_token_counts, op4_token_files, op5_packing, op6_decontaminate)}
 ORACLES: dict[str, str] = {}

@@ -1,9 +1,9 @@
 """Token ids from the tokenizers library, one encoding per distinct word.
 
-Both kinds of tokenizer split a text into words before they merge, and a word's
-ids depend on the word alone. A worker therefore lets the library encode each
-distinct word once and joins the ids. Texts for which the split cannot be proven
-equal to the library's (rare characters, added tokens) are encoded whole.
+The tokenizers used here split a text at white space before they merge, and the
+ids of a word depend on that word alone. A worker lets the library encode each
+distinct word (what stands between spaces or line ends) once and joins the ids.
+Texts with white space that could be split otherwise are encoded whole.
 """
 
 from __future__ import annotations
@@ -11,13 +11,9 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
-import unicodedata
+from array import array
 
-import numpy as np
-
-BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]+|_+)+|\s+(?!\S)|\s+"
-WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]+|_+)+"
+WIDTH = {"<u2": "H", "<u4": "I"}
 
 
 def vocabulary(name: str) -> str:
@@ -26,18 +22,6 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@functools.cache
-def odd_characters() -> re.Pattern:
-    """Characters that Python's classes and the library's may judge differently."""
-    odd = [c for c in range(0x80, 0x10000) if unicodedata.category(chr(c)) in ("Nl", "No", "Cn", "Cs") or c in (0x130, 0x3A3)]
-    ranges, first = [], odd[0]
-    for a, b in zip(odd, [*odd[1:], None], strict=True):
-        if b != a + 1:
-            ranges.append(f"\\U{first:08x}-\\U{a:08x}")
-            first = b
-    return re.compile("[\\x1c-\\x1f" + "".join(ranges) + "\U00010000-\U0010ffff]")
-
-
 class Memo(dict):
     """word -> ids as bytes. Of two generations the older goes when the younger is full."""
 
@@ -45,7 +29,7 @@ class Memo(dict):
         super().__init__()
         self.encode, self.limit, self.old = encode, limit, {}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str):
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
@@ -57,41 +41,38 @@ class Memo(dict):
 
 
 class Encoder:
-    """encode(text): the ids of the library's encode(text, add_special_tokens=False), as bytes of `dtype`."""
+    """encode(text): the ids of the library's encode(text, add_special_tokens=False), as bytes."""
 
     def __init__(self, path: str, dtype: str, memo_words: int = 400_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype(dtype)
+        self.tokenizer, self.code = Tokenizer.from_file(path), WIDTH[dtype]
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        kind, norm = spec["pre_tokenizer"]["type"], (spec.get("normalizer") or {}).get("type")
-        added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.lower = norm == "Sequence"
-        self.words = re.compile(WORD_LEVEL if self.lower else BYTE_LEVEL).findall
-        self.known = (kind, norm) in (("ByteLevel", None), ("Sequence", "Sequence"))
-        self.memo = Memo(self.whole, memo_words)
+        split = spec["pre_tokenizer"]["type"]
+        normal = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        if split == "ByteLevel" and not spec.get("normalizer") and not spec["pre_tokenizer"]["add_prefix_space"]:
+            self.encode = self.spaced  # a word's ids hold the space before it
+        elif split == "Sequence" and normal == ["NFC", "Replace", "Lowercase"]:
+            self.encode = self.dropped  # white space has no ids
+        else:
+            self.encode = self.whole
+        self.word = Memo(lambda w: self.whole(w) if w else b"", memo_words)
+        self.tail = Memo(lambda w: self.whole(w if w[0] == "\n" else f" {w}"), memo_words)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if not self.known or self.added and self.added.search(text):
-            return self.whole(text)
-        if text.isascii():
-            if odd_characters().search(text):
-                return self.whole(text)
-            text = text.lower() if self.lower else text
-        elif odd_characters().search(text):
+    def dropped(self, text: str) -> bytes:
+        return b"".join(map(self.word.__getitem__, text.replace("\n", " ").split(" ")))
+
+    def spaced(self, text: str) -> bytes:
+        words = text.replace("\n", " \n").split(" ")
+        single = text.split()
+        # each word is followed by exactly one space or line end, and the last by none
+        if len(single) != len(words) or sum(map(len, single)) + len(words) - 1 != len(text):
             return self.whole(text)
-        elif self.lower:
-            lower = text.lower()
-            if not (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower)):
-                return self.whole(text)
-            text = lower
-        return b"".join(map(self.memo.__getitem__, self.words(text)))
+        return self.whole(words[0]) + b"".join(map(self.tail.__getitem__, words[1:]))
 
 
 @functools.lru_cache(maxsize=2)
