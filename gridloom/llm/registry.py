@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from .decontaminate import op6_decontaminate
+from .language_id import op2_language_id
 from .packing import op5_packing
 from .token_counts import op3_token_counts
 from .token_files import op4_token_files
+from .topk_search import ORACLE as TOPK
+from .topk_search import op9_topk_search
+from .toxicity import op8_toxicity
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_token_files, op5_packing, op6_decontaminate)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_counts, op4_token_files, op5_packing, op6_decontaminate, op8_toxicity, op9_topk_search)}
+ORACLES: dict[str, str] = {"op9_topk_search": TOPK}
