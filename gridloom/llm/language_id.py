@@ -133,12 +133,12 @@ def fit_vote(rows: DataFrame, column: str, names: list[str]) -> Vote:
         pair = rows.where(F.col(column).isin(names[i], names[j])).withColumn("label", (F.col(column) == names[i]).cast("double"))
         share = pair.agg(F.avg("label")).first()[0]
         pair = pair.withColumn("weight", F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share)))
-        fitted = LinearSVC(maxIter=25, regParam=1e-3, weightCol="weight", standardization=False).fit(pair)
+        fitted = LinearSVC(maxIter=20, regParam=1e-3, weightCol="weight", standardization=False).fit(pair)
         machines[i, j] = (fitted.coefficients.toArray(), fitted.intercept)
     return Vote(names, machines)
 
 
-def train(docs: DataFrame, per_language: int = 800, families: dict[str, str] | None = None) -> Model:
+def train(docs: DataFrame, per_language: int = 1_000, families: dict[str, str] | None = None) -> Model:
     """Fits on rows with a lang and letters, of each language about `per_language` at most,
     chosen by a fixed hash of the text, so that copies count alike. No such row gives a
     model that answers `und`; a single language is always its answer."""
@@ -151,7 +151,7 @@ def train(docs: DataFrame, per_language: int = 800, families: dict[str, str] | N
     scratch = Scratch(spark, "language-id")
     family = F.coalesce(F.try_element_at(F.create_map(*(F.lit(v) for kv in sorted(of.items()) for v in kv)), F.col("lang")), F.col("lang")) if of else F.col("lang")
     sample = scratch.write(with_profiles(chosen).withColumn("family", family), "sample")
-    rows = sample.repartition(6).select("lang", "family", array_to_vector("profile").alias("features")).cache()
+    rows = sample.repartition(4).select("lang", "family", array_to_vector("profile").alias("features")).cache()
     langs: dict[str, list[str]] = {}
     for r in rows.select("family", "lang").distinct().collect():
         langs.setdefault(r.family, []).append(r.lang)

@@ -10,6 +10,7 @@ from .token_files import op4_token_files
 from .topk_search import ORACLE as TOPK
 from .topk_search import op9_topk_search
 from .toxicity import op8_toxicity
+from .url_filter import op10_url_filter
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_counts, op4_token_files, op5_packing, op6_decontaminate, op8_toxicity, op9_topk_search)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_token_counts, op4_token_files, op5_packing, op6_decontaminate, op8_toxicity, op9_topk_search, op10_url_filter)}
 ORACLES: dict[str, str] = {"op9_topk_search": TOPK}

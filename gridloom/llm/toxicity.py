@@ -43,7 +43,7 @@ def sigmoid(x):
 
 
 class FTRL:
-    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0):
+    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 12.0, l2: float = 1.0):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(BIAS + 1), np.zeros(BIAS + 1)
 
@@ -63,7 +63,7 @@ class FTRL:
         self.n[at] = n + g * g
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: int = 2) -> DataFrame:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: int = 3) -> DataFrame:
     """(index, weight) of the non-zero weights, from at most about `max_rows` labelled rows.
 
     `labels` holds doc_id and toxic (0 or 1; other values and nulls are passed over; an
@@ -85,9 +85,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: in
                 found += [f.astype(np.int32) for f in features(batch.column(0).slice(a, b - a))]
             label += batch.column(1).to_pylist()
         model = FTRL()
+        toxic = sum(label)
+        # the rarer class is shown more often, up to ten times
+        times = [min(10, max(1, round((len(label) - n) / max(1, n)))) for n in (len(label) - toxic, toxic)]
         for _ in range(epochs):
             for f, y in zip(found, label, strict=True):
-                model.learn(f, y)
+                for _ in range(times[y]):
+                    model.learn(f, y)
         w = model.weights()
         some = np.flatnonzero(w) if label else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_pydict({"index": some, "weight": w[some]})
