@@ -1,0 +1 @@
+"""Tidy, validated monthly series from irregular statistical releases, as Spark jobs."""

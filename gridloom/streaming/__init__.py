@@ -1,0 +1 @@
+"""Feeds are full reloads; nothing here is incremental, so no streaming job is built."""
