@@ -32,9 +32,7 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out; documents of which no word is left go."""
-    found = decontaminate.find_contamination(docs, documents(spark, sf_dir, "benchmark"), clean=True)
-    empty = (F.size("spans") > 0) & (F.trim(F.translate("text", "\t\r\n", "   ")) == "")
-    return with_length(docs, found.where(~empty | F.col("text").isNull()).select(*docs.columns))
+    return with_length(docs, decontaminate.remove_contamination(docs, documents(spark, sf_dir, "benchmark")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

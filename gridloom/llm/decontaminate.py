@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, ship
+from .common import documents, ship
 from .textbytes import pieces
 
 #: A-Z to a-z; 0-9, a-z and all bytes of non-ASCII characters stay; the rest ends a word.
@@ -27,7 +27,6 @@ WORD_TABLE = bytes(
 )
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 SAMPLE = 8
-OUT = "doc_id long, n_words long, items array<string>, spans array<struct<start:long,end:long>>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -217,37 +216,19 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int, window: int) -> lis
     return [Phrases(sorted((r.item_id, r.text) for r in items.where(F.col("block") == i).collect()), window) for i in range(n)]
 
 
-def find_contamination(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    window: int = 10,
-    clean: bool = False,
-    shard_bytes: int = 24 << 20,
-    block_bytes: int = 16 << 20,
-) -> DataFrame:
-    """Per document: doc_id, n_words, items that occur, merged word spans; with `clean`
-    also text (the text without the spans) and the row's other columns.
-
-    Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased in
-    A-Z only. Windows are `window` words; a shorter item is one window, an item
-    without words none. Null or empty text: no words, no spans, text unchanged.
-    Repeated rows are each judged; an empty table gives an empty table; items with
-    null id or text take no part; other columns of either table don't matter.
-    """
+def scan(docs: DataFrame, benchmark: DataFrame, window: int, shard_bytes: int, block_bytes: int, schema: str, kept: list[str], make) -> DataFrame:
+    """Searches every shard for every block of phrases; `make(part, texts, counts, items, spans)`
+    gives the columns of `schema` for the rows of a shard, of which `kept` are read."""
     spark = docs.sparkSession
     ship(spark)
     blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, block_bytes, window)]
-    others = [f.name for f in docs.schema.fields if f.name not in ("doc_id", "text")] if clean else []
-    types = dict(docs.dtypes)
-    schema = OUT.replace("doc_id long", f"doc_id {types['doc_id']}") + (", text string" if clean else "")
-    schema += "".join(f", `{c}` {types[c]}" for c in others)
 
     def run(batches):
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("text"))
             for a, b in pieces(column, shard_bytes):
                 part = batch.slice(a, b - a)
-                strings = part.column(part.schema.get_field_index("text")).cast(pa.large_binary()).to_pylist()
+                strings = column.slice(a, b - a).cast(pa.large_binary()).to_pylist()
                 texts = [t or b"" for t in strings]
                 items: list[set[str]] = [set() for _ in texts]
                 spans: list[list[tuple[int, int]]] = [[] for _ in texts]
@@ -257,25 +238,50 @@ def find_contamination(
                     for doc, (which, found) in hits.items():
                         items[doc].update(x for k in which for x in block.value.items[k])
                         spans[doc].extend(found)
-                merged = [merge(s) for s in spans]
-                out = {
-                    "doc_id": part.column(part.schema.get_field_index("doc_id")),
-                    "n_words": pa.array(counts, pa.int64()),
-                    "items": pa.array([sorted(s) for s in items], pa.list_(pa.string())),
-                    "spans": pa.array(
-                        [[{"start": x, "end": y} for x, y in s] for s in merged],
-                        pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
-                    ),
-                }
-                if clean:
-                    out["text"] = pa.array(
-                        [t if t is None or not s else cut_words(t, s) for t, s in zip(strings, merged, strict=True)], pa.binary()
-                    ).cast(pa.string())
-                for c in others:
-                    out[c] = part.column(part.schema.get_field_index(c))
-                yield pa.RecordBatch.from_pydict(out)
-
-    return docs.select("doc_id", "text", *others).mapInArrow(run, schema)
+                yield make(part, strings, counts, items, [merge(s) for s in spans])
+
+    return docs.select(*kept).mapInArrow(run, schema)
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: int = 24 << 20, block_bytes: int = 16 << 20) -> DataFrame:
+    """Per document: doc_id, n_words, items that occur, merged word spans.
+
+    Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased in
+    A-Z only. Windows are `window` words; a shorter item is one window, an item
+    without words none. Null or empty text: no words, no spans.
+    Repeated rows are each judged; an empty table gives an empty table; items with
+    null id or text take no part; other columns of either table don't matter.
+    """
+
+    def make(part, strings, counts, items, spans):
+        return pa.RecordBatch.from_arrays(
+            [
+                part.column(0),
+                pa.array(counts, pa.int64()),
+                pa.array([sorted(s) for s in items], pa.list_(pa.string())),
+                pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            ],
+            names=["doc_id", "n_words", "items", "spans"],
+        )
+
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, items array<string>, spans array<struct<start:long,end:long>>"
+    return scan(docs, benchmark, window, shard_bytes, block_bytes, schema, ["doc_id", "text"], make)
+
+
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: int = 24 << 20, block_bytes: int = 16 << 20) -> DataFrame:
+    """The rows, of all their columns, with the merged spans cut out of text; a row that
+    loses its last word goes. Other rows, null and empty texts included, stay as they are."""
+    columns = docs.columns
+
+    def make(part, strings, counts, items, spans):
+        texts = [cut_words(t, s) if s else t for t, s in zip(strings, spans, strict=True)]
+        stay = pa.array([not s or bool(WORD.search(t)) for t, s in zip(texts, spans, strict=True)], pa.bool_())
+        text = pa.array(texts, pa.binary()).cast(pa.string())
+        arrays = [text if c == "text" else part.column(i) for i, c in enumerate(columns)]
+        return pa.RecordBatch.from_arrays(arrays, names=columns).filter(stay)
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
+    return scan(docs, benchmark, window, shard_bytes, block_bytes, schema, columns, make)
 
 
 def items_digest(items: Column) -> Column:
