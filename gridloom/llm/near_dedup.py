@@ -6,7 +6,9 @@ gives two signature values; bands of four values put classes into buckets. Of a
 bucket not all pairs are made: members are first compared with the bucket's pivot,
 then, where a bucket still spans several components, with members of many links,
 and last all pairs that stand in different components and were not compared yet.
-So no link that could join components is passed over. Every link is confirmed on the full sets.
+So no link that could join components is passed over. Before sets are fetched, the parities
+of a set's hashes in 1024 cells bound from below in how many shingles two sets differ.
+Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ HASHES = 64
 BAND = 4
 HUBS = 8
 LIMIT = 2 << 20
+CELLS = 1024
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=U)) | U(1)
 ADDENDS = mix(np.arange(1001, HASHES + 1001, dtype=U))
-CLASS = "c binary, n long"
 
 
 def shingle_sets(column: pa.Array, words: int):
@@ -57,24 +59,38 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """CELLS bits of each set: whether an odd number of its hashes falls into the cell."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    cell = (np.concatenate(sets) >> U(54)).astype(np.int64) + owner * CELLS
+    odd = (np.bincount(cell, minlength=len(sets) * CELLS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(-1, CELLS), axis=1).view(np.int64)
+
+
+def flat_lists(rows: np.ndarray, some: np.ndarray) -> pa.Array:
+    """An array column: a row of `rows` where `some`, else an empty list."""
+    ends = np.concatenate(([0], np.cumsum(np.where(some, rows.shape[1], 0))))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rows.ravel()))
+
+
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """Per row: doc_id, n (size of its set), c (its class; null for an empty set), bands."""
+    """Per row: doc_id, n (size of its set), c (its class; null for an empty set), bands, odd."""
     ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
             for a, b, sets in shingle_sets(batch.column(1), words):
                 full = [s for s in sets if len(s)]
+                some = np.array([len(s) > 0 for s in sets])
                 keys = band_keys(full) if full else np.zeros((0, HASHES * 2 // BAND), np.int64)
-                each = np.array([keys.shape[1] if len(s) else 0 for s in sets])
-                bands = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(each))), pa.int32()), pa.array(keys.ravel()))
+                odd = parities(full) if full else np.zeros((0, CELLS // 64), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests(sets), pa.binary()), bands],
-                    names=["doc_id", "n", "c", "bands"],
+                    [batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests(sets), pa.binary()), flat_lists(keys, some), flat_lists(odd, some)],
+                    names=["doc_id", "n", "c", "bands", "odd"],
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, c binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, c binary, bands array<long>, odd array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -92,6 +108,13 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "c binary, shingles array<long>")
 
 
+def may_link(n_a, n_b, odd_a, odd_b, percent: int):
+    """No two sets of the needed similarity fail this: their sizes are like, and the
+    difference that parities show is no greater than such sets can have."""
+    differ = sum((F.bit_count(odd_a[i].bitwiseXOR(odd_b[i])) for i in range(CELLS // 64)), F.lit(0))
+    return size_fits(n_a, n_b, percent) & ((100 + percent) * differ <= (100 - percent) * (n_a + n_b))
+
+
 def size_fits(n_a, n_b, percent: int):
     return (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
 
@@ -120,7 +143,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     docs = docs.select("doc_id", "text")
     signed = scratch.write(signatures(docs, words), "signed")
     classes = scratch.write(
-        signed.where("c is not null").groupBy("c", "n").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands")), "classes"
+        signed.where("c is not null").groupBy("c", "n").agg(F.min("doc_id").alias("least"), F.any_value("bands").alias("bands"), F.any_value("odd").alias("odd")), "classes"
     )
     rows = classes.select("c", "n", F.explode("bands").alias("key"))
     buckets = scratch.write(
@@ -136,7 +159,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     seen = scratch.write(confirm(pairs, sets, percent), "seen-0")
     labels = components(seen.where("ok"), scratch, "labels-0")
     for turn, make in enumerate((hub_pairs, open_pairs), 1):
-        spread = scratch.write(spanning(members, labels), f"spread-{turn}")
+        spread = scratch.write(spanning(members, labels).join(classes.select("c", "odd"), "c"), f"spread-{turn}")
         if spread.isEmpty():
             break
         more = make(spread, seen, percent).join(seen.select("a", "b"), ["a", "b"], "left_anti")
@@ -178,16 +201,16 @@ def hub_pairs(spread: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
         .where("comp = main")
         .join(links, "c")
         .groupBy("key", "main", F.pmod(F.xxhash64("c"), F.lit(HUBS)).alias("salt"))
-        .agg(F.max(F.struct("links", "c", "n")).alias("hub"))
+        .agg(F.max(F.struct("links", "c", "n", "odd")).alias("hub"))
     )
-    out = spread.join(best, "key").where("comp <> main").where(size_fits(F.col("n"), F.col("hub.n"), percent))
+    out = spread.join(best, "key").where("comp <> main").where(may_link(F.col("n"), F.col("hub.n"), F.col("odd"), F.col("hub.odd"), percent))
     return out.select(*ordered(F.col("c"), F.col("hub.c"))).distinct()
 
 
 def open_pairs(spread: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that are in different components."""
-    other = spread.select("key", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    out = spread.join(other, "key").where("c < c2 and comp <> comp2").where(size_fits(F.col("n"), F.col("n2"), percent))
+    """All pairs of a bucket that are in different components and may be linked."""
+    other = spread.select("key", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("odd").alias("odd2"))
+    out = spread.join(other, "key").where("c < c2 and comp <> comp2").where(may_link(F.col("n"), F.col("n2"), F.col("odd"), F.col("odd2"), percent))
     return out.select(*ordered(F.col("c"), F.col("c2"))).distinct()
 
 
