@@ -1,0 +1,126 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tests.llm import helpers as h
+
+from gridloom.llm import language_id, topk_search, toxicity, url_filter
+
+SYLLABLES = {"en": "th he in er an re nd at on".split(), "de": "sch ein ich der und ung ü".split(), "es": "que ción os la ñ el ar".split(), "fr": "eau eux é ç la des oi".split(), "xx": "zz kk qq ww".split()}
+
+
+def prose(rng, lang, n=30):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+
+
+def test_language_id(spark):
+    rng = random.Random(1)
+    langs = [rng.choice(list(SYLLABLES)) for _ in range(300)]
+    docs = h.docs_of(spark, [prose(rng, x) for x in langs], langs=langs)
+    model = language_id.train(docs)
+    odd = [None, "", " ", "12 34 !!", "A.", prose(rng, "de", 400_000)]
+    tests = [prose(rng, x) for x in SYLLABLES]
+    got = {r.doc_id: r for r in language_id.predict(h.docs_of(spark, odd + tests), model).collect()}
+    assert [got[i].lang_pred for i in range(4)] == ["und"] * 4 and all(got[i].score == 0 for i in range(4))
+    assert got[4].lang_pred != "und" and got[5].lang_pred == "de"
+    assert [got[6 + k].lang_pred for k in range(5)] == list(SYLLABLES) and all(0 <= r.score <= 1 for r in got.values())
+    assert got[6].items == "i"
+    none = language_id.train(docs.where("lang is null"))
+    assert {r.lang_pred for r in language_id.predict(docs, none).collect()} == {"und"}
+    single = language_id.train(docs.where("lang = 'en'"))
+    assert {r.lang_pred for r in language_id.predict(docs, single).collect()} == {"en"}
+    assert language_id.predict(docs.limit(0), model).count() == 0
+
+
+def test_long_profiles_are_in_pieces():
+    raw = np.frombuffer(b"the cat and the dog " * 500, np.uint8)
+    assert np.allclose(language_id.long_profile(raw, 4000), language_id.profile(raw), atol=0.02)
+
+
+def test_toxicity(spark):
+    rng = random.Random(2)
+    toxic = [rng.random() < 0.15 for _ in range(900)]
+    texts = [prose(rng, "en", 60).split() for _ in toxic]
+    for t, bad in zip(texts, toxic, strict=True):
+        if bad:
+            t[rng.randrange(60)] = rng.choice(["vile", "rotten"]) + rng.choice(["", "s", "est"])
+    docs = h.docs_of(spark, [" ".join(t) for t in texts])
+    labels = spark.createDataFrame([(i, int(b), "x") for i, b in enumerate(toxic) if i < 600] + [(None, 1, "x"), (3, None, "x"), (4, 7, "x"), (5, int(toxic[5]), "x")], "doc_id long, toxic int, text string")
+    found = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    held = [(found[i], toxic[i]) for i in range(600, 900)]
+    assert np.mean([(s >= 0.5) == t for s, t in held]) > 0.97
+    odd = toxicity.score(h.docs_of(spark, [None, "", "!!", "word " * 300_000]), toxicity.train(docs, labels)).collect()
+    assert all(0 <= r.score <= 1 for r in odd) and len(odd) == 4
+    none = toxicity.train(docs, labels.limit(0))
+    assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), none).count() == 0
+
+
+URLS = [None, "", "no scheme", "HTTP://A.Example.COM/en/7?x=1", "http://example.com/en/x#y", "https://b.example.net/de/81", "https://net/de/", "http://xnet/de/", "http://org", "http://org/es/q", "ftp://h?a://b/c", "://com/en/", "http://com:80/en/", "http://com/EN/", "http://a\n.com/en/z"]
+
+
+def plain(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    i = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host, path = rest[:i].translate(h.LOW), rest[i:]
+    path = path[: min([path.find(c) for c in "?#" if c in path], default=len(path))]
+    fits = [(len(r), r, v) for v, r in url_filter.RULES if ("." + host).endswith("." + r.partition("/")[0]) and path.startswith("/" + r.partition("/")[2])]
+    best = max(fits, default=(0, None, None))
+    return host, path, best[1], best[2]
+
+
+def test_url_filter(spark):
+    rng = random.Random(3)
+    more = [f"http://{rng.choice(['cheap-pills-777', 'news'])}{i}.example.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['en', 'de', 'es', 'fr'])}/{i}?a=1&b=2" for i in range(300)]
+    pages = spark.createDataFrame([(i, u, "s", "r", 1.0) for i, u in enumerate([*URLS, *more, more[0]])], "page_id long, url string, _suffix string, rule string, label double")
+    got = {r.page_id: r for r in url_filter.judge(pages).collect()}
+    assert len(got) == pages.count()
+    for i, u in enumerate([*URLS, *more]):
+        host, path, rule, verdict = plain(u)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule), u
+        assert got[i].verdict == verdict if verdict else got[i].verdict in ("allow", "block")
+    assert all(0 <= r.score <= 1 for r in got.values())
+    plan = url_filter.judge(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert {r.verdict for r in url_filter.judge(pages.where("url like 'no%'")).collect()} == {"allow"}
+    assert url_filter.judge(pages.limit(0)).count() == 0 and url_filter.judge(pages, rules=()).count() == pages.count()
+
+
+def brute(vectors, queries, k):
+    out = []
+    for q, (qi, qv) in enumerate(queries):
+        scored = sorted((-sum(a * b for a, b in zip(qv, v, strict=True)), i) for i, v in vectors)
+        scored.remove((-sum(a * a for a in qv), qi))
+        out += [(qi, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block_rows", [20_000, 7])
+def test_top_k(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(topk_search, "BLOCK", 8)
+    rng = random.Random(4)
+    vectors = [(i, [rng.choice([-1.0, -0.3, 0.0, 0.25, 0.5]) for _ in range(4)]) for i in range(300)]
+    vectors += [(10, vectors[10][1]), (10, vectors[10][1]), (50, [0.5] * 4)]  # repeated ids
+    odd = [(1000, None), (1001, [1.0, None, 0.0, 0.0]), (1002, [1.0, float("nan"), 0.0, 0.0]), (1003, [1.0, float("inf"), 0.0, 0.0]), (1004, [9.0, 9.0]), (1005, [])]
+    table = spark.createDataFrame([(*x, 1, 2) for x in vectors + odd], "vec_id long, embedding array<float>, label int, score int").repartition(5)
+    got = topk_search.top_k(table, table.where("vec_id % 10 = 0"), 5, 256, block_rows)
+    whole = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in vectors]
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == brute(whole, [x for x in whole if x[0] % 10 == 0], 5)
+    few = table.where("vec_id in (20, 30)")
+    assert sorted((r.query_id, r.vec_id) for r in topk_search.top_k(few, few).collect()) == [(20, 30), (30, 20)]
+    assert topk_search.top_k(table.limit(0), table.limit(0)).count() == 0
+    big = spark.createDataFrame([(i, [float(1 << 22) + i, 1.0]) for i in range(20)], "vec_id long, embedding array<double>")
+    assert topk_search.top_k(big, big.where("vec_id = 0"), 1).first().vec_id == 19
+
+
+def test_blocks_are_skipped(monkeypatch):
+    seen = []
+    add = topk_search.Best.add
+    monkeypatch.setattr(topk_search.Best, "add", lambda self, rows, *a: (seen.append(len(rows)), add(self, rows, *a))[1])
+    rng = np.random.default_rng(1)
+    rows = np.repeat(np.eye(16, dtype=np.int64) * 1000, 300, axis=0) + rng.integers(0, 50, (4800, 16))
+    topk_search.search(np.arange(4800), rows, rows[::100], 5)
+    assert sum(seen) < 0.4 * 48 * (4800 // topk_search.BLOCK)
