@@ -65,7 +65,7 @@ def long_profile(raw: np.ndarray, step: int = 8 << 20) -> np.ndarray:
 
 
 def profiles(column: pa.Array):
-    for a, b in pieces(column, 4 << 20):
+    for a, b in pieces(column, 4 << 20, 1024):
         raw, off = text_buffer(column.slice(a, b - a))
         yield a, b, np.array([long_profile(raw[x:y]) for x, y in zip(off[:-1], off[1:], strict=True)]).reshape(-1, DIMS)
 

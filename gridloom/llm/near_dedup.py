@@ -26,6 +26,7 @@ HASHES = 64
 BAND = 4
 HUBS = 8
 LIMIT = 2 << 20
+ROWS = 2048
 CELLS = 1024
 FACTORS = mix(np.arange(1, HASHES + 1, dtype=U)) | U(1)
 ADDENDS = mix(np.arange(1001, HASHES + 1001, dtype=U))
@@ -33,7 +34,7 @@ ADDENDS = mix(np.arange(1001, HASHES + 1001, dtype=U))
 
 def shingle_sets(column: pa.Array, words: int):
     """(a, b, [sorted distinct shingle hashes of each text]) of slices of the column."""
-    for a, b in pieces(column, LIMIT):
+    for a, b in pieces(column, LIMIT, ROWS):
         hashes, first, *_ = word_hashes(*text_buffer(column.slice(a, b - a)), SPACE)
         grams, start = ngram_hashes(hashes, first, words)
         yield a, b, [np.unique(grams[x:y]) for x, y in zip(start[:-1], start[1:], strict=True)]

@@ -143,7 +143,6 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataF
     ship(docs.sparkSession)
     dtype = id_type(tokenizer)
     end = np.array([end_id], dtype).tobytes()
-    width = len(end)
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
@@ -169,7 +168,6 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataF
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "shard", "nth"],
                 )
 
-    assert width == np.dtype(dtype).itemsize
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, shard int, nth long")
 
 

@@ -24,12 +24,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def pieces(column: pa.Array, limit: int):
-    """Slices of a column, each of whole texts: up to `limit` bytes, or one longer text."""
+def pieces(column: pa.Array, limit: int, rows: int | None = None):
+    """Slices of a column, each of whole texts: up to `limit` bytes and `rows` rows, or one longer text."""
     _, off = text_buffer(column)
     at, n = 0, len(column)
     while at < n:
         to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
+        to = min(to, at + rows) if rows else to
         yield at, to
         at = to
 
