@@ -1,4 +1,3 @@
-import dataclasses
 from datetime import date
 
 import pytest
@@ -73,7 +72,7 @@ def test_index_oddities(spark, folder):
     grid = [["Mes", 2020, "2021.0", 2020, "Nota"], [" ENERO ", 1, 2, 99, 5], ["Sept", 7, 7, 7, 7], ["Febrero", "n.d.", 4, 98, 5]]
     cells = read_cells(spark, wb.write(folder / "odd.xlsx", {"S": grid}))
     rows = clean.clean_index(cells, "d", IndexFeed(sheet=None, header_row=None)).orderBy("date").collect()
-    assert [(r.year, r.month, r.ipc_index) for r in rows] == [(2020, 1, 1.0), (2020, 2, 98.0), (2021, 1, 2.0), (2021, 2, 4.0)] or [(r.year, r.month, r.ipc_index) for r in rows] == [(2020, 1, 1.0), (2021, 1, 2.0), (2021, 2, 4.0)]
+    assert [(r.year, r.month, r.ipc_index) for r in rows] == [(2020, 1, 1.0), (2021, 1, 2.0), (2021, 2, 4.0)]
 
 
 def test_flat_workbook(spark, folder):
@@ -195,4 +194,3 @@ def test_command_line(spark, tmp_path, monkeypatch):
 def test_feeds_of_the_command_line():
     args = type("A", (), {"all": False, "ipc": True, "unemployment": True})
     assert cli.chosen(args) == (feeds.run_index,)
-    assert dataclasses.is_dataclass(RateFeed)
