@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from pathlib import Path
@@ -55,6 +56,12 @@ class Scratch:
     def read(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
+    def tidy(self) -> None:
+        """Lets Spark delete shuffle files of steps whose results are written: it does so when
+        the driver's garbage collection finds their plans unused."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         for name in names:
             self._delete(self.path(name))

@@ -2,8 +2,8 @@
 
 A line is the set of its words. Lines of equal sets form a class whose first line
 stands for it. Words are ordered by rarity; two sets of similarity 0.8 or more
-share one of the rarest fifth of their words (prefix filter), have like sizes
-(length filter), and the first shared word leaves room for enough others (positional
+share one of the rarest fifth of their words, long ones up to four of slightly more (prefix
+filter), have like sizes (length filter), and the shared word leaves room for enough others (positional
 filter). Parities of hashed words bound the difference of two sets before both are
 fetched and the similarity is computed. A line that resembles an earlier one is removed.
 
@@ -23,6 +23,7 @@ CELLS = 1 << 15
 LARGE = 64
 PIVOTS = 8
 MASK = (1 << 56) - 1
+PAIR = ("xdoc_id", "xline_no", "ydoc_id", "yline_no")
 POSTING = ("doc_id", "line_no", "size", "pos", "parity")
 
 
@@ -30,33 +31,42 @@ def spaced(line) -> Column:
     return F.translate(line, "\t\r\f\x0b", "    ")
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), h: the hashes of the line's distinct lower-case words."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    words = F.transform(F.split(spaced(F.lower("line")), " "), lambda w: F.xxhash64(w))
-    return lines.select("doc_id", "line_no", F.array_remove(F.array_distinct(words), F.xxhash64(F.lit(""))).alias("h"))
+def hashed(line: Column) -> Column:
+    """The hashes of the line's distinct lower-case words."""
+    words = F.transform(F.split(spaced(F.lower(line)), " "), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(words), F.xxhash64(F.lit("")))
+
+
+def words_of(docs: DataFrame) -> DataFrame:
+    """w: the hash of every word, wherever it stands."""
+    word = docs.select(F.explode(F.split(spaced(F.translate(F.lower("text"), "\n", " ")), " ")).alias("w"))
+    return word.where("w <> ''").select(F.xxhash64("w").alias("w"))
 
 
-def rarity(lines: DataFrame) -> Column:
-    """An array of CELLS classes: the greatest line count (on a logarithmic scale) of the
-    words whose hash falls into a cell. Its size does not depend on the data."""
-    counts = lines.select(F.explode("h").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+def rarity(words: DataFrame) -> Column:
+    """An array of CELLS classes: the greatest count (on a logarithmic scale) of the words
+    whose hash falls into a cell. Its size does not depend on the data."""
+    counts = words.groupBy("w").agg(F.count("*").alias("n"))
     cells = counts.groupBy(F.pmod("w", F.lit(CELLS)).cast("int").alias("cell")).agg(F.max("n").alias("n"))
     found = {r.cell: r.scale for r in cells.select("cell", F.least(F.lit(126), F.floor(F.log2("n") * 3)).alias("scale")).collect()}
     return F.from_json(F.lit("[" + ",".join(str(found.get(i, 0)) for i in range(CELLS)) + "]"), "array<bigint>")
 
 
-def classes_of(lines: DataFrame, cells: Column) -> DataFrame:
+def classes_of(docs: DataFrame, cells: Column) -> DataFrame:
     """Per distinct set: size, its first line (doc_id, line_no), its prefix words and parity."""
-    cell = lambda w: F.element_at(cells, F.pmod(w, F.lit(CELLS)).cast("int") + 1)
-    code = F.transform("h", lambda w: F.shiftleft(cell(w), 56).bitwiseOR(w.bitwiseAND(F.lit(MASK))))
-    coded = lines.where(F.size("h") > 0).select("doc_id", "line_no", F.sort_array(code).alias("codes"))
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    cell = lambda w: F.element_at(cells, F.pmod(F.xxhash64(w), F.lit(CELLS)).cast("int") + 1)
+    # rarity above, 56 bits of the word's hash below
+    code = lambda w: F.shiftleft(cell(w), 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit(MASK)))
+    codes = F.array_distinct(F.transform(F.split(spaced(F.lower("line")), " "), code))
+    coded = lines.select("doc_id", "line_no", F.sort_array(F.array_remove(codes, code(F.lit("")))).alias("codes"))
+    coded = coded.where(F.size("codes") > 0)
     bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(c, 20).bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("codes", F.lit(0).cast("long"), lambda p, c: p.bitwiseXOR(bit(c)))
     size = F.size("codes")
     # other sets of fewer than 4 words can't be similar enough
     joins = size >= 4
-    prefix = F.slice("codes", F.lit(1), size - F.floor((4 * size + 4) / 5).cast("int") + 1)
+    prefix = F.slice("codes", F.lit(1), size - F.floor((4 * size + 4) / 5).cast("int") + shared_words(size))
     sets = coded.select(
         F.struct("doc_id", "line_no").alias("at"),
         size.alias("size"),
@@ -69,11 +79,18 @@ def classes_of(lines: DataFrame, cells: Column) -> DataFrame:
     return grouped.select("at.doc_id", "at.line_no", "size", "prefix", "parity")
 
 
+def shared_words(size: Column) -> Column:
+    """How many prefix words similar sets must share, the prefix being longer by as many
+    less 1: with more of them, long lines seldom meet by chance."""
+    return F.when(size >= 100, 4).when(size >= 50, 3).when(size >= 20, 2).otherwise(1)
+
+
 def close(x: str, y: str) -> Column:
     """y is the later; length, positional and parity filters of two postings of one word."""
     a, b = F.col(f"{x}size"), F.col(f"{y}size")
     overlap = F.floor((4 * (a + b) + 8) / 9)
-    room = 1 + F.least(a - F.col(f"{x}pos"), b - F.col(f"{y}pos")) - 1
+    # of the words that must be shared this one may be the last
+    room = F.least(a - F.col(f"{x}pos"), b - F.col(f"{y}pos")) + shared_words(F.least(a, b)) - 1
     differ = F.bit_count(F.col(f"{x}parity").bitwiseXOR(F.col(f"{y}parity")))
     return earlier(x, y) & (5 * a >= 4 * b) & (5 * b >= 4 * a) & (room >= overlap) & (differ <= a + b - 2 * overlap)
 
@@ -87,14 +104,18 @@ def side(postings: DataFrame, prefix: str) -> DataFrame:
 
 
 def pairs_of(x: DataFrame, y: DataFrame) -> DataFrame:
-    return side(x, "x").join(side(y, "y"), "word").where(close("x", "y")).select("xdoc_id", "xline_no", "ydoc_id", "yline_no")
+    found = side(x, "x").join(side(y, "y"), "word").where(close("x", "y"))
+    return found.select(*PAIR, shared_words(F.least("xsize", "ysize")).alias("shared"))
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The later line of each pair whose sets have a similarity of 0.8 or more."""
-    pairs = scratch.write(pairs.distinct(), f"{name}-pairs")
-    ends = pairs.select(F.col("xdoc_id").alias("doc_id")).union(pairs.select(F.col("ydoc_id").alias("doc_id"))).distinct()
-    sets = lines_of(docs.join(scratch.write(ends, f"{name}-ends"), "doc_id", "left_semi"))
+    pairs = scratch.write(pairs.select(*PAIR).distinct(), f"{name}-pairs")
+    scratch.tidy()
+    ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no"))
+    ends = scratch.write(ends.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted")), f"{name}-ends")
+    own = docs.join(ends, "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line_no"))
+    sets = own.where(F.col("line_no") < F.size("lines")).select("doc_id", "line_no", hashed(F.col("lines")[F.col("line_no")]).alias("h"))
     x = pairs.join(sets.withColumnsRenamed({"doc_id": "xdoc_id", "line_no": "xline_no", "h": "xh"}), ["xdoc_id", "xline_no"])
     both = x.join(sets.withColumnsRenamed({"doc_id": "ydoc_id", "line_no": "yline_no", "h": "yh"}), ["ydoc_id", "yline_no"])
     common = F.size(F.array_intersect("xh", "yh"))
@@ -104,14 +125,16 @@ def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> D
 
 def removed_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(the first line of each class, those of them that resemble an earlier line)."""
-    lines = lines_of(docs)
-    classes = scratch.write(classes_of(lines, rarity(lines)), "classes")
+    classes = scratch.write(classes_of(docs, rarity(words_of(docs))), "classes")
+    scratch.tidy()
     firsts = classes.select("doc_id", "line_no")
     postings = classes.where("prefix is not null").select("doc_id", "line_no", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
     words = scratch.write(postings.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words")
+    scratch.tidy()
     shared = postings.join(words, "word")
     small, large = shared.where(F.col("n") <= LARGE), scratch.write(shared.where(F.col("n") > LARGE).drop("n"), "large")
-    pairs = pairs_of(small, small)
+    # pairs that share a large group's word, too, are found there
+    pairs = pairs_of(small, small).groupBy(*PAIR, "shared").agg(F.count("*").alias("n")).where("n >= shared").drop("n")
     if large.isEmpty():
         return firsts, confirm(pairs, docs, scratch, "removed")
     salt = F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(PIVOTS))
@@ -150,10 +173,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         F.bool_or(~F.col("kept")).alias("_cut"),
         F.bool_or(F.col("kept") & ~F.col("blank")).alias("_words"),
     )
-    own = docs.join(scratch.write(numbers, "numbers"), "doc_id", "left")
-    parts = F.split("text", "\n")
+    # the rows travel as one struct, so that their columns' names can't clash
+    own = docs.select("doc_id", F.struct("*").alias("_row")).join(scratch.write(numbers, "numbers"), "doc_id", "left")
+    parts = F.split("_row.text", "\n")
     text = F.array_join(F.transform(F.filter("_keep", lambda i: i < F.size(parts)), lambda i: parts[i]), "\n")
-    return own.where(F.col("_cut").isNull() | ~F.col("_cut") | F.col("_words")).withColumn("text", F.when(F.col("_cut"), text).otherwise(F.col("text"))).select(*docs.columns)
+    whole = F.coalesce(~F.col("_cut"), F.lit(True))
+    return own.where(whole | F.col("_words")).select(F.when(whole, F.col("_row")).otherwise(F.col("_row").withField("text", text)).alias("_row")).select("_row.*")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,9 +200,19 @@ WITH l AS (
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)
 ), c AS (
   SELECT w, len(w) AS n, min({'d': doc_id, 'l': line_no}) AS f FROM l WHERE len(w) > 0 GROUP BY w
+), t AS (
+  SELECT f, n, unnest(w) AS word FROM c
+), d AS (
+  SELECT word, count(*) AS df FROM t GROUP BY word
+), r AS (
+  SELECT f, n, word, row_number() OVER (PARTITION BY f ORDER BY df, word) AS nth FROM t JOIN d USING (word)
+), g AS (
+  SELECT f, n, word FROM r WHERE nth <= n - (4 * n + 4) // 5 + 1
+), q AS (
+  SELECT DISTINCT x.f AS xf, y.f AS yf FROM g x JOIN g y ON x.word = y.word
+  WHERE x.f < y.f AND 5 * x.n >= 4 * y.n AND 5 * y.n >= 4 * x.n
 ), p AS (
-  SELECT DISTINCT greatest(x.f, y.f) AS f
-  FROM c x JOIN c y ON y.n BETWEEN x.n AND floor(1.25 * x.n) AND x.f <> y.f
+  SELECT DISTINCT yf AS f FROM q JOIN c x ON x.f = xf JOIN c y ON y.f = yf
   WHERE 9 * len(list_intersect(x.w, y.w)) >= 4 * (x.n + y.n)
 ), k AS (
   SELECT f FROM c WHERE f NOT IN (SELECT f FROM p)
