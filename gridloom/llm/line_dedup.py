@@ -4,8 +4,9 @@ A line is the set of its words. Lines of equal sets form a class whose first lin
 stands for it. Words are ordered by rarity; two sets of similarity 0.8 or more
 share one of the rarest fifth of their words, long ones up to four of slightly more (prefix
 filter), have like sizes (length filter), and the shared word leaves room for enough others (positional
-filter). Parities of hashed words bound the difference of two sets before both are
-fetched and the similarity is computed. A line that resembles an earlier one is removed.
+filter). Parities of hashed words bound the difference of two sets before the sets of both, 64-bit
+hashes of their words, are joined to the pair and the similarity is computed. A line that
+resembles an earlier one is removed. Texts are read once; all else works on the classes.
 
 Classes that share a common prefix word are not all paired: those of a large group are
 first compared with a few early members, and only what is not removed by then
@@ -37,46 +38,38 @@ def hashed(line: Column) -> Column:
     return F.array_remove(F.array_distinct(words), F.xxhash64(F.lit("")))
 
 
-def words_of(docs: DataFrame) -> DataFrame:
-    """w: the hash of every word, wherever it stands."""
-    word = docs.select(F.explode(F.split(spaced(F.translate(F.lower("text"), "\n", " ")), " ")).alias("w"))
-    return word.where("w <> ''").select(F.xxhash64("w").alias("w"))
+def classes_of(docs: DataFrame) -> DataFrame:
+    """Per distinct set: its first line (doc_id, line_no), size, sorted word hashes and their parity.
 
-
-def rarity(words: DataFrame) -> Column:
-    """An array of CELLS classes: the greatest count (on a logarithmic scale) of the words
-    whose hash falls into a cell. Its size does not depend on the data."""
-    counts = words.groupBy("w").agg(F.count("*").alias("n"))
-    cells = counts.groupBy(F.pmod("w", F.lit(CELLS)).cast("int").alias("cell")).agg(F.max("n").alias("n"))
+    Lines without words are the class of size 0."""
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    sets = lines.select(F.struct("doc_id", "line_no").alias("at"), F.sort_array(hashed(F.col("line"))).alias("hashes"))
+    keyed = sets.select("at", "hashes", F.xxhash64("hashes").alias("d1"), F.xxhash64("hashes", F.lit(1)).alias("d2"))
+    grouped = keyed.groupBy("d1", "d2").agg(F.min("at").alias("at"), F.any_value("hashes").alias("hashes"))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 20).bitwiseAND(F.lit(63)).cast("int"))
+    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda p, h: p.bitwiseXOR(bit(h)))
+    return grouped.select("at.doc_id", "at.line_no", F.size("hashes").alias("size"), "hashes", parity.alias("parity"))
+
+
+def rarity(classes: DataFrame) -> Column:
+    """An array of CELLS counts on a logarithmic scale: how many classes hold a word whose hash
+    falls into the cell. Its size does not depend on the data."""
+    cell = F.col("h").bitwiseAND(F.lit(CELLS - 1)).cast("int").alias("cell")
+    cells = classes.select(F.explode("hashes").alias("h")).groupBy(cell).agg(F.count("*").alias("n"))
     found = {r.cell: r.scale for r in cells.select("cell", F.least(F.lit(126), F.floor(F.log2("n") * 3)).alias("scale")).collect()}
     return F.from_json(F.lit("[" + ",".join(str(found.get(i, 0)) for i in range(CELLS)) + "]"), "array<bigint>")
 
 
-def classes_of(docs: DataFrame, cells: Column) -> DataFrame:
-    """Per distinct set: size, its first line (doc_id, line_no), its prefix words and parity."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    cell = lambda w: F.element_at(cells, F.pmod(F.xxhash64(w), F.lit(CELLS)).cast("int") + 1)
+def postings_of(classes: DataFrame, cells: Column) -> DataFrame:
+    """A row for each prefix word of the sets that can resemble another one."""
     # rarity above, 56 bits of the word's hash below
-    code = lambda w: F.shiftleft(cell(w), 56).bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit(MASK)))
-    codes = F.array_distinct(F.transform(F.split(spaced(F.lower("line")), " "), code))
-    coded = lines.select("doc_id", "line_no", F.sort_array(F.array_remove(codes, code(F.lit("")))).alias("codes"))
-    coded = coded.where(F.size("codes") > 0)
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(c, 20).bitwiseAND(F.lit(63)).cast("int"))
-    parity = F.aggregate("codes", F.lit(0).cast("long"), lambda p, c: p.bitwiseXOR(bit(c)))
-    size = F.size("codes")
+    code = lambda h: F.shiftleft(F.get(cells, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")), 56).bitwiseOR(h.bitwiseAND(F.lit(MASK)))
+    size = F.col("size")
+    length = size - F.floor((4 * size + 4) / 5).cast("int") + shared_words(size)
+    prefix = F.slice(F.sort_array(F.transform("hashes", code)), F.lit(1), length)
     # other sets of fewer than 4 words can't be similar enough
-    joins = size >= 4
-    prefix = F.slice("codes", F.lit(1), size - F.floor((4 * size + 4) / 5).cast("int") + shared_words(size))
-    sets = coded.select(
-        F.struct("doc_id", "line_no").alias("at"),
-        size.alias("size"),
-        F.xxhash64("codes").alias("d1"),
-        F.xxhash64("codes", F.lit(1)).alias("d2"),
-        F.when(joins, F.transform(prefix, lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))).alias("prefix"),
-        F.when(joins, parity).alias("parity"),
-    )
-    grouped = sets.groupBy("d1", "d2", "size").agg(F.min("at").alias("at"), F.any_value("prefix").alias("prefix"), F.any_value("parity").alias("parity"))
-    return grouped.select("at.doc_id", "at.line_no", "size", "prefix", "parity")
+    found = classes.where(size >= 4).select("doc_id", "line_no", "size", "parity", F.posexplode(prefix).alias("pos", "code"))
+    return found.withColumn("word", F.col("code").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).drop("code")
 
 
 def shared_words(size: Column) -> Column:
@@ -108,40 +101,46 @@ def pairs_of(x: DataFrame, y: DataFrame) -> DataFrame:
     return found.select(*PAIR, shared_words(F.least("xsize", "ysize")).alias("shared"))
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+def confirm(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The later line of each pair whose sets have a similarity of 0.8 or more."""
     pairs = scratch.write(pairs.select(*PAIR).distinct(), f"{name}-pairs")
     scratch.tidy()
-    ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no"))
-    ends = scratch.write(ends.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted")), f"{name}-ends")
-    own = docs.join(ends, "doc_id").select("doc_id", F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line_no"))
-    sets = own.where(F.col("line_no") < F.size("lines")).select("doc_id", "line_no", hashed(F.col("lines")[F.col("line_no")]).alias("h"))
+    ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no")).distinct()
+    sets = scratch.write(classes.select("doc_id", "line_no", F.col("hashes").alias("h")).join(ends, ["doc_id", "line_no"], "left_semi"), f"{name}-sets")
+    scratch.tidy()
     x = pairs.join(sets.withColumnsRenamed({"doc_id": "xdoc_id", "line_no": "xline_no", "h": "xh"}), ["xdoc_id", "xline_no"])
     both = x.join(sets.withColumnsRenamed({"doc_id": "ydoc_id", "line_no": "yline_no", "h": "yh"}), ["ydoc_id", "yline_no"])
     common = F.size(F.array_intersect("xh", "yh"))
-    alike = both.where(5 * common >= 4 * (F.size("xh") + F.size("yh") - common))
-    return scratch.write(alike.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct(), name)
+    alike = both.where(9 * common >= 4 * (F.size("xh") + F.size("yh")))
+    found = scratch.write(alike.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct(), name)
+    scratch.drop(f"{name}-pairs", f"{name}-sets")
+    scratch.tidy()
+    return found
 
 
 def removed_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(the first line of each class, those of them that resemble an earlier line)."""
-    classes = scratch.write(classes_of(docs, rarity(words_of(docs))), "classes")
+    classes = scratch.write(classes_of(docs), "classes")
     scratch.tidy()
-    firsts = classes.select("doc_id", "line_no")
-    postings = classes.where("prefix is not null").select("doc_id", "line_no", "size", "parity", F.posexplode("prefix").alias("pos", "word"))
-    words = scratch.write(postings.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "words")
+    firsts = scratch.write(classes.where("size > 0").select("doc_id", "line_no"), "firsts")
+    postings = scratch.write(postings_of(classes, rarity(classes)), "postings")
+    words = postings.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    shared = scratch.write(postings.join(words, "word"), "shared")
+    scratch.drop("postings")
     scratch.tidy()
-    shared = postings.join(words, "word")
-    small, large = shared.where(F.col("n") <= LARGE), scratch.write(shared.where(F.col("n") > LARGE).drop("n"), "large")
+    small, large = shared.where(F.col("n") <= LARGE), shared.where(F.col("n") > LARGE).drop("n")
     # pairs that share a large group's word, too, are found there
     pairs = pairs_of(small, small).groupBy(*PAIR, "shared").agg(F.count("*").alias("n")).where("n >= shared").drop("n")
     if large.isEmpty():
-        return firsts, confirm(pairs, docs, scratch, "removed")
+        found = confirm(pairs, classes, scratch, "removed")
+        scratch.drop("shared", "classes")
+        return firsts, found
     salt = F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(PIVOTS))
     first = large.groupBy("word", salt.alias("salt")).agg(F.min(F.struct(*POSTING)).alias("p")).select("word", "p.*")
-    early = confirm(pairs.union(pairs_of(scratch.write(first, "early"), large)), docs, scratch, "removed")
+    early = confirm(pairs.union(pairs_of(scratch.write(first, "early"), large)), classes, scratch, "removed")
     rest = scratch.write(large.join(early, ["doc_id", "line_no"], "left_anti"), "rest")
-    late = confirm(pairs_of(large, rest), docs, scratch, "removed-late")
+    late = confirm(pairs_of(large, rest), classes, scratch, "removed-late")
+    scratch.drop("shared", "rest", "early", "classes")
     return firsts, early.union(late)
 
 
