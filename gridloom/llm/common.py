@@ -58,8 +58,10 @@ class Scratch:
 
     def tidy(self) -> None:
         """Lets Spark delete shuffle files of steps whose results are written: it does so when
-        the driver's garbage collection finds their plans unused."""
+        the driver's garbage collection finds their plans unused. The scheduler holds on to the
+        last job's plan until another one runs, so a tiny one does."""
         gc.collect()
+        self.spark.range(1).count()
         self.spark.sparkContext._jvm.System.gc()
 
     def drop(self, *names: str) -> None:
