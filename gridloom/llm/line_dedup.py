@@ -23,6 +23,7 @@ from .common import Scratch, documents
 CELLS = 1 << 15
 LARGE = 64
 PIVOTS = 8
+SHARES = 4
 MASK = (1 << 56) - 1
 PAIR = ("xdoc_id", "xline_no", "ydoc_id", "yline_no")
 POSTING = ("doc_id", "line_no", "size", "pos", "parity")
@@ -106,14 +107,21 @@ def confirm(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -
     pairs = scratch.write(pairs.select(*PAIR).distinct(), f"{name}-pairs")
     scratch.tidy()
     ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no")).distinct()
-    sets = scratch.write(classes.select("doc_id", "line_no", F.col("hashes").alias("h")).join(ends, ["doc_id", "line_no"], "left_semi"), f"{name}-sets")
-    scratch.tidy()
+    ends = scratch.write(ends, f"{name}-ends")
+    hashes = classes.select("doc_id", "line_no", F.col("hashes").alias("h"))
+    # a share of the classes at a time is shuffled, and its shuffle files go
+    share = F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(SHARES))
+    for k in range(SHARES):
+        some = hashes.where(share == k).join(ends.where(share == k), ["doc_id", "line_no"], "left_semi")
+        some.write.mode("append").parquet(scratch.path(f"{name}-sets"))
+        scratch.tidy()
+    sets = scratch.read(f"{name}-sets", hashes.schema)
     x = pairs.join(sets.withColumnsRenamed({"doc_id": "xdoc_id", "line_no": "xline_no", "h": "xh"}), ["xdoc_id", "xline_no"])
     both = x.join(sets.withColumnsRenamed({"doc_id": "ydoc_id", "line_no": "yline_no", "h": "yh"}), ["ydoc_id", "yline_no"])
     common = F.size(F.array_intersect("xh", "yh"))
     alike = both.where(9 * common >= 4 * (F.size("xh") + F.size("yh")))
     found = scratch.write(alike.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct(), name)
-    scratch.drop(f"{name}-pairs", f"{name}-sets")
+    scratch.drop(f"{name}-pairs", f"{name}-ends", f"{name}-sets")
     scratch.tidy()
     return found
 
