@@ -28,7 +28,8 @@ def byte_alphabet() -> dict[str, int]:
 
 def word_pieces(path: str) -> tuple[list[bytes], list[bytes]]:
     """(pieces that begin a word, pieces that go on in it) of a byte-level vocabulary:
-    tokens with the space before them begin words, all others go on in them."""
+    tokens with the space before them begin words, all others go on in them. Those of the
+    others that no such token begins, too, may begin a word, as after a lone space."""
     with open(path, encoding="utf-8") as f:
         vocab = json.load(f)["model"]["vocab"]
     letters = byte_alphabet()
@@ -39,6 +40,8 @@ def word_pieces(path: str) -> tuple[list[bytes], list[bytes]]:
             begin.append(raw[1:])
         elif raw and raw != b" ":
             inner.append(raw)
+    spaced = set(begin)
+    begin += [w for w in inner if not any(w[:k] in spaced for k in range(1, len(w) + 1))]
     return begin, inner
 
 
@@ -113,8 +116,10 @@ def counter(path: str) -> Memo:
 def count_tokens(docs: DataFrame, vocab: str) -> DataFrame:
     """Per row: doc_id, n_words, n_tokens, n_unknown.
 
-    Words stand between ASCII white space. A word that the vocabulary can't spell
-    counts as one unknown token. Null and empty texts have 0 of each; long texts are
+    Words stand between ASCII white space. A word that begins with no token with the space
+    before it is spelled by the others from its first byte on; the lone space before it
+    is not counted, as no space is. A word that the vocabulary can't spell counts as one
+    unknown token: none where each byte is a token. Null and empty texts have 0 of each; long texts are
     counted whole; repeated rows each count; other columns don't matter.
     """
     ship(docs.sparkSession)

@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -110,6 +111,31 @@ def test_token_counts(spark):
     assert token_counts.count_tokens(h.docs_of(spark, []), vocab).count() == 0
 
 
+def test_token_counts_without_a_space_piece(spark):
+    vocab = tokens.vocabulary("byte_bpe_50k.json")
+    with open(vocab, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    letters = token_counts.byte_alphabet()
+    made = {bytes(letters[c] for c in t) for t in vocabulary if all(c in letters for c in t)}
+    spaced, other = {t[1:] for t in made if t[:1] == b" " and len(t) > 1}, {t for t in made if t[:1] != b" "}
+
+    def longest(word, among):
+        return next((k for k in range(min(len(word), 130), 0, -1) if word[:k] in among), 0)
+
+    def plain(word):
+        at = longest(word, spaced)
+        n = int(at > 0)
+        while at < len(word):
+            at, n = at + longest(word[at:], other), n + 1
+        return n
+
+    texts = ["рядом стоит человек", "中文没有空格的一行文字", "한국어 문장", "日本語 ありがとう", "😀🎉 👩‍👩‍👧 𝒳", "हिन्दी ไทย", "\x01\x02", "Ԁ ׀ ﷽ naïve"]
+    got = rows(token_counts.count_tokens(h.docs_of(spark, texts), vocab))
+    for i, t in enumerate(texts):
+        assert (got[i].n_tokens, got[i].n_unknown) == (sum(map(plain, t.encode().split())), 0), t
+    assert got[1].n_tokens > 5 and got[0].n_tokens > 6
+
+
 def test_packing(spark):
     rng = random.Random(5)
     docs = h.docs_of(spark, [t for t in ODD if t is None or len(t) < 1_000_000] + [LONG] + [words(rng, rng.randint(0, 60)) for _ in range(200)])
