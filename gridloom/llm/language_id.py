@@ -36,15 +36,23 @@ FAMILIES = {
 FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
 
 
+def has_letters(raw: np.ndarray) -> bool:
+    """Whether any code point of the text is a letter; bytes alone tell this of ASCII only."""
+    if (~NO_LETTER[raw] & (raw < 128)).any():
+        return True
+    return any(c.isalpha() for c in raw.tobytes().decode(errors="replace"))
+
+
 def letters(raw: np.ndarray) -> np.ndarray:
-    """The text's letters in lower case, each run of anything else as one space."""
+    """The text's letters in lower case, each run of anything else as one space. All bytes
+    of non-ASCII characters count as letters here."""
     out = np.where(NO_LETTER[raw], np.uint8(32), LOWER[raw])
     blank = out == 32
     return out[~(blank & np.concatenate(([True], blank[:-1])))] if len(out) else out
 
 
 def profile(raw: np.ndarray) -> np.ndarray:
-    """Square roots of the shares of the hashed n-grams; all 0 for a text without letters."""
+    """Square roots of the shares of the hashed n-grams; all 0 for a text without any."""
     b = letters(raw).astype(np.uint32)
     count = np.zeros(DIMS)
     if not (b != 32).any():
@@ -65,9 +73,10 @@ def long_profile(raw: np.ndarray, step: int = 8 << 20) -> np.ndarray:
 
 
 def profiles(column: pa.Array):
+    """(first row, end, profiles) of a slice after another; all 0 for a text without letters."""
     for a, b in pieces(column, 4 << 20, 1024):
         raw, off = text_buffer(column.slice(a, b - a))
-        yield a, b, np.array([long_profile(raw[x:y]) for x, y in zip(off[:-1], off[1:], strict=True)]).reshape(-1, DIMS)
+        yield a, b, np.array([long_profile(raw[x:y]) if has_letters(raw[x:y]) else np.zeros(DIMS) for x, y in zip(off[:-1], off[1:], strict=True)]).reshape(-1, DIMS)
 
 
 def with_profiles(docs: DataFrame) -> DataFrame:
@@ -165,7 +174,7 @@ def train(docs: DataFrame, per_language: int = 1_000, families: dict[str, str] |
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of each row, and lang_pred and score (0 to 1).
 
-    A null text or one without letters gets `und` and 0. Repeated rows are judged alike;
+    A null text or one without letters (Unicode's) gets `und` and 0. Repeated rows are judged alike;
     lang, source and doc_id play no part; an input column named lang_pred or score is
     replaced.
     """

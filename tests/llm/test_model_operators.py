@@ -33,6 +33,19 @@ def test_language_id(spark):
     assert language_id.predict(docs.limit(0), model).count() == 0
 
 
+SYMBOLS = ["“”…", "€ 5", "😀 👍🏽", "٠١٢٣", "\u00a0", "\u3000。、", "½ × —", "\u200b\u0301"]
+LETTERS = ["é", "“я”", "中", "ª", "1 ß"]
+
+
+def test_language_id_without_letters(spark):
+    rng = random.Random(5)
+    docs = h.docs_of(spark, [prose(rng, x) for x in ("en", "de") * 20] + SYMBOLS, langs=["en", "de"] * 20 + ["xx"] * len(SYMBOLS))
+    model = language_id.train(docs)
+    got = {r.doc_id: r for r in language_id.predict(h.docs_of(spark, SYMBOLS + LETTERS), model).collect()}
+    assert [(got[i].lang_pred, got[i].score) for i in range(len(SYMBOLS))] == [("und", 0)] * len(SYMBOLS)
+    assert {got[len(SYMBOLS) + i].lang_pred for i in range(len(LETTERS))} <= {"en", "de"}
+
+
 def test_long_profiles_are_in_pieces():
     raw = np.frombuffer(b"the cat and the dog " * 500, np.uint8)
     assert np.allclose(language_id.long_profile(raw, 4000), language_id.profile(raw), atol=0.02)

@@ -41,3 +41,9 @@ def test_stages_equal_brute_force(spark, tmp_path):
     for r in packed:
         sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.length
     assert sizes == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in clean.items()}
+
+
+def test_texts_of_symbols_are_rejected(spark):
+    texts = ["the end of the day", "und das ist ein Tag", "“”… €", "😀 👍🏽", "٠١٢٣", "\u00a0\u3000", "“я”"]
+    docs = h.docs_of(spark, texts, langs=["en", "de", *[None] * 5])
+    assert {r.text for r in pipeline.identify(spark, docs, "").collect()} == {t for t in texts if any(c.isalpha() for c in t)}
