@@ -39,13 +39,18 @@ def hashed(line: Column) -> Column:
     return F.array_remove(F.array_distinct(words), F.xxhash64(F.lit("")))
 
 
+def keys_of(hashes: str) -> tuple[Column, Column]:
+    """Two independent hashes of a set: neither follows from the other."""
+    return F.xxhash64(hashes).alias("d1"), F.xxhash64(F.lit(1), hashes).alias("d2")
+
+
 def classes_of(docs: DataFrame) -> DataFrame:
     """Per distinct set: its first line (doc_id, line_no), size, sorted word hashes and their parity.
 
     Lines without words are the class of size 0."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     sets = lines.select(F.struct("doc_id", "line_no").alias("at"), F.sort_array(hashed(F.col("line"))).alias("hashes"))
-    keyed = sets.select("at", "hashes", F.xxhash64("hashes").alias("d1"), F.xxhash64("hashes", F.lit(1)).alias("d2"))
+    keyed = sets.select("at", "hashes", *keys_of("hashes"))
     grouped = keyed.groupBy("d1", "d2").agg(F.min("at").alias("at"), F.any_value("hashes").alias("hashes"))
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 20).bitwiseAND(F.lit(63)).cast("int"))
     parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda p, h: p.bitwiseXOR(bit(h)))
@@ -152,21 +157,32 @@ def removed_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
     return firsts, early.union(late)
 
 
+def with_keys(docs: DataFrame) -> DataFrame:
+    """The rows and `_at`, their key: doc_id, and where ids repeat, the text's digest beside it."""
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id", F.lit(True).alias("_more"))
+    if ids.isEmpty():
+        return docs.withColumn("_at", F.col("doc_id"))
+    digest = F.coalesce(F.when(F.col("_more"), F.sha2("text", 256)), F.lit(""))
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", digest.alias("digest")))
+    return docs.join(ids, "doc_id", "left").withColumn("_at", key).drop("_more")
+
+
 def judge_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, line_no, blank, kept of every line.
+    """doc_id, _at (see with_keys), line_no, blank, kept of every line.
 
     Words stand between spaces, tabs and returns and count in lower case. The order of
     lines is by doc_id, then number. A line is removed if its set, or one of
     similarity 0.8 or more, stands in an earlier line, removed or not. Lines without words are blank and
     kept. Null texts have no lines, empty ones one blank line. Rows that share a
-    doc_id share the judgement of a line number; rows without an id take no part and are kept.
+    doc_id follow each other in the order of their texts' digests, and only those of equal
+    texts are judged alike; rows without an id take no part and are kept.
     Other columns don't matter.
     """
-    docs = docs.select("doc_id", "text")
-    firsts, removed = removed_lines(docs.where("doc_id is not null"), scratch)
-    kept = scratch.write(firsts.join(removed, ["doc_id", "line_no"], "left_anti").withColumn("first", F.lit(True)), "kept")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).select("doc_id", "line_no", (F.trim(spaced(F.col("line"))) == "").alias("blank"))
-    return lines.join(kept, ["doc_id", "line_no"], "left").select("doc_id", "line_no", "blank", (F.col("blank") | F.col("first").isNotNull() | F.col("doc_id").isNull()).alias("kept"))
+    docs = with_keys(docs.select("doc_id", "text"))
+    firsts, removed = removed_lines(docs.where("doc_id is not null").select(F.col("_at").alias("doc_id"), "text"), scratch)
+    kept = scratch.write(firsts.join(removed, ["doc_id", "line_no"], "left_anti").withColumn("first", F.lit(True)), "kept").withColumnRenamed("doc_id", "_at")
+    lines = docs.select("doc_id", "_at", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).select("doc_id", "_at", "line_no", (F.trim(spaced(F.col("line"))) == "").alias("blank"))
+    return lines.join(kept, ["_at", "line_no"], "left").select("doc_id", "_at", "line_no", "blank", (F.col("blank") | F.col("first").isNotNull() | F.col("doc_id").isNull()).alias("kept"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -175,13 +191,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Rows whose text is null, empty or blank stay as they are. See judge_lines.
     """
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    numbers = judge_lines(docs, scratch).where("doc_id is not null").groupBy("doc_id").agg(
+    numbers = judge_lines(docs, scratch).where("doc_id is not null").groupBy("_at").agg(
         F.array_sort(F.collect_set(F.when(F.col("kept"), F.col("line_no")))).alias("_keep"),
         F.bool_or(~F.col("kept")).alias("_cut"),
         F.bool_or(F.col("kept") & ~F.col("blank")).alias("_words"),
     )
     # the rows travel as one struct, so that their columns' names can't clash
-    own = docs.select("doc_id", F.struct("*").alias("_row")).join(scratch.write(numbers, "numbers"), "doc_id", "left")
+    own = with_keys(docs.select("doc_id", "text", F.struct("*").alias("_row"))).select("_at", "_row").join(scratch.write(numbers, "numbers"), "_at", "left")
     parts = F.split("_row.text", "\n")
     text = F.array_join(F.transform(F.filter("_keep", lambda i: i < F.size(parts)), lambda i: parts[i]), "\n")
     whole = F.coalesce(~F.col("_cut"), F.lit(True))

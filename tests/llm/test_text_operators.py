@@ -241,3 +241,29 @@ def test_line_dedup(spark, monkeypatch, large):
             assert left[i].text == (None if t is None else "\n".join(kept)) and left[i].items == "i"
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
     assert line_dedup.dedup_lines(h.docs_of(spark, ["x", "x"], ids=[None, None])).where(F.col("doc_id").isNull()).count() == 2
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_lines(spark):
+    first, near, own = "a b c d e f g h i j", "a b c d e f g h i k", "only this row holds these words"
+    docs = h.docs_of(spark, [first, own + "\nend", near + "\nlast", "n o", None], ids=[1, 2, 2, 3, None])
+    left = sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(docs).where("doc_id is not null").collect())
+    assert left == [(1, first), (2, "last"), (2, own + "\nend"), (3, "n o")]
+
+
+def test_class_keys_are_independent(spark):
+    m = (1 << 64) - 1
+    p1, p2, p4, p5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+    turn = lambda x, n: (x << n | x >> (64 - n)) & m
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    step = lambda v: turn(v * p2 & m, 31) * p1 & m
+
+    def seed(v):
+        x = (turn((42 + p5 + 8) & m ^ step(v), 27) * p1 + p4) & m
+        x = (x ^ x >> 33) * p2 & m
+        x = (x ^ x >> 29) * 0x165667B19E3779F9 & m
+        return ((x ^ x >> 32) + p5 + 8) & m
+
+    other = turn((seed(1) ^ step(7) ^ seed(2)) * pow(p1, -1, 1 << 64) & m, 33) * pow(p2, -1, 1 << 64) & m
+    sets = spark.createDataFrame([([1, 7],), ([2, signed(other)],)], "hashes array<long>")
+    one, two = (tuple(r) for r in sets.select(*line_dedup.keys_of("hashes")).collect())
+    assert one[0] == two[0] and one[1] != two[1]
