@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 from pathlib import Path
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOCAL_SHARED = "spark.gridloom.local.shared"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship(spark: SparkSession) -> None:
@@ -49,21 +49,19 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def write(self, df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
+        """Writes a table and reads it; the shuffle files that led to it go at once."""
+        before = self.spark.conf.get(CLEANUP, None)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode(mode).parquet(self.path(name))
+        finally:
+            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
         return self.read(name, df.schema)
 
     def read(self, name: str, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
-    def tidy(self) -> None:
-        """Lets Spark delete shuffle files of steps whose results are written: it does so when
-        the driver's garbage collection finds their plans unused. The scheduler holds on to the
-        last job's plan until another one runs, so a tiny one does."""
-        gc.collect()
-        self.spark.range(1).count()
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, *names: str) -> None:
         for name in names:
             self._delete(self.path(name))

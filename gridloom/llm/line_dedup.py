@@ -1,16 +1,18 @@
 """Line dedup: an exact set-similarity join in DataFrame functions.
 
 A line is the set of its words. Lines of equal sets form a class whose first line
-stands for it. Words are ordered by rarity; two sets of similarity 0.8 or more
-share one of the rarest fifth of their words, long ones up to four of slightly more (prefix
-filter), have like sizes (length filter), and the shared word leaves room for enough others (positional
-filter). Parities of hashed words bound the difference of two sets before the sets of both, 64-bit
-hashes of their words, are joined to the pair and the similarity is computed. A line that
-resembles an earlier one is removed. Texts are read once; all else works on the classes.
-
-Classes that share a common prefix word are not all paired: those of a large group are
-first compared with a few early members, and only what is not removed by then
-with all earlier members.
+stands for it. Words are ordered by rarity. Of two sets of similarity 0.8 or more the
+smaller has its first common word among its rarest ninth, the larger among its
+rarest fifth (prefix filter); their sizes are like (length filter), and what stands behind
+that word leaves room for enough other common ones (positional filter). Parities of hashed
+words bound the difference of two sets before the sets of both are joined to the pair and
+the similarity is computed. A line that resembles an earlier one is removed.
+
+It goes in two rounds, each exact about what it removes. In the first, a line meets only
+the earliest line of each of its rare words and sizes, which is enough for most lines of large
+families. In the second, the lines that are left meet all others, so no group is
+paired with itself. What travels is small: classes carry their rarest words and no set;
+the sets of the lines in a pair are made anew from the texts.
 """
 
 from __future__ import annotations
@@ -20,17 +22,16 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, documents
 
-CELLS = 1 << 15
-LARGE = 64
-PIVOTS = 8
-SHARES = 4
+CELLS = 1 << 18
 MASK = (1 << 56) - 1
 PAIR = ("xdoc_id", "xline_no", "ydoc_id", "yline_no")
-POSTING = ("doc_id", "line_no", "size", "pos", "parity")
+POSTING = ("doc_id", "line_no", "size", "pos", "low", "high")
 
 
-def spaced(line) -> Column:
-    return F.translate(line, "\t\r\f\x0b", "    ")
+def spaced(text, ends: str = "\t\r\f\x0b") -> Column:
+    for end in ends:
+        text = F.replace(text, F.lit(end), F.lit(" "))
+    return text
 
 
 def hashed(line: Column) -> Column:
@@ -44,176 +45,194 @@ def keys_of(hashes: str) -> tuple[Column, Column]:
     return F.xxhash64(hashes).alias("d1"), F.xxhash64(F.lit(1), hashes).alias("d2")
 
 
-def classes_of(docs: DataFrame) -> DataFrame:
-    """Per distinct set: its first line (doc_id, line_no), size, sorted word hashes and their parity.
+def cell_of(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(CELLS - 1)).cast("int")
 
-    Lines without words are the class of size 0."""
+
+def word_counts(docs: DataFrame) -> Column:
+    """An array of CELLS numbers that tell how often words of all texts fall into a hash cell, on
+    a logarithmic scale. Its size does not depend on the data."""
+    words = docs.select(F.explode(F.split(spaced(F.lower("text"), "\t\r\f\x0b\n"), " ")).alias("w")).where("w <> ''")
+    cells = words.groupBy(cell_of(F.xxhash64("w")).alias("cell")).agg(F.count("*").alias("n"))
+    scale = F.least(F.lit(126), F.floor(F.log2("n") * 2) + 1)
+    # eight cells to a number on the way
+    eight = F.bit_or(F.call_function("shiftleft", scale, F.col("cell").bitwiseAND(F.lit(7)) * 8)).alias("bytes")
+    found = {r.at: r.bytes for r in cells.groupBy(F.shiftright("cell", 3).alias("at")).agg(eight).collect()}
+    scales = b"".join(found.get(i, 0).to_bytes(8, "little") for i in range(CELLS // 8))
+    return F.from_json(F.lit(str(list(scales))), "array<int>")
+
+
+def probe_length(size: Column) -> Column:
+    """Among so many rarest words a set holds the first word that it shares with a similar smaller one."""
+    return size - F.floor((4 * size + 4) / 5).cast("int") + 1
+
+
+def index_length(size: Column) -> Column:
+    """The same with a similar set that is no smaller."""
+    return size - F.floor((8 * size + 8) / 9).cast("int") + 1
+
+
+def classes_of(docs: DataFrame, counts: Column) -> DataFrame:
+    """Per distinct set: its first line (doc_id, line_no), size, parities of its lower and higher hashes and its rarest words in
+    order. Sets of fewer than 4 words, which resemble none but themselves, have an empty list."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    sets = lines.select(F.struct("doc_id", "line_no").alias("at"), F.sort_array(hashed(F.col("line"))).alias("hashes"))
-    keyed = sets.select("at", "hashes", *keys_of("hashes"))
-    grouped = keyed.groupBy("d1", "d2").agg(F.min("at").alias("at"), F.any_value("hashes").alias("hashes"))
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 20).bitwiseAND(F.lit(63)).cast("int"))
-    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda p, h: p.bitwiseXOR(bit(h)))
-    return grouped.select("at.doc_id", "at.line_no", F.size("hashes").alias("size"), "hashes", parity.alias("parity"))
-
-
-def rarity(classes: DataFrame) -> Column:
-    """An array of CELLS counts on a logarithmic scale: how many classes hold a word whose hash
-    falls into the cell. Its size does not depend on the data."""
-    cell = F.col("h").bitwiseAND(F.lit(CELLS - 1)).cast("int").alias("cell")
-    cells = classes.select(F.explode("hashes").alias("h")).groupBy(cell).agg(F.count("*").alias("n"))
-    found = {r.cell: r.scale for r in cells.select("cell", F.least(F.lit(126), F.floor(F.log2("n") * 3)).alias("scale")).collect()}
-    return F.from_json(F.lit("[" + ",".join(str(found.get(i, 0)) for i in range(CELLS)) + "]"), "array<bigint>")
-
-
-def postings_of(classes: DataFrame, cells: Column) -> DataFrame:
-    """A row for each prefix word of the sets that can resemble another one."""
-    # rarity above, 56 bits of the word's hash below
-    code = lambda h: F.shiftleft(F.get(cells, h.bitwiseAND(F.lit(CELLS - 1)).cast("int")), 56).bitwiseOR(h.bitwiseAND(F.lit(MASK)))
+    # a 0 among the sorted hashes parts the lower from the higher ones
+    sets = lines.select("doc_id", "line_no", F.sort_array(F.array_append(hashed(F.col("line")), F.lit(0).cast("long"))).alias("hashes"))
+    sets = sets.select("doc_id", "line_no", "hashes", F.array_position("hashes", F.lit(0).cast("long")).cast("int").alias("middle"), (F.size("hashes") - 1).alias("size"))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
+    parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda p, h: p.bitwiseXOR(bit(h)))
+    low, high = parity(F.slice("hashes", F.lit(1), F.col("middle") - 1)), parity(F.slice("hashes", F.col("middle") + 1, F.col("size")))
+    # how common above, 56 bits of the word's hash below
+    common = lambda h: F.get(counts, cell_of(h)).cast("long")
+    code = lambda h: F.shiftleft(common(h), 56).bitwiseOR(h.bitwiseAND(F.lit(MASK)))
     size = F.col("size")
-    length = size - F.floor((4 * size + 4) / 5).cast("int") + shared_words(size)
-    prefix = F.slice(F.sort_array(F.transform("hashes", code)), F.lit(1), length)
-    # other sets of fewer than 4 words can't be similar enough
-    found = classes.where(size >= 4).select("doc_id", "line_no", "size", "parity", F.posexplode(prefix).alias("pos", "code"))
-    return found.withColumn("word", F.col("code").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).drop("code")
+    words = F.array_remove("hashes", F.lit(0).cast("long"))
+    length = F.when(size >= 4, probe_length(size)).otherwise(0)
+    rarest = F.transform(F.slice(F.sort_array(F.transform(words, code)), F.lit(1), length), lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    first = F.struct("doc_id", "line_no", "size", low.alias("low"), high.alias("high"), rarest.alias("rarest"))
+    return sets.select(*keys_of("hashes"), first.alias("first")).groupBy("d1", "d2").agg(F.min("first").alias("first")).select("first.*")
 
 
-def shared_words(size: Column) -> Column:
-    """How many prefix words similar sets must share, the prefix being longer by as many
-    less 1: with more of them, long lines seldom meet by chance."""
-    return F.when(size >= 100, 4).when(size >= 50, 3).when(size >= 20, 2).otherwise(1)
+def postings(classes: DataFrame, length=None, *more: str) -> DataFrame:
+    """A row for each of the first `length` rarest words of each set; all that are stored if none is given."""
+    words = F.col("rarest") if length is None else F.slice("rarest", F.lit(1), length(F.col("size")))
+    return classes.where("size >= 4").select("doc_id", "line_no", "size", "low", "high", *more, F.posexplode(words).alias("pos", "word"))
 
 
-def close(x: str, y: str) -> Column:
-    """y is the later; length, positional and parity filters of two postings of one word."""
-    a, b = F.col(f"{x}size"), F.col(f"{y}size")
-    overlap = F.floor((4 * (a + b) + 8) / 9)
-    # of the words that must be shared this one may be the last
-    room = F.least(a - F.col(f"{x}pos"), b - F.col(f"{y}pos")) + shared_words(F.least(a, b)) - 1
-    differ = F.bit_count(F.col(f"{x}parity").bitwiseXOR(F.col(f"{y}parity")))
-    return earlier(x, y) & (5 * a >= 4 * b) & (5 * b >= 4 * a) & (room >= overlap) & (differ <= a + b - 2 * overlap)
+def side(rows: DataFrame, prefix: str) -> DataFrame:
+    return rows.select("word", *(F.col(c).alias(prefix + c) for c in rows.columns if c != "word"))
 
 
 def earlier(x: str, y: str) -> Column:
     return F.struct(f"{x}doc_id", f"{x}line_no") < F.struct(f"{y}doc_id", f"{y}line_no")
 
 
-def side(postings: DataFrame, prefix: str) -> DataFrame:
-    return postings.select("word", *(F.col(c).alias(prefix + c) for c in POSTING))
+def close(x: str, y: str) -> Column:
+    """Length, positional and parity filters of two postings of one word."""
+    a, b = F.col(f"{x}size"), F.col(f"{y}size")
+    overlap = F.floor((4 * (a + b) + 8) / 9)
+    room = F.least(a - F.col(f"{x}pos"), b - F.col(f"{y}pos"))
+    differ = sum((F.bit_count(F.col(x + c).bitwiseXOR(F.col(y + c))) for c in ("low", "high")), F.lit(0))
+    return (5 * a >= 4 * b) & (5 * b >= 4 * a) & (room >= overlap) & (differ <= a + b - 2 * overlap)
+
 
+def first_pairs(classes: DataFrame) -> DataFrame:
+    """Each line with the earliest one of a word and a range of sizes, if they may be similar."""
+    index = postings(classes, index_length)
+    sizes = F.floor(F.log(F.col("size")) / F.log(F.lit(1.25)))
+    firsts = index.groupBy("word", sizes.alias("sizes")).agg(F.min(F.struct(*POSTING)).alias("first")).select("word", "first.*")
+    return side(firsts, "x").join(side(index, "y"), "word").where(earlier("x", "y") & close("x", "y")).select(*PAIR)
 
-def pairs_of(x: DataFrame, y: DataFrame) -> DataFrame:
-    found = side(x, "x").join(side(y, "y"), "word").where(close("x", "y"))
-    return found.select(*PAIR, shared_words(F.least("xsize", "ysize")).alias("shared"))
 
+def rest_pairs(classes: DataFrame) -> list[DataFrame]:
+    """All pairs that may be similar and whose later line is not `gone` yet."""
+    index, probe = side(postings(classes, index_length, "gone"), "i"), side(postings(classes, None, "gone"), "p")
+    smaller = (F.col("isize") < F.col("psize")) | ((F.col("isize") == F.col("psize")) & earlier("i", "p"))
+    fits, forward = smaller & close("i", "p"), earlier("i", "p")
+    left = index.join(probe.where("not pgone"), "word").where(fits & (forward | ~F.col("igone")))
+    back = index.where("not igone").join(probe.where("pgone"), "word").where(fits & ~forward)
+    ordered = [F.when(forward, F.col(a)).otherwise(F.col(b)).alias(c) for c, a, b in zip(PAIR, ("idoc_id", "iline_no", "pdoc_id", "pline_no"), ("pdoc_id", "pline_no", "idoc_id", "iline_no"), strict=True)]
+    return [left.select(*ordered), back.select(*ordered)]
 
-def confirm(pairs: DataFrame, classes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+
+def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The later line of each pair whose sets have a similarity of 0.8 or more."""
-    pairs = scratch.write(pairs.select(*PAIR).distinct(), f"{name}-pairs")
-    scratch.tidy()
-    ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no")).distinct()
-    ends = scratch.write(ends, f"{name}-ends")
-    hashes = classes.select("doc_id", "line_no", F.col("hashes").alias("h"))
-    # a share of the classes at a time is shuffled, and its shuffle files go
-    share = F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(SHARES))
-    for k in range(SHARES):
-        some = hashes.where(share == k).join(ends.where(share == k), ["doc_id", "line_no"], "left_semi")
-        some.write.mode("append").parquet(scratch.path(f"{name}-sets"))
-        scratch.tidy()
-    sets = scratch.read(f"{name}-sets", hashes.schema)
+    ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no"))
+    wanted = ends.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
+    parts = docs.join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("parts"), "wanted")
+    lines = parts.select("doc_id", F.explode(F.transform("wanted", lambda i: F.struct(i.alias("line_no"), F.get("parts", i).alias("line")))).alias("own"))
+    sets = scratch.write(lines.select("doc_id", "own.line_no", hashed(F.col("own.line")).alias("h")), f"{name}-sets")
     x = pairs.join(sets.withColumnsRenamed({"doc_id": "xdoc_id", "line_no": "xline_no", "h": "xh"}), ["xdoc_id", "xline_no"])
     both = x.join(sets.withColumnsRenamed({"doc_id": "ydoc_id", "line_no": "yline_no", "h": "yh"}), ["ydoc_id", "yline_no"])
-    common = F.size(F.array_intersect("xh", "yh"))
-    alike = both.where(9 * common >= 4 * (F.size("xh") + F.size("yh")))
-    found = scratch.write(alike.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct(), name)
-    scratch.drop(f"{name}-pairs", f"{name}-ends", f"{name}-sets")
-    scratch.tidy()
+    alike = both.where(9 * F.size(F.array_intersect("xh", "yh")) >= 4 * (F.size("xh") + F.size("yh")))
+    later = scratch.write(alike.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct(), name)
+    scratch.drop(f"{name}-sets")
+    return later
+
+
+def kept_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id and `keep`, the numbers of its lines that have words and resemble no earlier line.
+
+    doc_id must be a key of `docs`."""
+    at = ["doc_id", "line_no"]
+    classes = scratch.write(classes_of(docs, word_counts(docs)).where("size > 0"), "classes")
+    pairs = scratch.write(first_pairs(classes).distinct(), "first-pairs")
+    gone = confirm(pairs, docs, scratch, "gone")
+    marked = scratch.write(classes.join(gone.withColumn("gone", F.lit(True)), at, "left").withColumn("gone", F.col("gone").isNotNull()), "marked")
+    scratch.drop("classes", "first-pairs")
+    for part in rest_pairs(marked):
+        pairs = scratch.write(part.distinct(), "rest-pairs", "append")
+    late = confirm(pairs, docs, scratch, "late")
+    keep = marked.where("not gone").select(*at).join(late, at, "left_anti").groupBy("doc_id").agg(F.collect_set("line_no").alias("keep"))
+    found = scratch.write(keep, "keep")
+    scratch.drop("marked", "rest-pairs", "gone", "late")
     return found
 
 
-def removed_lines(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(the first line of each class, those of them that resemble an earlier line)."""
-    classes = scratch.write(classes_of(docs), "classes")
-    scratch.tidy()
-    firsts = scratch.write(classes.where("size > 0").select("doc_id", "line_no"), "firsts")
-    postings = scratch.write(postings_of(classes, rarity(classes)), "postings")
-    words = postings.groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
-    shared = scratch.write(postings.join(words, "word"), "shared")
-    scratch.drop("postings")
-    scratch.tidy()
-    small, large = shared.where(F.col("n") <= LARGE), shared.where(F.col("n") > LARGE).drop("n")
-    # pairs that share a large group's word, too, are found there
-    pairs = pairs_of(small, small).groupBy(*PAIR, "shared").agg(F.count("*").alias("n")).where("n >= shared").drop("n")
-    if large.isEmpty():
-        found = confirm(pairs, classes, scratch, "removed")
-        scratch.drop("shared", "classes")
-        return firsts, found
-    salt = F.pmod(F.xxhash64("doc_id", "line_no"), F.lit(PIVOTS))
-    first = large.groupBy("word", salt.alias("salt")).agg(F.min(F.struct(*POSTING)).alias("p")).select("word", "p.*")
-    early = confirm(pairs.union(pairs_of(scratch.write(first, "early"), large)), classes, scratch, "removed")
-    rest = scratch.write(large.join(early, ["doc_id", "line_no"], "left_anti"), "rest")
-    late = confirm(pairs_of(large, rest), classes, scratch, "removed-late")
-    scratch.drop("shared", "rest", "early", "classes")
-    return firsts, early.union(late)
-
-
-def with_keys(docs: DataFrame) -> DataFrame:
-    """The rows and `_at`, their key: doc_id, and where ids repeat, the text's digest beside it."""
+def with_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """(the rows and `_at`, their key: doc_id, and where ids repeat, the text's digest beside
+    it; whether ids repeat). `_at` is null where doc_id is."""
     ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id", F.lit(True).alias("_more"))
     if ids.isEmpty():
-        return docs.withColumn("_at", F.col("doc_id"))
+        return docs.withColumn("_at", F.col("doc_id")), False
     digest = F.coalesce(F.when(F.col("_more"), F.sha2("text", 256)), F.lit(""))
     key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", digest.alias("digest")))
-    return docs.join(ids, "doc_id", "left").withColumn("_at", key).drop("_more")
+    return docs.join(ids, "doc_id", "left").withColumn("_at", key).drop("_more"), True
 
 
 def judge_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, _at (see with_keys), line_no, blank, kept of every line.
+    """doc_id, line_no, kept of every line that has words; see judge_documents."""
+    judged = judge_documents(docs, scratch).select("doc_id", "removed", F.explode("worded").alias("line_no"))
+    return judged.select("doc_id", "line_no", (~F.array_contains("removed", F.col("line_no"))).alias("kept"))
+
+
+def judge_documents(docs: DataFrame, scratch: Scratch, *more: str) -> DataFrame:
+    """Per row doc_id, `worded` (the numbers of its lines that have words), `removed` (those of them
+    that are removed) and the columns `more`.
 
     Words stand between spaces, tabs and returns and count in lower case. The order of
     lines is by doc_id, then number. A line is removed if its set, or one of
-    similarity 0.8 or more, stands in an earlier line, removed or not. Lines without words are blank and
-    kept. Null texts have no lines, empty ones one blank line. Rows that share a
+    similarity 0.8 or more, stands in an earlier line, removed or not. Lines without words are
+    kept. Null texts have no lines, empty ones one without words. Rows that share a
     doc_id follow each other in the order of their texts' digests, and only those of equal
     texts are judged alike; rows without an id take no part and are kept.
     Other columns don't matter.
     """
-    docs = with_keys(docs.select("doc_id", "text"))
-    firsts, removed = removed_lines(docs.where("doc_id is not null").select(F.col("_at").alias("doc_id"), "text"), scratch)
-    kept = scratch.write(firsts.join(removed, ["doc_id", "line_no"], "left_anti").withColumn("first", F.lit(True)), "kept").withColumnRenamed("doc_id", "_at")
-    lines = docs.select("doc_id", "_at", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).select("doc_id", "_at", "line_no", (F.trim(spaced(F.col("line"))) == "").alias("blank"))
-    return lines.join(kept, ["_at", "line_no"], "left").select("doc_id", "_at", "line_no", "blank", (F.col("blank") | F.col("first").isNotNull() | F.col("doc_id").isNull()).alias("kept"))
+    keyed, repeated = with_keys(docs.select("doc_id", "text", *more))
+    own = keyed.where("doc_id is not null and text is not null").select(F.col("_at").alias("doc_id"), "text")
+    keep = kept_lines(own.dropDuplicates(["doc_id"]) if repeated else own, scratch).withColumnRenamed("doc_id", "_at")
+    numbers = F.transform(F.split("text", "\n"), lambda line, i: F.when(F.trim(spaced(line)) != "", i))
+    worded = F.coalesce(F.filter(numbers, lambda i: i.isNotNull()), F.array().cast("array<int>"))
+    removed = F.when(F.col("doc_id").isNotNull(), F.array_except("worded", F.coalesce("keep", F.array().cast("array<int>")))).otherwise(F.array().cast("array<int>"))
+    return keyed.select("doc_id", "_at", worded.alias("worded"), *more).join(keep, "_at", "left").select("doc_id", "worded", removed.alias("removed"), *more)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The rows without their removed lines; a row that loses all its words goes.
 
-    Rows whose text is null, empty or blank stay as they are. See judge_lines.
+    Rows whose text is null, empty or blank stay as they are. See judge_documents.
     """
-    scratch = Scratch(docs.sparkSession, "line-dedup")
-    numbers = judge_lines(docs, scratch).where("doc_id is not null").groupBy("_at").agg(
-        F.array_sort(F.collect_set(F.when(F.col("kept"), F.col("line_no")))).alias("_keep"),
-        F.bool_or(~F.col("kept")).alias("_cut"),
-        F.bool_or(F.col("kept") & ~F.col("blank")).alias("_words"),
-    )
     # the rows travel as one struct, so that their columns' names can't clash
-    own = with_keys(docs.select("doc_id", "text", F.struct("*").alias("_row"))).select("_at", "_row").join(scratch.write(numbers, "numbers"), "_at", "left")
+    rows = docs.select("doc_id", "text", F.struct("*").alias("_row"))
+    judged = judge_documents(rows, Scratch(docs.sparkSession, "line-dedup"), "_row")
     parts = F.split("_row.text", "\n")
-    text = F.array_join(F.transform(F.filter("_keep", lambda i: i < F.size(parts)), lambda i: parts[i]), "\n")
-    whole = F.coalesce(~F.col("_cut"), F.lit(True))
-    return own.where(whole | F.col("_words")).select(F.when(whole, F.col("_row")).otherwise(F.col("_row").withField("text", text)).alias("_row")).select("_row.*")
+    numbers = F.sequence(F.lit(0), F.size(parts) - 1)
+    text = F.array_join(F.transform(F.array_except(numbers, "removed"), lambda i: F.get(parts, i)), "\n")
+    cut = F.size("removed") > 0
+    left = judged.where(~cut | (F.size("removed") < F.size("worded")))
+    return left.select(F.when(cut, F.col("_row").withField("text", text)).otherwise(F.col("_row")).alias("_row")).select("_row.*")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    judged = judge_lines(docs, Scratch(spark, "line-dedup")).groupBy("doc_id").agg(
-        F.sum((~F.col("blank")).cast("long")).alias("n_lines"),
-        F.sum((~F.col("kept")).cast("long")).alias("n_removed"),
-        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("kept"), F.col("line_no")))), ",").alias("removed"),
+    """doc_id, n_lines (with words), n_removed, removed (the numbers of the removed lines, comma-joined).
+
+    See judge_documents; rows that share a doc_id, and those without one, are counted together."""
+    judged = judge_documents(documents(spark, sf_dir), Scratch(spark, "line-dedup"))
+    return judged.groupBy("doc_id").agg(
+        F.sum(F.size("worded").cast("long")).alias("n_lines"),
+        F.sum(F.size("removed").cast("long")).alias("n_removed"),
+        F.array_join(F.array_sort(F.flatten(F.collect_list("removed"))), ",").alias("removed"),
     )
-    ids = docs.select("doc_id").distinct()
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return ids.join(judged, "doc_id", "left").select("doc_id", zero("n_lines"), zero("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
 
 
 ORACLE = r"""

@@ -222,16 +222,14 @@ def test_long_chains_are_one_component(spark):
     assert got == {i: 0 for i in range(101)} | {200: 200, 201: 200}
 
 
-@pytest.mark.parametrize("large", [2, 64])
-def test_line_dedup(spark, monkeypatch, large):
-    monkeypatch.setattr(line_dedup, "LARGE", large)
+def test_line_dedup(spark):
     rng = random.Random(13)
     texts = [*(t for t in ODD if t is None or len(t) < 1_000_000)]
     pool = copies(17, 20)
     texts += ["\n".join(rng.choice(pool) for _ in range(rng.randint(1, 6))) for _ in range(40)]
     docs, want = h.docs_of(spark, texts), h.removed(dict(enumerate(texts)))
     judged = line_dedup.judge_lines(docs, Scratch(spark, "test")).collect()
-    assert {(r.doc_id, r.line_no) for r in judged if not r.kept} == want and len(judged) == sum(len(t.split("\n")) for t in texts if t is not None)
+    assert {(r.doc_id, r.line_no) for r in judged if not r.kept} == want and len(judged) == sum(bool(x.strip()) for t in texts if t is not None for x in t.split("\n"))
     left = rows(line_dedup.dedup_lines(docs))
     for i, t in enumerate(texts):
         kept = [x for k, x in enumerate((t or "").split("\n")) if (i, k) not in want]
