@@ -7,6 +7,8 @@ import tempfile
 import uuid
 from pathlib import Path
 
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,15 +27,37 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
 
-    Where it is unset (local tests) a folder of this machine is made and used.
+    Where it is unset a folder of this machine is made, if the master is local (tests);
+    a cluster without a shared folder is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_SHARED, None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = Path(tempfile.mkdtemp(prefix="gridloom-")).as_uri()
         spark.conf.set(LOCAL_SHARED, found)
     return found.rstrip("/")
 
 
+def put(uri: str, parts) -> None:
+    """Writes a file in a shared folder under a name of its task attempt and then renames it, so
+    that a task that runs again after a lost executor leaves whole files only."""
+    fs, path = pafs.FileSystem.from_uri(uri)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    task = TaskContext.get()
+    own = f"{path}.{task.taskAttemptId() if task else 'driver'}"
+    with fs.open_output_stream(own) as out:
+        for part in parts:
+            out.write(part)
+    fs.move(own, path)
+
+
+def fetch(uri: str) -> bytes:
+    fs, path = pafs.FileSystem.from_uri(uri)
+    with fs.open_input_file(path) as f:
+        return f.read()
+
+
 class Scratch:
     """Tables and folders of one run, in the shared folder.
 
@@ -82,6 +106,22 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def with_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """(the rows and `_at`, their key: doc_id, and where ids repeat, the text's digest beside
+    it; whether ids repeat). `_at` is null where doc_id is."""
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id", F.lit(True).alias("_more"))
+    if ids.isEmpty():
+        return docs.withColumn("_at", F.col("doc_id")), False
+    digest = F.coalesce(F.when(F.col("_more"), F.sha2("text", 256)), F.lit(""))
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", digest.alias("digest")))
+    return docs.join(ids, "doc_id", "left").withColumn("_at", key).drop("_more"), True
+
+
+def hash_limit(share: float) -> int:
+    """What at most `share` of all 64-bit hashes don't exceed; even the least share is above none."""
+    return min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))
+
+
 def crc_mod(col: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n."""
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(n))

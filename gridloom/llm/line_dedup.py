@@ -20,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents
+from .common import Scratch, documents, with_keys
 
 CELLS = 1 << 18
+BITS = 1 << 19
 MASK = (1 << 56) - 1
 PAIR = ("xdoc_id", "xline_no", "ydoc_id", "yline_no")
 POSTING = ("doc_id", "line_no", "size", "pos", "low", "high")
@@ -96,7 +97,9 @@ def classes_of(docs: DataFrame, counts: Column) -> DataFrame:
 def postings(classes: DataFrame, length=None, *more: str) -> DataFrame:
     """A row for each of the first `length` rarest words of each set; all that are stored if none is given."""
     words = F.col("rarest") if length is None else F.slice("rarest", F.lit(1), length(F.col("size")))
-    return classes.where("size >= 4").select("doc_id", "line_no", "size", "low", "high", *more, F.posexplode(words).alias("pos", "word"))
+    rows = classes.where("size >= 4").select("doc_id", "line_no", "size", "low", "high", *more, F.posexplode(words).alias("pos", "word"))
+    # said here, so that Spark need not infer it on one side of a join only and can deal both sides at once
+    return rows.where(" and ".join(f"{c} is not null" for c in rows.columns))
 
 
 def side(rows: DataFrame, prefix: str) -> DataFrame:
@@ -118,7 +121,7 @@ def close(x: str, y: str) -> Column:
 
 def first_pairs(classes: DataFrame) -> DataFrame:
     """Each line with the earliest one of a word and a range of sizes, if they may be similar."""
-    index = postings(classes, index_length)
+    index = postings(classes, index_length).repartition("word")  # dealt once, for the least of each word and for the join
     sizes = F.floor(F.log(F.col("size")) / F.log(F.lit(1.25)))
     firsts = index.groupBy("word", sizes.alias("sizes")).agg(F.min(F.struct(*POSTING)).alias("first")).select("word", "first.*")
     return side(firsts, "x").join(side(index, "y"), "word").where(earlier("x", "y") & close("x", "y")).select(*PAIR)
@@ -135,18 +138,28 @@ def rest_pairs(classes: DataFrame) -> list[DataFrame]:
     return [left.select(*ordered), back.select(*ordered)]
 
 
+def likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose doc_id may be in `wanted`, by BITS bits of its hashes; these don't grow with the data."""
+    bit = F.xxhash64("doc_id").bitwiseAND(F.lit(BITS - 1)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)))
+    found = {r.at: r.bits for r in wanted.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one).alias("bits")).collect()}
+    bits = F.from_json(F.lit(str([found.get(i, 0) for i in range(BITS // 64)])), "array<bigint>")
+    return docs.where(F.get(bits, F.shiftright(bit, 6)).bitwiseAND(one) != 0)
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The later line of each pair whose sets have a similarity of 0.8 or more."""
     ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no"))
     wanted = ends.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
-    parts = docs.join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("parts"), "wanted")
+    wanted = scratch.write(wanted, f"{name}-wanted")
+    parts = likely(docs, wanted).join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("parts"), "wanted")
     lines = parts.select("doc_id", F.explode(F.transform("wanted", lambda i: F.struct(i.alias("line_no"), F.get("parts", i).alias("line")))).alias("own"))
     sets = scratch.write(lines.select("doc_id", "own.line_no", hashed(F.col("own.line")).alias("h")), f"{name}-sets")
     x = pairs.join(sets.withColumnsRenamed({"doc_id": "xdoc_id", "line_no": "xline_no", "h": "xh"}), ["xdoc_id", "xline_no"])
     both = x.join(sets.withColumnsRenamed({"doc_id": "ydoc_id", "line_no": "yline_no", "h": "yh"}), ["ydoc_id", "yline_no"])
     alike = both.where(9 * F.size(F.array_intersect("xh", "yh")) >= 4 * (F.size("xh") + F.size("yh")))
     later = scratch.write(alike.select(F.col("ydoc_id").alias("doc_id"), F.col("yline_no").alias("line_no")).distinct(), name)
-    scratch.drop(f"{name}-sets")
+    scratch.drop(f"{name}-sets", f"{name}-wanted")
     return later
 
 
@@ -169,17 +182,6 @@ def kept_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return found
 
 
-def with_keys(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """(the rows and `_at`, their key: doc_id, and where ids repeat, the text's digest beside
-    it; whether ids repeat). `_at` is null where doc_id is."""
-    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id", F.lit(True).alias("_more"))
-    if ids.isEmpty():
-        return docs.withColumn("_at", F.col("doc_id")), False
-    digest = F.coalesce(F.when(F.col("_more"), F.sha2("text", 256)), F.lit(""))
-    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", digest.alias("digest")))
-    return docs.join(ids, "doc_id", "left").withColumn("_at", key).drop("_more"), True
-
-
 def judge_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, line_no, kept of every line that has words; see judge_documents."""
     judged = judge_documents(docs, scratch).select("doc_id", "removed", F.explode("worded").alias("line_no"))
@@ -201,7 +203,7 @@ def judge_documents(docs: DataFrame, scratch: Scratch, *more: str) -> DataFrame:
     keyed, repeated = with_keys(docs.select("doc_id", "text", *more))
     own = keyed.where("doc_id is not null and text is not null").select(F.col("_at").alias("doc_id"), "text")
     keep = kept_lines(own.dropDuplicates(["doc_id"]) if repeated else own, scratch).withColumnRenamed("doc_id", "_at")
-    numbers = F.transform(F.split("text", "\n"), lambda line, i: F.when(F.trim(spaced(line)) != "", i))
+    numbers = F.transform(F.split("text", "\n"), lambda line, i: F.when(F.trim(line, F.lit(" \t\r\f\x0b")) != "", i))
     worded = F.coalesce(F.filter(numbers, lambda i: i.isNotNull()), F.array().cast("array<int>"))
     removed = F.when(F.col("doc_id").isNotNull(), F.array_except("worded", F.coalesce("keep", F.array().cast("array<int>")))).otherwise(F.array().cast("array<int>"))
     return keyed.select("doc_id", "_at", worded.alias("worded"), *more).join(keep, "_at", "left").select("doc_id", "worded", removed.alias("removed"), *more)
