@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_mod, documents, ship
+from .common import Scratch, crc_mod, documents, hash_limit, ship
 from .textbytes import LOWER, NO_LETTER, pieces, text_buffer
 
 DIMS = 4096
@@ -43,40 +43,38 @@ def has_letters(raw: np.ndarray) -> bool:
     return any(c.isalpha() for c in raw.tobytes().decode(errors="replace"))
 
 
-def letters(raw: np.ndarray) -> np.ndarray:
-    """The text's letters in lower case, each run of anything else as one space. All bytes
-    of non-ASCII characters count as letters here."""
+def letters(raw: np.ndarray, after_blank: bool) -> np.ndarray:
+    """The bytes of letters in lower case, each run of anything else as one space, none where
+    one stands before. All bytes of non-ASCII characters count as letters here."""
     out = np.where(NO_LETTER[raw], np.uint8(32), LOWER[raw])
     blank = out == 32
-    return out[~(blank & np.concatenate(([True], blank[:-1])))] if len(out) else out
+    return out[~(blank & np.concatenate(([after_blank], blank[:-1])))].astype(np.uint32)
 
 
-def profile(raw: np.ndarray) -> np.ndarray:
-    """Square roots of the shares of the hashed n-grams; all 0 for a text without any."""
-    b = letters(raw).astype(np.uint32)
-    count = np.zeros(DIMS)
-    if not (b != 32).any():
-        return count
-    b = np.concatenate(([np.uint32(32)], b, [np.uint32(32)]))
-    for gram in (b, (b[:-1] << 8 | b[1:]) + np.uint32(1 << 20), (b[:-2] << 16 | b[1:-1] << 8 | b[2:]) + np.uint32(1 << 25)):
-        count += np.bincount((gram * np.uint32(2654435761)) >> np.uint32(20), minlength=DIMS)
-    return np.sqrt(count / count.sum())
+def profile(raw: np.ndarray, step: int = 8 << 20) -> np.ndarray:
+    """Square roots of the shares of the hashed n-grams; all 0 for a text without any.
 
-
-def long_profile(raw: np.ndarray, step: int = 8 << 20) -> np.ndarray:
-    """profile() of a text of any length, in bounded memory."""
-    if len(raw) <= step:
-        return profile(raw)
-    parts = [(profile(raw[a : a + step]) ** 2, min(step, len(raw) - a)) for a in range(0, len(raw), step)]
-    total = sum(p * n for p, n in parts)
-    return np.sqrt(total / total.sum()) if total.any() else total
+    A long text is read `step` bytes at a time; the last two letters of a slice go on to the
+    next, so that the n-grams are those of the whole."""
+    count, some = np.zeros(DIMS), False
+    tail, space = np.zeros(0, np.uint32), np.full(1, 32, np.uint32)
+    for a in range(0, len(raw), step):
+        own = letters(raw[a : a + step], a == 0 or bool(NO_LETTER[raw[a - 1]]))
+        some = some or bool((own != 32).any())
+        b = np.concatenate((tail, *([space] if a == 0 else []), own, *([space] if a + step >= len(raw) else [])))
+        k = len(tail)
+        one, two, three = b[k:], b[max(k - 1, 0) :], b[max(k - 2, 0) :]
+        for gram in (one, (two[:-1] << 8 | two[1:]) + np.uint32(1 << 20), (three[:-2] << 16 | three[1:-1] << 8 | three[2:]) + np.uint32(1 << 25)):
+            count += np.bincount((gram * np.uint32(2654435761)) >> np.uint32(20), minlength=DIMS)
+        tail = b[-2:]
+    return np.sqrt(count / count.sum()) if some else np.zeros(DIMS)
 
 
 def profiles(column: pa.Array):
     """(first row, end, profiles) of a slice after another; all 0 for a text without letters."""
     for a, b in pieces(column, 4 << 20, 1024):
         raw, off = text_buffer(column.slice(a, b - a))
-        yield a, b, np.array([long_profile(raw[x:y]) if has_letters(raw[x:y]) else np.zeros(DIMS) for x, y in zip(off[:-1], off[1:], strict=True)]).reshape(-1, DIMS)
+        yield a, b, np.array([profile(raw[x:y]) if has_letters(raw[x:y]) else np.zeros(DIMS) for x, y in zip(off[:-1], off[1:], strict=True)]).reshape(-1, DIMS)
 
 
 def with_profiles(docs: DataFrame) -> DataFrame:
@@ -155,8 +153,8 @@ def train(docs: DataFrame, per_language: int = 1_000, families: dict[str, str] |
     counts = {r.lang: r["count"] for r in docs.where("lang is not null and text is not null").groupBy("lang").count().collect()}
     if not counts:
         return Model(Vote([], {}), [])
-    share = F.create_map(*(F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1.0, per_language / n))))
-    chosen = docs.where("lang is not null and text is not null").select("lang", "text").where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000).distinct()
+    limit = F.create_map(*(F.lit(v) for k, n in sorted(counts.items()) for v in (k, hash_limit(min(1.0, per_language / n)))))
+    chosen = docs.where("lang is not null and text is not null").select("lang", "text").where(F.xxhash64("text") <= F.element_at(limit, F.col("lang"))).distinct()
     scratch = Scratch(spark, "language-id")
     family = F.coalesce(F.try_element_at(F.create_map(*(F.lit(v) for kv in sorted(of.items()) for v in kv)), F.col("lang")), F.col("lang")) if of else F.col("lang")
     sample = scratch.write(with_profiles(chosen).withColumn("family", family), "sample")
@@ -198,6 +196,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document; rows without an id are not held out. See train and predict."""
     docs = documents(spark, sf_dir)
     held = F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False))
     model = train(docs.where(~held))
