@@ -5,20 +5,23 @@ words that no benchmark phrase holds end a segment, since no phrase can span
 them. Over the segments a suffix array, the Burrows-Wheeler transform, a wavelet
 matrix for ranks and sampled suffix positions are built. All phrases are searched
 backward at once, occurrences are located by walking to sampled positions, and
-overlapping spans are merged. No step shuffles documents.
+overlapping spans are merged. No step shuffles documents. Phrases are made by Spark in blocks of bounded size,
+each a file in the shared folder; a worker reads one at a time.
 """
 
 from __future__ import annotations
 
-import hashlib
+import functools
+import pickle
 import re
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, ship
+from .common import Scratch, documents, fetch, put, ship
 from .textbytes import pieces
 
 #: A-Z to a-z; 0-9, a-z and all bytes of non-ASCII characters stay; the rest ends a word.
@@ -140,25 +143,35 @@ class FMIndex:
         return place
 
 
-def search_shard(texts: list[bytes], phrases: Phrases) -> tuple[list[int], dict[int, tuple[list[int], list[tuple[int, int]]]]]:
-    """(words of each text, {text: (phrases that occur, merged word spans)})."""
+class Shard:
+    """The words of some texts: how many each text has, all as numbers (0 after each text) and by number."""
+
+    def __init__(self, texts: list[bytes]):
+        number: defaultdict[bytes, int] = defaultdict()
+        number.default_factory = lambda: len(number) + 1
+        self.counts, parts = [], []
+        for text in texts:
+            found = text.translate(WORD_TABLE).split()
+            self.counts.append(len(found))
+            parts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+            parts.append(np.zeros(1, np.int32))
+        self.numbers = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        self.words = list(number)
+
+
+def search_shard(shard: Shard, phrases: Phrases) -> dict[int, tuple[list[int], list[tuple[int, int]]]]:
+    """{text: (phrases that occur, merged word spans)}."""
     get = phrases.vocab.get
-    counts, parts = [], []
-    for text in texts:
-        found = text.translate(WORD_TABLE).split()
-        counts.append(len(found))
-        parts.append(np.fromiter((get(w, 0) for w in found), np.int64, len(found)))
-        parts.append(np.zeros(1, np.int64))
     hits: dict[int, tuple[list[int], list[tuple[int, int]]]] = {}
-    if not phrases.shortest or not parts:
-        return counts, hits
-    symbols = np.concatenate(parts)
+    if not phrases.shortest or not len(shard.numbers):
+        return hits
+    symbols = np.fromiter((get(w, 0) for w in [None, *shard.words]), np.int64, len(shard.words) + 1)[shard.numbers]
     edge = np.diff(np.concatenate(([0], (symbols > 0).astype(np.int8), [0])))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     keep = end - start >= phrases.shortest
     start, size = start[keep], end[keep] - start[keep]
     if not len(start):
-        return counts, hits
+        return hits
     at = np.concatenate(([0], np.cumsum(size + 1)))
     text, origin = np.zeros(at[-1], np.int64), np.zeros(at[-1], np.int64)
     inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -167,20 +180,20 @@ def search_shard(texts: list[bytes], phrases: Phrases) -> tuple[list[int], dict[
     text[target] = symbols[origin[target]]
     phrase, place = FMIndex(text, at[:-1]).search(phrases)
     if not len(phrase):
-        return counts, hits
+        return hits
     place = origin[place]
     order = np.argsort(place, kind="stable")
     phrase, place = phrase[order], place[order]
     reach = np.maximum.accumulate(place + phrases.length[phrase])
     cut = np.concatenate(([0], np.flatnonzero(place[1:] > reach[:-1]) + 1, [len(place)]))
-    base = np.concatenate(([0], np.cumsum(np.array(counts) + 1)))
+    base = np.concatenate(([0], np.cumsum(np.array(shard.counts) + 1)))
     owner = np.searchsorted(base, place, "right") - 1
     for a, b in zip(cut[:-1], cut[1:], strict=True):
         doc = int(owner[a])
         which, spans = hits.setdefault(doc, ([], []))
         which.extend(np.unique(phrase[a:b]).tolist())
         spans.append((int(place[a] - base[doc]), int(reach[b - 1] - base[doc])))
-    return counts, hits
+    return hits
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -203,25 +216,35 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int, window: int) -> list[Phrases]:
-    """The distinct items, a block of bounded size after another.
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int, window: int) -> list[str]:
+    """The distinct items as files of Phrases, of about `block_bytes` of text at most.
 
-    Only one block at a time comes to the driver, and each is broadcast on its own;
-    blocks follow from the measured size of the table.
-    """
+    Tasks write them; the driver sees their names only."""
+    spark = benchmark.sparkSession
+    root = Scratch(spark, "benchmark").path("phrases")
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
-    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    return [Phrases(sorted((r.item_id, r.text) for r in items.where(F.col("block") == i).collect()), window) for i in range(n)]
+
+    def write(table: pa.Table) -> pa.Table:
+        uri = f"{root}/{table.column('block')[0].as_py()}"
+        put(uri, [pickle.dumps(Phrases(sorted(zip(table.column("item_id").to_pylist(), table.column("text").to_pylist(), strict=True)), window))])
+        return pa.table({"uri": [uri]})
+
+    blocks = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))).groupBy("block")
+    return sorted(r.uri for r in blocks.applyInArrow(write, "uri string").collect())
+
+
+@functools.lru_cache(maxsize=1)
+def load(uri: str) -> Phrases:
+    return pickle.loads(fetch(uri))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int, shard_bytes: int, block_bytes: int, schema: str, kept: list[str], make) -> DataFrame:
     """Searches every shard for every block of phrases; `make(part, texts, counts, items, spans)`
     gives the columns of `schema` for the rows of a shard, of which `kept` are read."""
-    spark = docs.sparkSession
-    ship(spark)
-    blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, block_bytes, window)]
+    ship(docs.sparkSession)
+    blocks = benchmark_blocks(benchmark, block_bytes, window)
 
     def run(batches):
         for batch in batches:
@@ -232,13 +255,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int, shard_bytes: int, b
                 texts = [t or b"" for t in strings]
                 items: list[set[str]] = [set() for _ in texts]
                 spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-                counts: list[int] = []
-                for block in blocks:
-                    counts, hits = search_shard(texts, block.value)
-                    for doc, (which, found) in hits.items():
-                        items[doc].update(x for k in which for x in block.value.items[k])
+                shard = Shard(texts)
+                for uri in blocks:
+                    phrases = load(uri)
+                    for doc, (which, found) in search_shard(shard, phrases).items():
+                        items[doc].update(x for k in which for x in phrases.items[k])
                         spans[doc].extend(found)
-                yield make(part, strings, counts, items, [merge(s) for s in spans])
+                yield make(part, strings, shard.counts, items, [merge(s) for s in spans])
 
     return docs.select(*kept).mapInArrow(run, schema)
 
@@ -289,6 +312,7 @@ def items_digest(items: Column) -> Column:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document; see find_contamination."""
     found = find_contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
