@@ -1,11 +1,11 @@
 """Exact top-k search by inner product, a block of documents at a time.
 
 Vectors are quantised; a component's positive and negative part are the terms of an
-impact index. Within a partition, rows are ordered into small document ranges, each
-with every term's largest impact (its maximum and minimum per component) and a
-forward index (its rows). A query visits the blocks in descending order of its
-summed bounds and stops when a bound falls below the k-th score. Partial results
-of the partitions are merged per query.
+impact index. In each partition, some tens of thousands of rows at a time are ordered into small
+document ranges, each with every term's largest impact (its maximum and minimum per
+component) and a forward index (its rows). A query visits the blocks in descending order of its
+summed bounds and stops when a bound falls below the k-th score, which is carried on
+through the partition. Partial results of the partitions are merged per query.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, ship
+from .common import Scratch, documents, ship
 
 BLOCK = 256
+ROWS = 1 << 16
 EXACT = float(1 << 53)
 
 
@@ -59,11 +60,10 @@ class Best:
         self.vec[rows] = np.take_along_axis(v, order, 1)
 
 
-def search(ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, k: int) -> Best:
-    """Block-at-a-time search of all queries over one set of rows."""
-    best = Best(len(queries), k)
+def search(ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, best: Best) -> None:
+    """Block-at-a-time search of all queries over one set of rows, beyond what `best` holds already."""
     if not len(ids) or not len(queries):
-        return best
+        return
     # like rows side by side: by the component of the largest size and its sign
     lead = np.abs(rows).argmax(1)
     order = np.lexsort((ids, np.sign(rows[np.arange(len(rows)), lead]), lead))
@@ -84,17 +84,23 @@ def search(ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, k: int) -> Be
             at = live[block == b]
             part = slice(cut[b], cut[b] + BLOCK)
             best.add(at, product(queries[at], rows[part]), ids[part])
-    return best
+
+
+def matrix(column, size: int) -> np.ndarray:
+    """The lists of `size` integers each as rows."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
 
 
 def query_blocks(queries: DataFrame, block_rows: int):
-    """The queries, a block of bounded size after another."""
-    n = max(1, -(-queries.count() // block_rows))
-    for b in range(n):
-        part = queries.where(F.pmod(F.xxhash64("vec_id", "q"), F.lit(n)) == b) if n > 1 else queries
-        table = part.toArrow()
-        if table.num_rows:
-            yield table.column("vec_id").to_numpy(), np.array(table.column("q").to_pylist(), np.int64)
+    """(number of components, ids, rows) of the queries, a block of bounded size after another;
+    queries of one dimension at a time."""
+    for size, count in sorted((r.n, r["count"]) for r in queries.groupBy(F.size("q").alias("n")).count().collect()):
+        n = max(1, -(-count // block_rows))
+        for b in range(n):
+            part = queries.where(F.size("q") == size).where(F.pmod(F.xxhash64("vec_id", "q"), F.lit(n)) == b)
+            table = part.toArrow()
+            if table.num_rows:
+                yield size, table.column("vec_id").to_numpy(), matrix(table.column("q").combine_chunks(), size)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, block_rows: int = 20_000) -> DataFrame:
@@ -105,20 +111,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     with null, NaN or infinite components, and candidates of another dimension than the
     query take no part; an id that occurs more than once stands for so many candidates,
     of which only the query row itself is left out. Empty tables give an empty result;
-    other columns don't matter. Scores are exact within 64 bits.
+    other columns don't matter. Scores are exact within 64 bits. The queries come to the driver
+    a block at a time; a block's result is written before the next one comes.
     """
     spark = vectors.sparkSession
     ship(spark)
-    rows = quantised(vectors, scale)
-    out, start = [], 0
-    for query_ids, found in query_blocks(quantised(queries, scale).where(F.size("q") == F.lit(dimension(queries))), block_rows):
-        out.append(search_block(rows, spark.sparkContext.broadcast((query_ids, found)), k, start))
-        start += len(query_ids)
-    if not out:
+    rows, scratch, start, merged = quantised(vectors, scale), Scratch(spark, "top-k"), 0, None
+    for size, ids, found in query_blocks(quantised(queries, scale), block_rows):
+        shared = spark.sparkContext.broadcast((ids, found))
+        merged = scratch.write(search_block(rows.where(F.size("q") == size), shared, k, start), "found", "append")
+        shared.destroy()
+        start += len(ids)
+    if merged is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    merged = out[0]
-    for part in out[1:]:
-        merged = merged.unionByName(part)
     ranked = merged.withColumn("_at", F.row_number().over(W.partitionBy("_row").orderBy(F.desc("score"), "vec_id", F.desc("own"))))
     # a query's own row counts as one candidate too many: one of its id and score goes
     own = F.min(F.when(F.col("vec_id") == F.col("query_id"), F.when(F.col("score") == F.col("self"), F.col("_at")))).over(W.partitionBy("_row"))
@@ -127,31 +132,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     return ranked.where(F.col("_own").isNull() | (F.col("_at") != F.col("_own"))).where(place <= k).select("query_id", place.cast("int").alias("rank"), "vec_id", "score")
 
 
-def dimension(vectors: DataFrame) -> int:
-    """The commonest number of components."""
-    found = vectors.where("embedding is not null").groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return found.n if found else 0
-
-
 def search_block(rows: DataFrame, block, k: int, start: int) -> DataFrame:
     def run(batches):
         query_ids, queries = block.value
-        own = (queries * queries).sum(1)
-        best = None
+        own, best = (queries * queries).sum(1), Best(len(queries), k + 1)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def look():
+            search(np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held]), queries, best)
+            held.clear()
+
         for batch in batches:
-            sizes = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
-            good = sizes == queries.shape[1]
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[good]
-            flat = batch.column(1).filter(pa.array(good)).flatten().to_numpy(zero_copy_only=False)
-            part = search(ids, flat.reshape(-1, queries.shape[1]), queries, k + 1)
-            if best is None:
-                best = part
-            else:
-                s, v = np.concatenate((best.score, part.score), 1), np.concatenate((best.vec, part.vec), 1)
-                order = np.lexsort((v, -s), axis=1)[:, : k + 1]
-                best.score, best.vec = np.take_along_axis(s, order, 1), np.take_along_axis(v, order, 1)
-        if best is None:
-            return
+            held.append((batch.column(0).to_numpy(zero_copy_only=False), matrix(batch.column(1), queries.shape[1])))
+            if sum(len(i) for i, _ in held) >= ROWS:
+                look()
+        if held:
+            look()
         some = best.vec != np.iinfo(np.int64).max
         q, _ = np.nonzero(some)
         vec, score = best.vec[some], best.score[some]
@@ -163,6 +159,9 @@ def search_block(rows: DataFrame, block, k: int, start: int) -> DataFrame:
 
 
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the 5 best of all vectors for each whose vec_id is divisible by 50.
+
+    Rows without an id are candidates and no queries; see top_k."""
     vectors = documents(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
