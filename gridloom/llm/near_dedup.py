@@ -5,7 +5,8 @@ each permutation both the least and the greatest hash are kept, so one evaluatio
 gives two signature values; bands of four values put classes into buckets. Of a
 bucket not all pairs are made: members are first compared with the bucket's pivot,
 then, where a bucket still spans several components, with members of many links,
-and last all pairs that stand in different components and were not compared yet.
+and last all pairs that stand in different components and were not compared yet. Those of buckets that are
+still large are found by an exact prefix filter on their rarest shingles instead.
 So no link that could join components is passed over. Before sets are fetched, the parities
 of a set's hashes in 1024 cells bound from below in how many shingles two sets differ.
 Every link is confirmed on the full sets.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, ship
@@ -25,6 +27,7 @@ from .textbytes import SPACE, U, mix, ngram_hashes, pieces, text_buffer, word_ha
 HASHES = 64
 BAND = 4
 HUBS = 8
+HOT = 512
 LIMIT = 2 << 20
 ROWS = 2048
 CELLS = 1024
@@ -159,11 +162,11 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     pairs = members.where("c <> p").where(size_fits(F.col("n"), F.col("pn"), percent)).select(F.col("p").alias("a"), F.col("c").alias("b")).distinct()
     seen = scratch.write(confirm(pairs, sets, percent), "seen-0")
     labels = components(seen.where("ok"), scratch, "labels-0")
-    for turn, make in enumerate((hub_pairs, open_pairs), 1):
+    for turn, make in enumerate((lambda spread, seen: hub_pairs(spread, seen, percent), lambda spread, seen: open_pairs(spread, sets, percent)), 1):
         spread = scratch.write(spanning(members, labels).join(classes.select("c", "odd"), "c"), f"spread-{turn}")
         if spread.isEmpty():
             break
-        more = make(spread, seen, percent).join(seen.select("a", "b"), ["a", "b"], "left_anti")
+        more = make(spread, seen).join(seen.select("a", "b"), ["a", "b"], "left_anti")
         found = scratch.write(confirm(more, sets, percent), f"found-{turn}")
         scratch.drop(f"spread-{turn}")
         if found.where("ok").isEmpty():
@@ -208,12 +211,31 @@ def hub_pairs(spread: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
     return out.select(*ordered(F.col("c"), F.col("hub.c"))).distinct()
 
 
-def open_pairs(spread: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
+def open_pairs(spread: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that are in different components and may be linked."""
-    other = spread.select("key", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("odd").alias("odd2"))
-    out = spread.join(other, "key").where("c < c2 and comp <> comp2").where(may_link(F.col("n"), F.col("n2"), F.col("odd"), F.col("odd2"), percent))
-    return out.select(*ordered(F.col("c"), F.col("c2"))).distinct()
+    sizes = spread.groupBy("key").agg(F.count("*").alias("size"))
+    some = spread.join(sizes.where(F.col("size") <= HOT), "key").drop("size")
+    other = some.select("key", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("odd").alias("odd2"))
+    near = some.join(other, "key").where("c < c2 and comp <> comp2").where(may_link(F.col("n"), F.col("n2"), F.col("odd"), F.col("odd2"), percent))
+    out = near.select(*ordered(F.col("c"), F.col("c2")))
+    large = sizes.where(F.col("size") > HOT)
+    return (out if large.isEmpty() else out.union(prefix_pairs(spread.join(large, "key").select("c", "n", "comp").distinct(), sets, percent))).distinct()
+
+
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of members in different components that share one of the shingles, rarest
+    first, among which sets of the needed similarity must share one."""
+    shingles = members.join(sets.dropDuplicates(["c"]), "c").select("c", "n", "comp", F.explode("shingles").alias("s"))
+    counts = shingles.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    # those that no other member holds are the rarest and meet nothing
+    met = shingles.join(counts, "s")
+    place = F.row_number().over(W.partitionBy("c").orderBy("df", "s")) + F.col("n") - F.count("*").over(W.partitionBy("c"))
+    prefix = met.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    other = prefix.select("s", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    near = prefix.join(other, "s").where("c < c2 and comp <> comp2").where(size_fits(F.col("n"), F.col("n2"), percent))
+    return near.select(*ordered(F.col("c"), F.col("c2")))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document, by shingles of 2 words; see near_duplicates."""
     return near_duplicates(documents(spark, sf_dir))
