@@ -206,4 +206,5 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024) ->
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document; see pack."""
     return pack(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))

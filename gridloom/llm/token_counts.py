@@ -140,4 +140,5 @@ def count_tokens(docs: DataFrame, vocab: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and the counts of every document; see count_tokens."""
     return count_tokens(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))

@@ -4,15 +4,15 @@ Shard k of an output folder is three files: `k.bin` (ids one after another, 16 o
 32 bits by the size of the vocabulary), `k.off` (one more 64-bit offset than
 documents, in ids) and `k.doc` (ids of the documents with a validity byte). Shards
 follow the range partitions of doc_id, so their order is the order of documents;
-prefix sums over the shards' totals give each shard's base. Every file is written
-under a name of its task attempt and then renamed, so a task that runs again after
-a lost executor leaves whole files only.
+prefix sums over the shards' totals give each shard's base. Ids go to the file as they are
+made.
 """
 
 from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, ship
+from .common import Scratch, documents, put, ship
 from .textbytes import pieces
 from .tokens import encoder, id_type, vocabulary
 
@@ -38,16 +38,6 @@ class TokenFiles:
     shards: list[tuple[int, int, int]]
 
 
-def put(uri: str, blob) -> None:
-    fs, path = pafs.FileSystem.from_uri(uri)
-    fs.create_dir(path.rpartition("/")[0], recursive=True)
-    task = TaskContext.get()
-    own = f"{path}.{task.taskAttemptId() if task else 'driver'}"
-    with fs.open_output_stream(own) as out:
-        out.write(blob)
-    fs.move(own, path)
-
-
 def view(uri: str, dtype) -> np.ndarray:
     """The file's values, memory-mapped where the folder is a local or mounted one."""
     fs, path = pafs.FileSystem.from_uri(uri)
@@ -74,22 +64,28 @@ def write_token_files(docs: DataFrame, uri: str, tokenizer: str, end_id: int) ->
 
     def run(batches):
         shard, encode = TaskContext.get().partitionId(), encoder(tokenizer, dtype).encode
-        blobs, sizes, ids = [], [], []
-        for batch in batches:
-            ids.extend(batch.column(0).to_pylist())
-            for a, b in pieces(batch.column(1), CHUNK):
-                found = [encode(t or "") + end for t in batch.column(1).slice(a, b - a).to_pylist()]
-                sizes.extend(map(len, found))
-                blobs.append(b"".join(found))
-        if not ids:
+        sizes, named = [], []
+
+        def encoded():
+            for batch in batches:
+                for a, b in pieces(batch.column(1), CHUNK):
+                    found = [encode(t or "") + end for t in batch.column(1).slice(a, b - a).to_pylist()]
+                    sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+                    yield b"".join(found)
+                own = np.zeros(batch.num_rows, DOC)
+                own["id"] = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+                own["valid"] = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+                named.append(own)
+
+        blobs = encoded()
+        first = next(blobs, None)
+        if first is None:
             return
-        offsets = np.concatenate(([0], np.cumsum(sizes))) // np.dtype(dtype).itemsize
-        named = np.zeros(len(ids), DOC)
-        named["id"], named["valid"] = [i or 0 for i in ids], [i is not None for i in ids]
-        put(f"{uri}/{shard}.bin", b"".join(blobs))
-        put(f"{uri}/{shard}.off", offsets.astype("<u8").tobytes())
-        put(f"{uri}/{shard}.doc", named.tobytes())
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "docs": [len(ids)], "ids": [int(offsets[-1])]})
+        put(f"{uri}/{shard}.bin", chain([first], blobs))
+        offsets = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) // np.dtype(dtype).itemsize
+        put(f"{uri}/{shard}.off", [offsets.astype("<u8").tobytes()])
+        put(f"{uri}/{shard}.doc", [np.concatenate(named).tobytes()])
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "docs": [len(offsets) - 1], "ids": [int(offsets[-1])]})
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_nth"))
@@ -139,6 +135,9 @@ def read_token_files(spark: SparkSession, files: TokenFiles, with_ids: bool = Fa
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the files that it writes.
+
+    See write_token_files on nulls, repeated ids and empty tables."""
     scratch = Scratch(spark, "token-files")
     files = write_token_files(documents(spark, sf_dir), scratch.path("ids"), vocabulary("word_bpe_49k.json"), 2)
     return read_token_files(spark, files)

@@ -14,6 +14,7 @@ import os
 from array import array
 
 WIDTH = {"<u2": "H", "<u4": "I"}
+LONGEST = 64
 
 
 def vocabulary(name: str) -> str:
@@ -23,7 +24,8 @@ def vocabulary(name: str) -> str:
 
 
 class Memo(dict):
-    """word -> ids as bytes. Of two generations the older goes when the younger is full."""
+    """word -> ids as bytes. Of two generations the older goes when the younger is full;
+    words of more than LONGEST characters are not kept, so its bytes are bounded."""
 
     def __init__(self, encode, limit: int):
         super().__init__()
@@ -36,7 +38,8 @@ class Memo(dict):
         ids = self.old.get(word)
         if ids is None:
             ids = self.encode(word)
-        self[word] = ids
+        if len(word) <= LONGEST:
+            self[word] = ids
         return ids
 
 

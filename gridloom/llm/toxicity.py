@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, documents, ship
+from .common import crc_mod, documents, hash_limit, ship
 from .textbytes import NO_LETTER, U, mix, pieces, text_buffer, word_hashes
 
 BITS = 18
@@ -68,13 +68,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, epochs: in
 
     `labels` holds doc_id and toxic (0 or 1; other values and nulls are passed over; an
     id with both counts as 1). Where more rows are labelled, a fixed hash of doc_id
-    chooses among them. Empty tables give no weights.
+    chooses among them. Of texts that share an id the least in order is learned from.
+    Empty tables give no weights.
     """
     ship(docs.sparkSession)
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = known.count()
     share = min(1.0, max_rows / max(1, n))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = known.where(F.xxhash64("doc_id", F.lit("toxicity")) <= F.lit(hash_limit(share)))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").cast("long").alias("toxic"))
 
     def run(batches):
@@ -124,6 +125,7 @@ def score(docs: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document; rows that share an id are each scored. See train and score."""
     docs = documents(spark, sf_dir)
     labels = documents(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0)
     found = score(docs, train(docs, labels))
