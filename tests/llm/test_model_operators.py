@@ -47,8 +47,12 @@ def test_language_id_without_letters(spark):
 
 
 def test_long_profiles_are_in_pieces():
-    raw = np.frombuffer(b"the cat and the dog " * 500, np.uint8)
-    assert np.allclose(language_id.long_profile(raw, 4000), language_id.profile(raw), atol=0.02)
+    for text in ("the cat, and  the dog é— " * 50, " .. ", "x", "", "  a", "ab..", "…é"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        for step in (1, 2, 3, 7, 400):
+            assert np.allclose(language_id.profile(raw, step), language_id.profile(raw), atol=1e-12), (text, step)
+    long = np.frombuffer("le chat, und der Hund é ".encode() * 400_000, np.uint8)
+    assert len(long) > 8 << 20 and np.allclose(language_id.profile(long), language_id.profile(long, 1 << 30), atol=1e-12)
 
 
 def test_toxicity(spark):
@@ -88,7 +92,7 @@ def plain(url):
 def test_url_filter(spark):
     rng = random.Random(3)
     more = [f"http://{rng.choice(['cheap-pills-777', 'news'])}{i}.example.{rng.choice(['com', 'net', 'org'])}/{rng.choice(['en', 'de', 'es', 'fr'])}/{i}?a=1&b=2" for i in range(300)]
-    pages = spark.createDataFrame([(i, u, "s", "r", 1.0) for i, u in enumerate([*URLS, *more, more[0]])], "page_id long, url string, _suffix string, rule string, label double")
+    pages = spark.createDataFrame([(i, u, "s", "r", 1.0) for i, u in enumerate([*URLS, *more, more[0], "http://news.example.com/" + "x/" * 200_000 + "?a=1"])], "page_id long, url string, _suffix string, rule string, label double")
     got = {r.page_id: r for r in url_filter.judge(pages).collect()}
     assert len(got) == pages.count()
     for i, u in enumerate([*URLS, *more]):
@@ -122,6 +126,9 @@ def test_top_k(spark, monkeypatch, block_rows):
     got = topk_search.top_k(table, table.where("vec_id % 10 = 0"), 5, 256, block_rows)
     whole = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in vectors]
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == brute(whole, [x for x in whole if x[0] % 10 == 0], 5)
+    other = spark.createDataFrame([(2000, [1.0, 2.0]), (2010, [2.0, 1.0]), (2020, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    mixed = table.select("vec_id", "embedding").union(other)
+    assert [(r.query_id, r.vec_id) for r in topk_search.top_k(mixed, mixed.where("vec_id in (10, 2010)"), 1, 256, block_rows).where("query_id > 2000").collect()] == [(2010, 1004)]
     few = table.where("vec_id in (20, 30)")
     assert sorted((r.query_id, r.vec_id) for r in topk_search.top_k(few, few).collect()) == [(20, 30), (30, 20)]
     assert topk_search.top_k(table.limit(0), table.limit(0)).count() == 0
@@ -135,5 +142,10 @@ def test_blocks_are_skipped(monkeypatch):
     monkeypatch.setattr(topk_search.Best, "add", lambda self, rows, *a: (seen.append(len(rows)), add(self, rows, *a))[1])
     rng = np.random.default_rng(1)
     rows = np.repeat(np.eye(16, dtype=np.int64) * 1000, 300, axis=0) + rng.integers(0, 50, (4800, 16))
-    topk_search.search(np.arange(4800), rows, rows[::100], 5)
+    best = topk_search.Best(48, 5)
+    topk_search.search(np.arange(4800), rows, rows[::100], best)
     assert sum(seen) < 0.4 * 48 * (4800 // topk_search.BLOCK)
+    # scores are carried on: blocks of weaker rows are not visited at all
+    seen.clear()
+    topk_search.search(np.arange(4800, 9600), rows // 2, rows[::100], best)
+    assert not seen

@@ -60,7 +60,8 @@ def test_word_hashes(monkeypatch):
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_equals_the_library(name):
     rng, encoder = random.Random(2), tokens.Encoder(tokens.vocabulary(name), "<u4", 50)
-    alphabet = [*" \n\t'sStTrReEvVmMlLdD_-.,!9½²Ⅷé́ÉİΣσßñÑ日本　\xa0\x1c\x85٣…", "​", " ", "the ", "'ll ", "  ", "<|endoftext|>"]
+    wide = [chr(c) for a, b in ((0x80, 0x250), (0x250, 0x3000)) for c in rng.sample(range(a, b), 60)]
+    alphabet = [*wide, *" \n\t'sStTrReEvVmMlLdD_-.,!9½²Ⅷé́ÉİΣσßñÑ日本　\xa0\x1c\x85٣…", "​", " ", "the ", "'ll ", "  ", "<|endoftext|>"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     for t in [*texts, *(x for x in ODD if x and len(x) < 1000)]:
         assert encoder.encode(t) == np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
@@ -214,6 +215,19 @@ def test_near_duplicates_of_a_large_group(spark):
     assert {i: r.component_id for i, r in got.items()} == h.near_components(dict(enumerate(texts)), 2)
 
 
+def test_a_large_bucket_of_unlinked_sets(spark):
+    rng, sets = random.Random(19), []
+    for i in range(3000):  # a third of each set is in all of them
+        own = rng.sample(range(1000, 1_000_000), 40) if i % 50 else list(sets[-1][20:-1]) + [i] if sets else list(range(2000, 2040))
+        sets.append([*range(20), *own])
+    rows = [("k", bytes([i >> 8, i & 255]), len(s), bytes([i >> 8, i & 255]), [0] * 16) for i, s in enumerate(sets)]
+    spread = spark.createDataFrame(rows, "key string, c binary, n long, comp binary, odd array<long>")
+    full = spark.createDataFrame([(r[1], s) for r, s in zip(rows, sets, strict=True)], "c binary, shingles array<long>")
+    got = {(bytes(r.a), bytes(r.b)) for r in near_dedup.open_pairs(spread, full, 80).collect()}
+    linked = {(rows[i - 1][1], rows[i][1]) for i in range(50, 3000, 50)}
+    assert linked <= got and len(got) < 300
+
+
 def test_long_chains_are_one_component(spark):
     from gridloom.llm.graph import components
 
@@ -241,6 +255,19 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(h.docs_of(spark, ["x", "x"], ids=[None, None])).where(F.col("doc_id").isNull()).count() == 2
 
 
+def lines_of(spark, texts, ids):
+    return sorted((r.doc_id, r.text) for r in line_dedup.dedup_lines(h.docs_of(spark, texts, ids)).collect())
+
+
+def test_lines_of_repeated_ids(spark):
+    assert lines_of(spark, ["a b c d", "e f g h"], [1, 1]) == [(1, "a b c d"), (1, "e f g h")]
+    assert len(line_dedup.judge_lines(h.docs_of(spark, ["a b c d", "e f g h"], [1, 1]), Scratch(spark, "test")).collect()) == 2
+    assert lines_of(spark, ["a b c d e", "a b c d e", "p q r s t"], [0, 1, 1]) == [(0, "a b c d e"), (1, "p q r s t")]
+    assert lines_of(spark, ["a b c d e", "a b c d e f", "p q r s t"], [0, 1, 1]) == [(0, "a b c d e"), (1, "p q r s t")]
+    same = lines_of(spark, ["u v w x\nu v w x y"] * 3, [1, 1, 2])
+    assert same == [(1, "u v w x")] * 2
+
+
 def test_rows_that_share_an_id_are_judged_by_their_own_lines(spark):
     first, near, own = "a b c d e f g h i j", "a b c d e f g h i k", "only this row holds these words"
     docs = h.docs_of(spark, [first, own + "\nend", near + "\nlast", "n o", None], ids=[1, 2, 2, 3, None])
