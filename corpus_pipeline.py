@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import decontaminate, language_id, line_dedup, near_dedup, packing
-from gridloom.llm.common import Scratch, documents
+from gridloom.llm.common import Scratch, documents, with_keys
 from gridloom.llm.tokens import vocabulary
 
 WORDS, PERCENT = 5, 80
@@ -14,29 +14,37 @@ WORDS, PERCENT = 5, 80
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a language; null texts and texts without letters are rejected.
-    A missing lang is filled in."""
+    A missing lang is filled in. Repeated rows are judged alike, an empty table stays empty."""
     judged = language_id.predict(docs, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
     return judged.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that resemble earlier ones, and documents of which no word is left."""
+    """Removes lines that resemble earlier ones, and documents of which no word is left.
+    Null texts and rows without an id stay; see line_dedup.judge_documents on repeated ids."""
     return with_length(docs, line_dedup.dedup_lines(docs))
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near-duplicates."""
-    kept = near_dedup.near_duplicates(docs, words=WORDS, percent=PERCENT).where(~F.col("kept")).select("doc_id")
-    return docs.join(kept, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps the document with the least id of each group of near-duplicates; among rows that share
+    an id, that of the least digest of the text, and one of equal rows. Rows without an id and
+    texts without words stay."""
+    rows, repeated = with_keys(docs.select("doc_id", "text", F.struct("*").alias("_row")))
+    judged = near_dedup.near_duplicates(rows.select(F.col("_at").alias("doc_id"), "text"), words=WORDS, percent=PERCENT)
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_at")).distinct()
+    left = rows.join(gone, "_at", "left_anti")
+    if repeated:
+        left = left.where("_at is not null").dropDuplicates(["_at"]).union(left.where("_at is null"))
+    return left.select("_row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts benchmark passages out; documents of which no word is left go."""
+    """Cuts benchmark passages out; documents of which no word is left go, null texts stay."""
     return with_length(docs, decontaminate.remove_contamination(docs, documents(spark, sf_dir, "benchmark")))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into training sequences."""
+    """Packs what is left into training sequences; a null text is an empty one."""
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 

@@ -46,3 +46,14 @@ def describe(df: DataFrame, c: str) -> DataFrame:
     q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     one = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), q.alias("q"), F.max(c).alias("max"))
     return one.select("count", "mean", "std", "min", *(F.col("q")[i].alias(n) for i, n in enumerate(("q25", "q50", "q75"))), "max")
+
+
+def head(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first rows by date."""
+    return df.orderBy("date").limit(n)
+
+
+def with_mean(df: DataFrame, c: str) -> DataFrame:
+    """date, value and the mean of all values beside each, as a chart of the series needs them."""
+    mean = df.agg(F.avg(c)).first()[0]
+    return df.select("date", F.col(c).alias("value"), F.lit(mean).cast("double").alias("mean"))

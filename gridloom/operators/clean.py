@@ -28,9 +28,23 @@ def parse_rate(cells: DataFrame, feed: RateFeed | None = None) -> DataFrame:
     cells = layout.choose_sheet(cells, feed.sheet)
     rows = rate_rows(cells, feed)
     dates = layout.date_columns(cells, rows, feed.months)
-    values = cells.join(rows.where("label_row is not null"), list(SHEET)).where("row_idx = label_row").select(*SHEET, "col_idx", to_number(F.col("raw")).alias(feed.measure))
-    found = values.join(dates, [*SHEET, "col_idx"]).where(F.col(feed.measure).isNotNull())
-    return found.select("file", month_start(F.col("year"), F.col("month")).alias("date"), "year", "month", feed.measure, F.col("col_idx").cast("long").alias("_nth"))
+    values = cells.join(rows.where("label_row is not null"), list(SHEET)).where("row_idx = label_row").select(*SHEET, "col_idx", to_number(F.col("raw")).alias(feed.output.measure))
+    found = values.join(dates, [*SHEET, "col_idx"]).where(F.col(feed.output.measure).isNotNull())
+    return found.select("file", month_start(F.col("year"), F.col("month")).alias("date"), "year", "month", feed.output.measure, F.col("col_idx").cast("long").alias("_nth"))
+
+
+class LabelNotFound(ValueError):
+    """No row of a sheet bears the indicator's label."""
+
+
+def checked_rate(cells: DataFrame, feed: RateFeed | None = None) -> DataFrame:
+    """parse_rate, but an error where a chosen sheet has no labelled row; it looks at the first few such sheets only."""
+    feed = feed or RateFeed()
+    rows = rate_rows(layout.choose_sheet(cells, feed.sheet), feed)
+    bad = [f"{r.file}: {r.sheet}" for r in rows.where("label_row is null").limit(5).collect()]
+    if bad:
+        raise LabelNotFound(f"no row matches {feed.label!r} in {bad}")
+    return parse_rate(cells, feed)
 
 
 def parse_index(cells: DataFrame, feed: IndexFeed | None = None) -> DataFrame:
@@ -42,10 +56,10 @@ def parse_index(cells: DataFrame, feed: IndexFeed | None = None) -> DataFrame:
     # a year that stands twice counts where it stands first
     years = own.where("row_idx = header_row").where(layout.is_year(F.col("raw"))).groupBy(*SHEET, to_whole(strip(F.col("raw"))).alias("year")).agg(F.min("col_idx").alias("col_idx"))
     months = own.where("row_idx > header_row and col_idx = month_col").select(*SHEET, "row_idx", lookup(feed.months, key(F.col("raw"))).alias("month")).where("month is not null")
-    body = own.where("row_idx > header_row").select(*SHEET, "row_idx", "col_idx", to_number(F.col("raw")).alias(feed.measure)).where(F.col(feed.measure).isNotNull())
+    body = own.where("row_idx > header_row").select(*SHEET, "row_idx", "col_idx", to_number(F.col("raw")).alias(feed.output.measure)).where(F.col(feed.output.measure).isNotNull())
     found = body.join(years, [*SHEET, "col_idx"]).join(months, [*SHEET, "row_idx"])
     nth = (F.col("col_idx").cast("long") * (1 << 31)) + F.col("row_idx")
-    return found.select("file", month_start(F.col("year"), F.col("month")).alias("date"), "year", "month", feed.measure, nth.alias("_nth"))
+    return found.select("file", month_start(F.col("year"), F.col("month")).alias("date"), "year", "month", feed.output.measure, nth.alias("_nth"))
 
 
 def finish(parsed: DataFrame, measure: str, columns, source: str, run_date: str, keys=("file",)) -> DataFrame:
@@ -61,12 +75,17 @@ def finish(parsed: DataFrame, measure: str, columns, source: str, run_date: str,
 
 def clean_rate(cells: DataFrame, run_date: str, feed: RateFeed | None = None) -> DataFrame:
     feed = feed or RateFeed()
-    return finish(parse_rate(cells, feed), feed.measure, feed.columns, feed.source, run_date)
+    return finish(parse_rate(cells, feed), feed.output.measure, feed.output.columns, feed.output.source, run_date)
+
+
+def checked_clean_rate(cells: DataFrame, run_date: str, feed: RateFeed | None = None) -> DataFrame:
+    feed = feed or RateFeed()
+    return finish(checked_rate(cells, feed), feed.output.measure, feed.output.columns, feed.output.source, run_date)
 
 
 def clean_index(cells: DataFrame, run_date: str, feed: IndexFeed | None = None) -> DataFrame:
     feed = feed or IndexFeed()
-    return finish(parse_index(cells, feed), feed.measure, feed.columns, feed.source, run_date)
+    return finish(parse_index(cells, feed), feed.output.measure, feed.output.columns, feed.output.source, run_date)
 
 
 def clean_flat_csv(raw: DataFrame, nth: Column | None = None, year: str = "year", rate: str = "unemployed_percent") -> DataFrame:
@@ -80,18 +99,19 @@ def clean_flat_csv(raw: DataFrame, nth: Column | None = None, year: str = "year"
     return named.select(month_start(y, F.lit(1)).alias("date"), y.alias("year"), F.lit(1).alias("month"), to_number(F.col(rate)).alias("unemployment_rate"), order.alias("_nth"))
 
 
+def named(columns: dict[str, str]) -> dict[str, tuple[str]]:
+    """The fields of a profile whose columns' names are known: {name: field}."""
+    return {field: (f"^{normal_name(name)}$",) for name, field in columns.items()}
+
+
 def clean_flat_cells(cells: DataFrame, profile: FlatProfile) -> DataFrame:
     """A flat sheet below a header that may stand anywhere: file, date, year, month, unemployment_rate, _nth."""
-    cells = layout.choose_sheet(cells, profile.sheet, lambda c: layout.best_sheet(c, profile.header_keywords))
-    if profile.header_row is None:
-        heads = layout.header_row(cells, profile.header_keywords, profile.header_scan_rows)
-    else:
-        heads = cells.select(*SHEET).distinct().withColumn("header_row", F.lit(profile.header_row))
-    if profile.column_mapping is not None:
-        patterns = {field: (f"^{normal_name(raw)}$",) for raw, field in profile.column_mapping.items()}
+    cells = layout.choose_sheet(cells, profile.sheet, lambda c: layout.best_sheet(c, profile.header.keywords))
+    if profile.header.row is None:
+        heads = layout.header_row(cells, profile.header.keywords, profile.header.scan)
     else:
-        patterns = profile.column_patterns
-    fields = layout.field_columns(cells, heads, patterns)
+        heads = cells.select(*SHEET).distinct().withColumn("header_row", F.lit(profile.header.row))
+    fields = layout.field_columns(cells, heads, profile.fields)
     body = cells.join(heads, list(SHEET)).where("row_idx > header_row").join(fields, [*SHEET, "col_idx"])
     pick = lambda f: F.max(F.when(F.col("field") == f, F.col("raw")))
     wide = body.groupBy(*SHEET, "row_idx").agg(*(pick(f).alias(f"_{f}") for f in ("unemployment_rate", "year", "month", "date")))

@@ -30,8 +30,9 @@ def hits(text: Column, keywords) -> Column:
 
 def best_sheet(cells: DataFrame, keywords=SHEET_KEYWORDS, rows: int = 40) -> DataFrame:
     """Per file the sheet with most keywords in its first rows, those in its name counting twice."""
-    top = cells.withColumn("raw", F.when(F.col("row_idx") < rows, F.col("raw")))
-    sheets = top.groupBy("file", "sheet", "sheet_idx").agg(row_text(("row_idx", "col_idx")).alias("_text"))
+    named = ["file", "sheet", "sheet_idx"]
+    top = cells.where(F.col("row_idx") < rows).groupBy(*named).agg(row_text(("row_idx", "col_idx")).alias("_text"))
+    sheets = cells.select(*named).distinct().join(top, named, "left").withColumn("_text", F.coalesce("_text", F.lit("")))
     score = hits(F.col("_text"), keywords) + 2 * hits(F.lower("sheet"), keywords)
     return sheets.groupBy("file").agg(F.max_by("sheet", F.struct(score, -F.col("sheet_idx"))).alias("sheet"), F.max(score).alias("score"))
 
@@ -45,16 +46,16 @@ def choose_sheet(cells: DataFrame, sheet: str | None, best=first_sheet) -> DataF
     return cells.where(F.col("sheet") == sheet) if sheet is not None else cells.join(best(cells), ["file", "sheet"], "left_semi")
 
 
-def arg_max_row(rows: DataFrame, score: Column, name: str) -> DataFrame:
-    """Per sheet the row with the highest score, row 0 if none scores."""
-    best = F.max_by("row_idx", F.struct(score, -F.col("row_idx")))
-    return rows.groupBy(*SHEET).agg(F.when(F.max(score) > 0, best).otherwise(0).alias(name))
+def arg_max_row(cells: DataFrame, rows: DataFrame, score: Column, name: str) -> DataFrame:
+    """Per sheet of `cells` the one of `rows` with the highest score, row 0 if none scores."""
+    best = rows.groupBy(*SHEET).agg(F.when(F.max(score) > 0, F.max_by("row_idx", F.struct(score, -F.col("row_idx")))).alias(name))
+    return cells.select(*SHEET).distinct().join(best, list(SHEET), "left").select(*SHEET, F.coalesce(name, F.lit(0)).alias(name))
 
 
 def header_row(cells: DataFrame, keywords=HEADER_KEYWORDS, max_scan: int = 30) -> DataFrame:
     """Per sheet the row whose text holds most keywords."""
-    rows = cells.withColumn("raw", F.when(F.col("row_idx") < max_scan, F.col("raw"))).groupBy(*SHEET, "row_idx").agg(row_text(("col_idx",)).alias("_text"))
-    return arg_max_row(rows, hits(F.col("_text"), keywords), "header_row")
+    rows = cells.where(F.col("row_idx") < max_scan).groupBy(*SHEET, "row_idx").agg(row_text(("col_idx",)).alias("_text"))
+    return arg_max_row(cells, rows, hits(F.col("_text"), keywords), "header_row")
 
 
 def is_year(c: Column) -> Column:
@@ -73,8 +74,8 @@ def grid_header_row(cells: DataFrame, month_column: str = "Mes", max_scan: int =
 
 def year_row(cells: DataFrame, max_scan: int = 30) -> DataFrame:
     """Per sheet the row with most years."""
-    rows = cells.groupBy(*SHEET, "row_idx").agg(F.count_if(is_year(F.col("raw")) & (F.col("row_idx") < max_scan)).alias("_years"))
-    return arg_max_row(rows, F.col("_years"), "year_row")
+    rows = cells.where((F.col("row_idx") < max_scan) & is_year(F.col("raw"))).groupBy(*SHEET, "row_idx").agg(F.count("*").alias("_years"))
+    return arg_max_row(cells, rows, F.col("_years"), "year_row")
 
 
 def month_row(cells: DataFrame, year_rows: DataFrame, months: dict = SHORT_MONTHS, max_scan: int = 5) -> DataFrame:

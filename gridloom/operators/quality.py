@@ -1,7 +1,7 @@
 """Checks of a monthly series: one aggregation, then a verdict.
 
-`report` computes all figures of a suite in one pass over the data plus one window;
-`enforce` raises the first failure in order and returns the warnings.
+`report` computes all figures of a suite in one pass over the data plus one window. The
+checks of a suite raise the first failure in order; only a failing one looks for its rows.
 """
 
 from __future__ import annotations
@@ -115,7 +115,7 @@ def warn(text: str) -> str:
     return text
 
 
-def report(df: DataFrame, c: str, low: float, high: float, tolerance: float = DROP_TOLERANCE) -> DataFrame:
+def report(df: DataFrame, c: str, low: float, high: float, tolerance: float = DROP_TOLERANCE, nulls=None) -> DataFrame:
     """One row with the figures of all checks of a series of months."""
     kinds = dict(df.dtypes)
     with_gap = df.withColumn("_gap", gap_days(F.col("date"), (), ("date",)))
@@ -125,7 +125,7 @@ def report(df: DataFrame, c: str, low: float, high: float, tolerance: float = DR
         F.count("*").alias("n_rows"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
-        *(F.count_if(absent(x, kinds[x])).alias(f"null_{x}") for x in ("date", c)),
+        *(F.count_if(absent(x, kinds[x])).alias(f"null_{x}") for x in nulls or ("date", c)),
         F.count_if(~absent(c, kinds[c]) & ~F.col(c).between(low, high)).alias("n_outside"),
         per_date.alias("n_repeats"),
         F.count_if(F.col("_gap") > GAP_DAYS).alias("n_gaps"),
@@ -133,20 +133,29 @@ def report(df: DataFrame, c: str, low: float, high: float, tolerance: float = DR
     )
 
 
-def run_rate_checks(df: DataFrame) -> bool:
-    check_columns(df)
-    check_no_nulls(df)
-    check_rate_range(df)
-    check_no_duplicates(df)
-    check_continuity(df)
+def run_suite(df: DataFrame, c: str, bounds: tuple, check_names, fall: bool) -> bool:
+    """Column names, nulls, bounds, repeated dates, gaps and, with `fall`, falls: from one report."""
+    check_names(df)
+    needed = ("date", c, "year", "month")
+    found = report(df, c, *bounds, nulls=needed).first()
+    if any(found[f"null_{x}"] for x in needed):
+        check_no_nulls(df, needed)
+    if found.n_outside:
+        check_range(df, c, *bounds)
+    if found.n_repeats:
+        check_no_duplicates(df)
+    if found.n_rows < 2:
+        warn("too few rows to check continuity")
+    elif found.n_gaps:
+        warn(f"{found.n_gaps} gaps of more than {GAP_DAYS} days")
+    if fall and found.n_drops:
+        warn(f"{found.n_drops} falls of more than {DROP_TOLERANCE:.0%}")
     return True
 
 
+def run_rate_checks(df: DataFrame) -> bool:
+    return run_suite(df, "unemployment_rate", RATE_BOUNDS, check_columns, False)
+
+
 def run_index_checks(df: DataFrame) -> bool:
-    check_index_columns(df)
-    check_no_nulls(df, ("date", "ipc_index", "year", "month"))
-    check_index_range(df)
-    check_no_duplicates(df)
-    check_continuity(df)
-    check_drops(df)
-    return True
+    return run_suite(df, "ipc_index", INDEX_BOUNDS, check_index_columns, True)

@@ -1,4 +1,4 @@
-"""python -m gridloom.plans.cli [--all | --ipc | --unemployment]"""
+"""python -m gridloom.plans.cli [--all | --ipc | --unemployment | --flat]"""
 
 from __future__ import annotations
 
@@ -16,13 +16,15 @@ from gridloom.sources.files import Landed, Web, setup_logging
 
 
 def chosen(args) -> tuple:
-    """--all before --ipc before --unemployment, which is also the default."""
-    return (feeds.run_rate, feeds.run_index) if args.all else (feeds.run_index,) if args.ipc else (feeds.run_rate,)
+    """--all before --ipc before --unemployment, which is also the default, before --flat."""
+    if args.flat and not (args.all or args.ipc or args.unemployment):
+        return (feeds.run_flat,)
+    return (feeds.run_all,) if args.all else (feeds.run_index,) if args.ipc else (feeds.run_rate,)
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    for name in ("all", "ipc", "unemployment"):
+    for name in ("all", "ipc", "unemployment", "flat"):
         parser.add_argument(f"--{name}", action="store_true")
     parser.add_argument("--root", type=Path, default=Path("data"))
     parser.add_argument("--landed", type=Path, help="read pages and workbooks from this folder")

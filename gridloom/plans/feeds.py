@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import logging
 from datetime import date
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.config import FlatProfile, IndexFeed, RateFeed
+from gridloom.config import YEARLY, FlatProfile, IndexFeed, Origin, Output, RateFeed
 from gridloom.operators import clean, quality
 from gridloom.sources import files, links
 from gridloom.sources.xlsx import read_cells
@@ -17,22 +16,29 @@ from gridloom.sources.xlsx import read_cells
 log = logging.getLogger("gridloom.feeds")
 
 
-def page_links(spark: SparkSession, page: Path, feed) -> DataFrame:
+def page_links(spark: SparkSession, page, origin: Origin) -> DataFrame:
     html = spark.read.text(str(page), wholetext=True).withColumnRenamed("value", "html")
-    return links.extract_links(html, F.lit(feed.base_url + "/"), feed.link_pattern)
+    return links.extract_links(html, F.lit(origin.host + "/"), origin.links)
 
 
-def acquire(spark: SparkSession, feed, fetch, raw: Path) -> Path:
+def acquire(spark: SparkSession, origin: Origin, output: Output, fetch, raw: str) -> str:
     """Lands the page, then the newest workbook it links to."""
-    page = files.save_page(fetch.read(feed.page_url).decode("utf-8", "replace"), raw / f"{Path(feed.raw_name).stem}.html")
-    found = page_links(spark, page, feed)
-    newest = links.target(found, feed.target_pattern) if isinstance(feed, IndexFeed) else links.newest(found)
-    chosen = links.only(found, newest, feed.link_pattern)
+    page = files.land(spark, fetch.read(origin.page), f"{raw}/{output.landed.rpartition('.')[0]}.html")
+    found = page_links(spark, page, origin)
+    newest = links.target(found, origin.wanted) if origin.wanted else links.newest(found)
+    chosen = links.only(found, newest, origin.links)
     log.info("chosen: %s", chosen.href)
-    return files.download(fetch, chosen.url, raw / feed.raw_name)
+    return files.download(spark, fetch, chosen.url, f"{raw}/{output.landed}")
 
 
-def publish(df: DataFrame, path: Path, check, always: bool) -> DataFrame:
+def download_profile(spark: SparkSession, fetch, raw: str, profile: FlatProfile = YEARLY) -> str:
+    """Lands the file of a flat profile."""
+    if not profile.url:
+        raise ValueError(f"the profile {profile.name!r} has no address")
+    return files.download(spark, fetch, profile.url, f"{raw}/{profile.landed}")
+
+
+def publish(df: DataFrame, path: str, check, always: bool) -> DataFrame:
     """Checks, then saves; with `always` saves first, so a failing series is kept to look at."""
     df = df.cache()
     if always:
@@ -41,34 +47,41 @@ def publish(df: DataFrame, path: Path, check, always: bool) -> DataFrame:
     if not always:
         files.save_series(df, path)
     first, last, n = df.agg(F.min("date"), F.max("date"), F.count("*")).first()
-    log.info("%s: %s rows, %s to %s", path.name, n, first, last)
+    log.info("%s: %s rows, %s to %s", path.rpartition("/")[2], n, first, last)
     return df
 
 
-def run_rate(spark: SparkSession, fetch, root: Path, feed: RateFeed | None = None, run_date: str | None = None, always: bool = False) -> DataFrame:
-    feed, folders = feed or RateFeed(), files.ensure_folders(Path(root))
-    cells = read_cells(spark, str(acquire(spark, feed, fetch, folders["raw"])))
-    series = clean.clean_rate(cells, run_date or date.today().isoformat(), feed).select(*feed.columns)
+def run_feed(spark: SparkSession, fetch, root, feed, run_date: str | None, always: bool, cleaner, check, empty: str) -> DataFrame:
+    folders, today = files.ensure_folders(spark, root), run_date or date.today().isoformat()
+    cells = read_cells(spark, acquire(spark, feed.origin, feed.output, fetch, folders["raw"]), feed.sheet).cache()
+    series = cleaner(cells, today, feed).select(*feed.output.columns)
     if series.isEmpty():
-        raise ValueError(f"no row matches {feed.label!r}, or none of its columns has a date")
-    return publish(series, folders["processed"] / feed.out_name, quality.run_rate_checks, always)
+        raise ValueError(empty)
+    return publish(series, f"{folders['processed']}/{feed.output.published}", check, always)
 
 
-def run_index(spark: SparkSession, fetch, root: Path, feed: IndexFeed | None = None, run_date: str | None = None, always: bool = False) -> DataFrame:
-    feed, folders = feed or IndexFeed(), files.ensure_folders(Path(root))
-    cells = read_cells(spark, str(acquire(spark, feed, fetch, folders["raw"])))
-    series = clean.clean_index(cells, run_date or date.today().isoformat(), feed).select(*feed.columns)
-    if series.isEmpty():
-        raise ValueError("no row has a known month and a year with a value")
-    return publish(series, folders["processed"] / feed.out_name, quality.run_index_checks, always)
+def run_rate(spark: SparkSession, fetch, root, feed: RateFeed | None = None, run_date: str | None = None, always: bool = False) -> DataFrame:
+    return run_feed(spark, fetch, root, feed or RateFeed(), run_date, always, clean.checked_clean_rate, quality.run_rate_checks, "no column under the label has a date and a value")
+
 
+def run_index(spark: SparkSession, fetch, root, feed: IndexFeed | None = None, run_date: str | None = None, always: bool = False) -> DataFrame:
+    return run_feed(spark, fetch, root, feed or IndexFeed(), run_date, always, clean.clean_index, quality.run_index_checks, "no row has a known month and a year with a value")
 
-def run_all(spark: SparkSession, fetch, root: Path, **options) -> None:
+
+def run_all(spark: SparkSession, fetch, root, **options) -> None:
     """One feed after the other; if the first fails, the second doesn't run."""
     run_rate(spark, fetch, root, **options)
     run_index(spark, fetch, root, **options)
 
 
+def run_flat(spark: SparkSession, fetch, root, profile: FlatProfile = YEARLY, run_date: str | None = None, always: bool = False) -> DataFrame:
+    """A flat profile from its address to a published series."""
+    folders = files.ensure_folders(spark, root)
+    landed = download_profile(spark, fetch, folders["raw"], profile)
+    series = clean_flat_file(spark, landed, profile, run_date or date.today().isoformat())
+    return publish(series.select(*RateFeed().output.columns), f"{folders['processed']}/{profile.name}.csv", quality.run_rate_checks, always)
+
+
 def clean_flat_file(spark: SparkSession, path, profile: FlatProfile, run_date: str) -> DataFrame:
-    data = files.read_flat_csv(spark, path) if profile.file_format == "csv" else read_cells(spark, str(path))
+    data = files.read_flat_csv(spark, path) if profile.file_format == "csv" else read_cells(spark, str(path), profile.sheet)
     return clean.clean_flat(data, profile, run_date)

@@ -167,18 +167,18 @@ def date_parse(spark, sf_dir):
 def document_grid(spark, sf_dir) -> DataFrame:
     """Each document as a sheet: lines are rows, words are cells."""
     lines = table(spark, sf_dir, "documents").select(F.col("source").alias("file"), F.col("doc_id").cast("string").alias("sheet"), F.col("doc_id").alias("sheet_idx"), F.posexplode(F.split("text", "\n")).alias("row_idx", "line"))
-    return lines.where("row_idx < 30").select("file", "sheet", "sheet_idx", "row_idx", F.posexplode(F.split("line", " ")).alias("col_idx", "raw"))
+    return lines.select("file", "sheet", "sheet_idx", "row_idx", F.posexplode(F.split("line", " ")).alias("col_idx", "raw"))
 
 
 GRID_SQL = """r AS (
   SELECT source AS file, CAST(doc_id AS VARCHAR) AS sheet, doc_id AS sheet_idx, CAST(i - 1 AS INTEGER) AS row_idx, lower(line) AS t
-  FROM (SELECT source, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE i <= 30
+  FROM (SELECT source, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 )"""
 WANTED = ("the", "tion", "ung", "que", "mente")
 SCORE_SQL = " + ".join(f"CAST(contains(t, '{k}') AS INTEGER)" for k in WANTED)
 
 
-@query(f"WITH {GRID_SQL}, s AS (SELECT *, {SCORE_SQL} AS score FROM r) SELECT file, sheet, CASE WHEN max(score) > 0 THEN arg_max(row_idx, [score, -row_idx]) ELSE 0 END AS header_row FROM s GROUP BY file, sheet")
+@query(f"WITH {GRID_SQL}, s AS (SELECT *, {SCORE_SQL} AS score FROM r WHERE row_idx < 30) SELECT file, sheet, CASE WHEN max(score) > 0 THEN arg_max(row_idx, [score, -row_idx]) ELSE 0 END AS header_row FROM s GROUP BY file, sheet")
 def row_arg_max(spark, sf_dir):
     return layout.header_row(document_grid(spark, sf_dir), WANTED)
 
@@ -201,7 +201,7 @@ def distinct_match_count(spark, sf_dir):
 SHEET_SCORE_SQL = " + ".join(f"CAST(contains(t, '{k}') AS INTEGER) + 2 * CAST(contains(sheet, '{k}') AS INTEGER)" for k in (*WANTED, "7"))
 
 
-@query(f"WITH {GRID_SQL}, b AS (SELECT file, sheet, sheet_idx, string_agg(t, ' ' ORDER BY row_idx) AS t FROM r GROUP BY ALL), s AS (SELECT *, {SHEET_SCORE_SQL} AS score FROM b) SELECT file, arg_max(sheet, [score, -sheet_idx]) AS sheet, max(score) AS score FROM s GROUP BY file")
+@query(f"WITH {GRID_SQL}, b AS (SELECT file, sheet, sheet_idx, string_agg(t, ' ' ORDER BY row_idx) FILTER (row_idx < 40) AS t FROM r GROUP BY ALL), s AS (SELECT *, {SHEET_SCORE_SQL} AS score FROM b) SELECT file, arg_max(sheet, [score, -sheet_idx]) AS sheet, max(score) AS score FROM s GROUP BY file")
 def best_sheet(spark, sf_dir):
     return layout.best_sheet(document_grid(spark, sf_dir), (*WANTED, "7"))
 
@@ -255,13 +255,15 @@ WITH {PERIODS_SQL}, k AS (SELECT *, CASE WHEN m IS NULL THEN 0 ELSE y END AS y0,
 SELECT o_custkey, arg_max(href, [y0, m0, -o_orderkey]) AS newest_strict, arg_max(href, [y, m0, -o_orderkey]) AS newest_by_year FROM k GROUP BY o_custkey""")
 def period_sort_variants(spark, sf_dir):
     hrefs = order_hrefs(spark, sf_dir)
-    strict = links.newest(hrefs, False, ("o_custkey",)).select("o_custkey", F.col("href").alias("newest_strict"))
-    return strict.join(links.newest(hrefs, True, ("o_custkey",)).select("o_custkey", F.col("href").alias("newest_by_year")), "o_custkey")
+    return links.newest_variants(hrefs, ("o_custkey",)).select("o_custkey", F.col("strict.href").alias("newest_strict"), F.col("by_year.href").alias("newest_by_year"))
 
 
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(lower(regexp_replace(substr(text, 1, 40), '^\s+|\s+$', '', 'g')), '\s+', '_', 'g'), '[^\p{L}\p{N}_]', '', 'g') AS name FROM documents")
+BLANK_SQL = r"[\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(rf"SELECT doc_id, regexp_replace(regexp_replace(lower(regexp_replace(text, '^{BLANK_SQL}|{BLANK_SQL}$', '', 'g')), '{BLANK_SQL}', '_', 'g'), '[^\p{{L}}\p{{N}}_]', '', 'g') AS name FROM documents")
 def header_normalise(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.normal_header(F.substring("text", 1, 40)).alias("name"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.normal_header(F.col("text")).alias("name"))
 
 
 @query("""
@@ -281,7 +283,7 @@ def drop_null_rows(spark, sf_dir):
 @query("SELECT ['download_date', 'source', 'unemployment_rate'] AS missing, ['value'] AS extra, false AS complete, CAST(3 AS INTEGER) AS shared")
 def column_contract(spark, sf_dir):
     columns = months_of_orders(spark, sf_dir).columns
-    expected, actual = (F.array(*map(F.lit, c)) for c in (RateFeed().columns, columns))
+    expected, actual = (F.array(*map(F.lit, c)) for c in (RateFeed().output.columns, columns))
     missing = F.array_sort(F.array_except(expected, actual))
     return spark.range(1).select(missing.alias("missing"), F.array_sort(F.array_except(actual, expected)).alias("extra"), (F.size(missing) == 0).alias("complete"), F.size(F.array_intersect(expected, actual)).alias("shared"))
 
@@ -339,3 +341,79 @@ def month_year_parse(spark, sf_dir):
     months = text_cells(data.select("file", "sheet", "month").distinct(), (row, F.lit(0), F.initcap(text.lookup(names, F.col("month")))))
     head = text_cells(data.select("file", "sheet").distinct(), (F.lit(8), F.lit(0), F.lit("Mes")))
     return clean.clean_index(body.unionByName(years).unionByName(months).unionByName(head), "2026-01-01", IndexFeed(header_row=None))
+
+
+def order_sheets(spark, sf_dir) -> DataFrame:
+    """A grid of years (some written 2001.0) and month names, 50 sheets, with rows past every scan bound."""
+    orders, names = table(spark, sf_dir, "orders"), {v: k for k, v in SHORT_MONTHS.items()}
+    key, year = F.col("o_orderkey"), F.year("o_orderdate").cast("string")
+    raw = F.when(key % 2 == 0, F.initcap(text.lookup(names, F.month("o_orderdate")))).when(key % 5 == 0, F.concat(year, F.lit(".0"))).otherwise(year)
+    row = F.dayofmonth("o_orderdate") + F.when(key % 3 == 0, 20).otherwise(0)
+    return orders.select(F.col("o_orderstatus").alias("file"), (F.col("o_custkey") % 50).cast("string").alias("sheet"), F.lit(0).alias("sheet_idx"), row.alias("row_idx"), key.cast("int").alias("col_idx"), raw.alias("raw"))
+
+
+SHEETS_SQL = f"""g AS (
+  SELECT o_orderstatus AS file, CAST(o_custkey % 50 AS VARCHAR) AS sheet, CAST(day(o_orderdate) + CASE WHEN o_orderkey % 3 = 0 THEN 20 ELSE 0 END AS INTEGER) AS row_idx,
+    CASE WHEN o_orderkey % 2 = 0 THEN {name_case('month(o_orderdate)', SHORT_MONTHS)} END AS mon, o_orderkey % 2 <> 0 AS is_year FROM orders
+), n AS (
+  SELECT file, sheet, row_idx, count(*) AS years FROM g WHERE is_year AND row_idx < 30 GROUP BY ALL
+), y AS (
+  SELECT s.file, s.sheet, coalesce(arg_max(n.row_idx, [n.years, -n.row_idx]), 0) AS year_row FROM (SELECT DISTINCT file, sheet FROM g) s LEFT JOIN n ON n.file = s.file AND n.sheet = s.sheet GROUP BY ALL
+)"""
+
+
+@query(f"WITH {SHEETS_SQL} SELECT file, sheet, year_row FROM y")
+def year_row(spark, sf_dir):
+    return layout.year_row(order_sheets(spark, sf_dir))
+
+
+@query(f"""
+WITH {SHEETS_SQL}, d AS (
+  SELECT g.file, g.sheet, g.row_idx FROM g JOIN y ON g.file = y.file AND g.sheet = y.sheet
+  WHERE g.row_idx > year_row AND g.row_idx <= year_row + 5 AND mon IS NOT NULL GROUP BY ALL HAVING count(DISTINCT mon) >= 6
+), f AS (SELECT file, sheet, min(row_idx) AS month_row FROM d GROUP BY ALL)
+SELECT y.file, y.sheet, year_row, coalesce(month_row, year_row + 1) AS month_row FROM y LEFT JOIN f ON f.file = y.file AND f.sheet = y.sheet""")
+def month_row(spark, sf_dir):
+    cells = order_sheets(spark, sf_dir)
+    return layout.month_row(cells, layout.year_row(cells))
+
+
+FIELDS = {"first": ("^th", "ung$"), "second": ("e", "^a"), "third": ("^zzz",)}
+
+
+@query(r"""
+WITH h AS (
+  SELECT file, sheet, CAST(c - 1 AS INTEGER) AS col_idx, regexp_replace(w, '[^\p{L}\p{N}_]', '', 'g') AS name
+  FROM (SELECT file, sheet, unnest(string_split(t, ' ')) AS w, generate_subscripts(string_split(t, ' '), 1) AS c FROM r WHERE row_idx = 0)
+), a AS (SELECT file, sheet, min(col_idx) AS col_idx FROM h WHERE regexp_matches(name, '^th|ung$') GROUP BY ALL),
+b AS (SELECT h.file, h.sheet, min(h.col_idx) AS col_idx FROM h LEFT JOIN a ON a.file = h.file AND a.sheet = h.sheet
+  WHERE regexp_matches(name, 'e|^a') AND h.col_idx IS DISTINCT FROM a.col_idx GROUP BY ALL)
+SELECT file, sheet, 'first' AS field, col_idx FROM a UNION ALL SELECT file, sheet, 'second', col_idx FROM b""".replace("WITH h", f"WITH {GRID_SQL}, h", 1))
+def column_auto_map(spark, sf_dir):
+    cells = document_grid(spark, sf_dir)
+    return layout.field_columns(cells, cells.select("file", "sheet").distinct().withColumn("header_row", F.lit(0)), FIELDS)
+
+
+@query(f"SELECT file, make_date(y, mo, 1) AS date, CAST(y AS INTEGER) AS year, CAST(mo AS INTEGER) AS month, CAST(n AS DOUBLE) AS unemployment_rate, 'DANE' AS source, '2026-01-01' AS download_date FROM ({FLAGS_SQL})")
+def flat_cells_clean(spark, sf_dir):
+    data = quantities(spark, sf_dir, F.col("l_returnflag")).withColumn("sheet", F.lit("Tasa"))
+    row = 10 + (F.col("year") - 1980) * 12 + F.col("month")
+    body = text_cells(data, (row, F.lit(1), F.col("year")), (row, F.lit(2), F.col("month")), (row, F.lit(4), F.col("value")))
+    sheets = data.select("file", "sheet").distinct()
+    # a title, a sheet that is not meant, and a header that stands in another row of each file
+    at = F.ascii("file") % 4 + 3
+    head = text_cells(sheets, (F.lit(0), F.lit(0), F.lit("Total")), (at, F.lit(1), F.lit(" Año ")), (at, F.lit(2), F.lit("MES")), (at, F.lit(4), F.lit("Tasa de desempleo")))
+    other = text_cells(sheets.withColumn("sheet", F.lit("Notas")), (F.lit(0), F.lit(0), F.lit("Año"))).withColumn("sheet_idx", F.lit(1))
+    return clean.clean_flat(body.unionByName(head).unionByName(other), FlatProfile("lines", "lines.xlsx", "xlsx"), "2026-01-01")
+
+
+@query(f"""
+SELECT file, make_date(y, mo, 1) AS date, CAST(y AS INTEGER) AS year, CAST(mo AS INTEGER) AS month, CAST(n AS DOUBLE) AS unemployment_rate, 'DANE' AS source, '2026-01-01' AS download_date FROM ({FLAGS_SQL})""")
+def pivot_layout_parse(spark, sf_dir):
+    """The rate feed without pinned rows: years, months and the label are found."""
+    names = {v: k for k, v in SHORT_MONTHS.items()}
+    data = quantities(spark, sf_dir, F.col("l_returnflag")).withColumn("sheet", F.lit("Total nacional"))
+    column, at = (F.col("year") - 1980) * 12 + F.col("month"), F.ascii("file") % 5 + 6
+    cells = text_cells(data, (at, column, F.col("year")), (at + 2, column, F.initcap(text.lookup(names, F.col("month")))), (at + 9, column, F.col("value")))
+    label = text_cells(data.select("file", "sheet").distinct(), (at + 4, F.lit(0), F.lit("Población")), (at + 9, F.lit(0), F.lit(" TASA DE DESOCUPACIÓN (TD)")))
+    return clean.clean_rate(cells.unionByName(label), "2026-01-01", RateFeed(year_row=None, month_row=None))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import logging
-import shutil
 import urllib.request
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOG_FORMAT = "%(asctime)s | %(levelname)-8s | %(name)s | %(message)s"
+LOG_FORMAT = "%(asctime)s %(levelname)s %(name)s: %(message)s"
 AGENT = {"User-Agent": "Mozilla/5.0 (compatible; gridloom)"}
 SERIES = "date date, year int, month int, {measure} double, source string, download_date string"
 
@@ -28,10 +27,17 @@ def setup_logging(folder: Path, level: int = logging.INFO) -> logging.Logger:
     return log
 
 
-def ensure_folders(root: Path) -> dict[str, Path]:
-    folders = {n: root / n for n in ("raw", "processed", "logs")}
-    for f in folders.values():
-        f.mkdir(parents=True, exist_ok=True)
+def located(spark: SparkSession, path):
+    """(file system, path) in Hadoop's terms; a path may be of any store that Spark knows."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(str(path))
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def ensure_folders(spark: SparkSession, root) -> dict[str, str]:
+    folders = {n: f"{str(root).rstrip('/')}/{n}" for n in ("raw", "processed", "logs")}
+    for folder in folders.values():
+        fs, target = located(spark, folder)
+        fs.mkdirs(target)
     return folders
 
 
@@ -58,28 +64,29 @@ class Landed:
         return (path if path.exists() else self.folder / "page.html").read_bytes()
 
 
-def download(fetch, url: str, path: Path) -> Path:
-    """Writes what the address holds, over whatever was there."""
-    content = fetch.read(url)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_bytes(content)
-    return path
+def land(spark: SparkSession, content: bytes, path) -> str:
+    """Writes the content, over whatever was there."""
+    fs, target = located(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+    return str(path)
 
 
-def save_page(html: str, path: Path) -> Path:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(html, encoding="utf-8")
-    return path
+def download(spark: SparkSession, fetch, url: str, path) -> str:
+    return land(spark, fetch.read(url), path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def exists(spark: SparkSession, path) -> bool:
+    fs, target = located(spark, path)
+    return fs.exists(target)
 
 
 def load_series(spark: SparkSession, path, measure: str) -> DataFrame:
     """A published series, with its own types."""
-    if not exists(spark, str(path)):
+    if not exists(spark, path):
         raise FileNotFoundError(f"no such file: {path}")
     return spark.read.csv(str(path), header=True, schema=SERIES.format(measure=measure))
 
@@ -88,12 +95,14 @@ def read_flat_csv(spark: SparkSession, path) -> DataFrame:
     return spark.read.csv(str(path), header=True)
 
 
-def save_series(df: DataFrame, path: Path) -> Path:
-    """One CSV file in order of date; a series has one row a month."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(f".{path.name}.parts")
-    df.withColumn("date", F.col("date").cast("string")).coalesce(1).sortWithinPartitions("date").write.mode("overwrite").option("header", True).csv(part.as_uri() if part.is_absolute() else str(part))
-    next(part.glob("part-*.csv")).replace(path)
-    shutil.rmtree(part)
-    return path
+def save_series(df: DataFrame, path) -> str:
+    """One CSV file in order of date; a series has one row a month. It takes its name when it is whole."""
+    spark, (folder, _, name) = df.sparkSession, str(path).rpartition("/")
+    parts = f"{folder or '.'}/.{name}.parts"
+    df.withColumn("date", F.col("date").cast("string")).coalesce(1).sortWithinPartitions("date").write.mode("overwrite").option("header", True).csv(parts)
+    fs, target = located(spark, path)
+    _, made = located(spark, f"{parts}/part-*.csv")
+    fs.delete(target, False)
+    fs.rename(fs.globStatus(made)[0].getPath(), target)
+    fs.delete(made.getParent(), True)
+    return str(path)

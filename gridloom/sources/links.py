@@ -48,11 +48,20 @@ def newest_first(links: DataFrame, keep_year: bool = False, keys=()) -> DataFram
     return links.withColumn("rank", F.row_number().over(order))
 
 
+def best_link(keep_year: bool) -> Column:
+    """An aggregate: the newest link, the earlier in the page among equals."""
+    k = period_key(F.col("href"), keep_year)
+    return F.max_by(F.struct("url", "text", "href"), F.struct(k.alias("k"), (-F.col("ordinal")).alias("o")))
+
+
 def newest(links: DataFrame, keep_year: bool = False, keys=()) -> DataFrame:
     """The newest link of each page (or of all)."""
-    k = period_key(F.col("href"), keep_year)
-    best = F.max_by(F.struct("url", "text", "href"), F.struct(k.alias("k"), (-F.col("ordinal")).alias("o")))
-    return links.groupBy(*keys).agg(best.alias("b")).where("b is not null").select(*keys, "b.url", "b.text", "b.href")
+    return links.groupBy(*keys).agg(best_link(keep_year).alias("b")).where("b is not null").select(*keys, "b.url", "b.text", "b.href")
+
+
+def newest_variants(links: DataFrame, keys=()) -> DataFrame:
+    """`strict` and `by_year`: the newest link of each page by either key for unknown months, in one pass."""
+    return links.groupBy(*keys).agg(best_link(False).alias("strict"), best_link(True).alias("by_year"))
 
 
 def target(links: DataFrame, pattern: str, keys=()) -> DataFrame:

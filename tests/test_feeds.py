@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.config import FlatProfile, IndexFeed, RateFeed
+from gridloom.config import FlatProfile, Header, IndexFeed, RateFeed
 from gridloom.operators import clean, layout, quality
 from gridloom.plans import cli, feeds
 from gridloom.sources import files, links
@@ -26,8 +26,8 @@ def index_cells(spark, folder):
     return read_cells(spark, wb.write(folder / "index.xlsx", {"IndicesIPC": wb.index_grid()}, shared=False)).cache()
 
 
-FLAT = [["Encuesta", None, None], ["Tasa de desempleo nacional", None, None], [None] * 3, ["Año", "Mes", "Tasa de desempleo (%)"]]
-FLAT += [[2020, m + 1, v] for m, v in enumerate((13.0, 12.2, 12.6, 19.8, 21.4, 19.8))] + [[2021, m + 1, v] for m, v in enumerate((17.3, 15.9, 14.2))]
+FLAT = [["Hogares", None, None], ["Tasa, serie nacional", None, None], [None] * 3, ["Año", "Mes", "Tasa de desempleo (%)"]]
+FLAT += [[2014 + k // 6, 2 * (k % 6) + 1, 7.5 + k / 4] for k in range(9)]
 
 
 def test_rows_are_found(rate_cells):
@@ -41,16 +41,18 @@ def test_rows_are_found(rate_cells):
 @pytest.mark.parametrize("feed", [RateFeed(), RateFeed(year_row=None, month_row=None)])
 def test_rate(rate_cells, feed):
     rows = clean.clean_rate(rate_cells, "2026-01-01", feed).orderBy("date").collect()
-    assert len(rows) == 36 and rows[0].unemployment_rate == 12.0 and rows[0].source == "DANE" and rows[0].download_date == "2026-01-01"
+    assert len(rows) == 36 and rows[0].source == "DANE" and rows[0].download_date == "2026-01-01"
     assert [r.unemployment_rate for r in rows] == [wb.rate_value(y, m) for y in range(3) for m in range(12)]
 
 
 def test_rate_of_part_of_a_year(spark, folder):
-    values = (11.5, 12.0, 10.8, 9.5, 9.2, 8.8)
+    values = (3.25, 4.5, 4.75, 6.0, 5.5, 5.25)
     cells = read_cells(spark, wb.write(folder / "part.xlsx", {"Total nacional": wb.rate_grid(1, 2025, 6, values)}))
     rows = clean.clean_rate(cells, "2026-01-01").orderBy("date").collect()
     assert [r.unemployment_rate for r in rows] == list(values) and rows[0].date == date(2025, 1, 1)
     assert clean.clean_rate(cells, "d", RateFeed(label="No hay")).isEmpty()
+    with pytest.raises(clean.LabelNotFound, match="No hay"):
+        clean.checked_clean_rate(cells, "d", RateFeed(label="No hay"))
 
 
 def test_a_year_that_is_no_number_keeps_the_year_before_it(spark, folder):
@@ -64,8 +66,8 @@ def test_a_year_that_is_no_number_keeps_the_year_before_it(spark, folder):
 @pytest.mark.parametrize("feed", [IndexFeed(), IndexFeed(header_row=None), IndexFeed(sheet=None)])
 def test_index(index_cells, feed):
     rows = clean.clean_index(index_cells, "2026-01-01", feed).orderBy("date").collect()
-    assert len(rows) == 26 and (rows[0].year, rows[0].month, rows[0].ipc_index) == (2023, 1, 120.5) and (rows[-1].year, rows[-1].month, rows[-1].ipc_index) == (2025, 2, 133.7)
-    assert quality.run_index_checks(clean.clean_index(index_cells, "d").select(*IndexFeed().columns))
+    assert len(rows) == 26 and [(r.year, r.month, r.ipc_index) for r in rows] == [(2023 + k // 12, k % 12 + 1, wb.index_value(k // 12, k % 12)) for k in range(26)]
+    assert quality.run_index_checks(clean.clean_index(index_cells, "d").select(*IndexFeed().output.columns))
 
 
 def test_index_oddities(spark, folder):
@@ -78,12 +80,12 @@ def test_index_oddities(spark, folder):
 def test_flat_workbook(spark, folder):
     path = wb.write(folder / "flat.xlsx", {"Portada": [["nada"]], "Tasa": FLAT})
     rows = feeds.clean_flat_file(spark, path, FlatProfile("flat", "flat.xlsx", "xlsx"), "d").orderBy("date").collect()
-    assert len(rows) == 9 and rows[0].unemployment_rate == 13.0 and rows[0].date == date(2020, 1, 1) and all(r.year >= 2000 for r in rows)
+    assert [(r.date, r.unemployment_rate) for r in rows] == [(date(2014 + k // 6, 2 * (k % 6) + 1, 1), 7.5 + k / 4) for k in range(9)]
     yearly = [["Año", "Tasa de desempleo"], [2020, 15.9], [2021, 13.7]]
     path = wb.write(folder / "yearly.xlsx", {"S": yearly})
     rows = feeds.clean_flat_file(spark, path, FlatProfile("flat", "flat.xlsx", "xlsx"), "d").orderBy("date").collect()
     assert [(r.date, r.month) for r in rows] == [(date(2020, 1, 1), 1), (date(2021, 1, 1), 1)]
-    mapped = FlatProfile("flat", "flat.xlsx", "xlsx", column_mapping={"año": "year", "tasa_de_desempleo": "unemployment_rate"}, header_row=0)
+    mapped = FlatProfile("flat", "flat.xlsx", "xlsx", fields=clean.named({"año": "year", "tasa_de_desempleo": "unemployment_rate"}), header=Header(row=0))
     assert feeds.clean_flat_file(spark, path, mapped, "d").count() == 2
 
 
@@ -147,15 +149,15 @@ INDEX_PAGE = "".join(f"<a href='/files/operaciones/IPC/feb2026/anex-IPC-{n}.xlsx
 
 def test_links(spark):
     pages = spark.createDataFrame([(PAGE,)], "html string")
-    found = links.extract_links(pages, F.lit("https://www.dane.gov.co/"), RateFeed().link_pattern)
+    found = links.extract_links(pages, F.lit("https://www.dane.gov.co/"), RateFeed().origin.links)
     assert [r.href.rsplit("-", 1)[1] for r in found.orderBy("ordinal").collect()] == ["dic2025.xlsx", "ene2026.xlsx"]
     best = links.newest(found).first()
     assert best.url == "https://www.dane.gov.co/files/operaciones/GEIH/anex-GEIH-ene2026.xlsx" and best.text == "Descargar ya"
     empty = links.extract_links(spark.createDataFrame([("",)], "html string"), F.lit("x"), ".")
     with pytest.raises(ValueError, match="no link"):
         links.only(empty, links.newest(empty), "annex")
-    both = links.extract_links(spark.createDataFrame([(INDEX_PAGE,)], "html string"), F.lit("https://x/"), IndexFeed().link_pattern)
-    assert both.count() == 4 and "zzz2027" in links.target(both, IndexFeed().target_pattern).first().href
+    both = links.extract_links(spark.createDataFrame([(INDEX_PAGE,)], "html string"), F.lit("https://x/"), IndexFeed().origin.links)
+    assert both.count() == 4 and "zzz2027" in links.target(both, IndexFeed().origin.wanted).first().href
     assert "feb2026" in links.newest(both.where(F.contains("href", F.lit("Indices")))).first().href
 
 
@@ -192,5 +194,21 @@ def test_command_line(spark, tmp_path, monkeypatch):
 
 
 def test_feeds_of_the_command_line():
-    args = type("A", (), {"all": False, "ipc": True, "unemployment": True})
+    args = type("A", (), {"all": False, "ipc": True, "unemployment": True, "flat": True})
     assert cli.chosen(args) == (feeds.run_index,)
+    args.all = True
+    assert cli.chosen(args) == (feeds.run_all,)
+
+
+def test_flat_profile_from_its_address(spark, tmp_path):
+    (tmp_path / "aat1.csv").write_text("year,unemployed_percent\n2001,4.7\n2002,5.8\n")
+    assert cli.main(["--flat", "--root", str(tmp_path / "out"), "--landed", str(tmp_path)]) == 0
+    assert [r.unemployment_rate for r in files.load_series(spark, tmp_path / "out/processed/yearly.csv", "unemployment_rate").orderBy("date").collect()] == [4.7, 5.8]
+    with pytest.raises(ValueError, match="address"):
+        feeds.download_profile(spark, None, str(tmp_path), FlatProfile("x", "x.csv"))
+
+
+def test_public_names():
+    import gridloom
+
+    assert all(callable(getattr(gridloom, n)) for n in gridloom.__all__) and len(gridloom.__all__) >= 7

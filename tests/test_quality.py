@@ -107,11 +107,28 @@ def test_published_series(spark, name, measure, want, gaps, drops):
     assert (q.run_rate_checks if measure == "unemployment_rate" else q.run_index_checks)(df)
 
 
+def test_a_long_series(spark):
+    """296 months with one gap of 182 days and three falls, as the published one has, against plain Python."""
+    months = [date(2001 + k // 12, k % 12 + 1, 1) for k in range(301) if not 229 < k < 235]
+    values = [10 + math.sin(k / 9) * 3 + k % 5 / 10 for k in range(len(months))]
+    for k in (40, 120, 200):
+        values[k:] = [v * 0.8 for v in values[k:]]
+    df = spark.createDataFrame([(d, d.year, d.month, v, "S", "x") for d, v in zip(months, values, strict=True)], "date date, year int, month int, unemployment_rate double, source string, download_date string")
+    ordered, n = sorted(values), len(values)
+    at = lambda q: ordered[int(q * (n - 1))] + (q * (n - 1) % 1) * (ordered[min(n - 1, int(q * (n - 1)) + 1)] - ordered[int(q * (n - 1))])
+    mean = sum(values) / n
+    std = math.sqrt(sum((v - mean) ** 2 for v in values) / (n - 1))
+    assert series.describe(df, "unemployment_rate").first()[:] == pytest.approx((n, mean, std, ordered[0], at(0.25), at(0.5), at(0.75), ordered[-1]))
+    falls = sum(b / a - 1 < -0.15 for a, b in zip(values, values[1:]))
+    assert n == 296 and q.gaps(df).count() == 1 and q.drops(df, "unemployment_rate").count() == falls >= 3 and q.run_rate_checks(df)
+    assert series.with_mean(df, "unemployment_rate").first().mean == pytest.approx(mean) and series.head(df).count() == 10
+
+
 def test_csv_round_trip(spark, tmp_path):
     from gridloom.sources.files import load_series, save_series
 
     df = frame(spark, [16.622326481659027, 3.5, 4.4])
     path = save_series(df, tmp_path / "deep/x.csv")
     assert load_series(spark, path, "unemployment_rate").orderBy("date").collect() == df.collect()
-    with path.open() as f:
+    with open(path) as f:
         assert next(csv.reader(f)) == list(RATE_COLUMNS)
