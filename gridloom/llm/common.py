@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOCAL_SHARED = "spark.gridloom.local.shared"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Set while a table is written: its shuffle files go when it is done, and the driver keeps plans' texts short.
+WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxPlanStringLength": "100000"}
 
 
 def ship(spark: SparkSession) -> None:
@@ -75,12 +76,14 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
         """Writes a table and reads it; the shuffle files that led to it go at once."""
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
+        before = {k: self.spark.conf.get(k, None) for k in WRITING}
+        for k, v in WRITING.items():
+            self.spark.conf.set(k, v)
         try:
             df.write.mode(mode).parquet(self.path(name))
         finally:
-            self.spark.conf.unset(CLEANUP) if before is None else self.spark.conf.set(CLEANUP, before)
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
         return self.read(name, df.schema)
 
     def read(self, name: str, schema) -> DataFrame:
