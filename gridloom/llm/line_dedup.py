@@ -50,17 +50,15 @@ def cell_of(h: Column) -> Column:
     return h.bitwiseAND(F.lit(CELLS - 1)).cast("int")
 
 
-def word_counts(docs: DataFrame) -> Column:
-    """An array of CELLS numbers that tell how often words of all texts fall into a hash cell, on
-    a logarithmic scale. Its size does not depend on the data."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """One row with `counts`, an array of CELLS numbers that tell how often words of all texts fall into a hash
+    cell, on a logarithmic scale. Its size does not depend on the data."""
     words = docs.select(F.explode(F.split(spaced(F.lower("text"), "\t\r\f\x0b\n"), " ")).alias("w")).where("w <> ''")
     cells = words.groupBy(cell_of(F.xxhash64("w")).alias("cell")).agg(F.count("*").alias("n"))
-    scale = F.least(F.lit(126), F.floor(F.log2("n") * 2) + 1)
-    # eight cells to a number on the way
-    eight = F.bit_or(F.call_function("shiftleft", scale, F.col("cell").bitwiseAND(F.lit(7)) * 8)).alias("bytes")
-    found = {r.at: r.bytes for r in cells.groupBy(F.shiftright("cell", 3).alias("at")).agg(eight).collect()}
-    scales = b"".join(found.get(i, 0).to_bytes(8, "little") for i in range(CELLS // 8))
-    return F.from_json(F.lit(str(list(scales))), "array<int>")
+    scale = F.coalesce(F.least(F.lit(126), F.floor(F.log2("n") * 2) + 1), F.lit(0)).cast("tinyint")
+    all_cells = docs.sparkSession.range(CELLS).select(F.col("id").cast("int").alias("cell")).join(cells, "cell", "left")
+    ordered = F.sort_array(F.collect_list(F.struct("cell", scale.alias("scale"))))
+    return all_cells.agg(ordered.alias("ordered")).select(F.col("ordered.scale").alias("counts"))
 
 
 def probe_length(size: Column) -> Column:
@@ -73,7 +71,7 @@ def index_length(size: Column) -> Column:
     return size - F.floor((8 * size + 8) / 9).cast("int") + 1
 
 
-def classes_of(docs: DataFrame, counts: Column) -> DataFrame:
+def classes_of(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """Per distinct set: its first line (doc_id, line_no), size, parities of its lower and higher hashes and its rarest words in
     order. Sets of fewer than 4 words, which resemble none but themselves, have an empty list."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -83,14 +81,17 @@ def classes_of(docs: DataFrame, counts: Column) -> DataFrame:
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
     parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda p, h: p.bitwiseXOR(bit(h)))
     low, high = parity(F.slice("hashes", F.lit(1), F.col("middle") - 1)), parity(F.slice("hashes", F.col("middle") + 1, F.col("size")))
+    size = F.col("size")
+    length = F.when(size >= 4, probe_length(size)).otherwise(0)
+    # the numbers come by a subquery, so that they stand in no plan's text; what follows names each of these columns once, so
+    # that Spark puts the subquery where it is used and not into rows
+    sets = sets.select("doc_id", "line_no", "hashes", size, low.alias("low"), high.alias("high"), length.alias("length"), counts.scalar().alias("counts"))
     # how common above, 56 bits of the word's hash below
-    common = lambda h: F.get(counts, cell_of(h)).cast("long")
+    common = lambda h: F.get("counts", cell_of(h)).cast("long")
     code = lambda h: F.shiftleft(common(h), 56).bitwiseOR(h.bitwiseAND(F.lit(MASK)))
-    size = F.col("size")
     words = F.array_remove("hashes", F.lit(0).cast("long"))
-    length = F.when(size >= 4, probe_length(size)).otherwise(0)
-    rarest = F.transform(F.slice(F.sort_array(F.transform(words, code)), F.lit(1), length), lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    first = F.struct("doc_id", "line_no", "size", low.alias("low"), high.alias("high"), rarest.alias("rarest"))
+    rarest = F.transform(F.slice(F.sort_array(F.transform(words, code)), F.lit(1), F.col("length")), lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    first = F.struct("doc_id", "line_no", "size", "low", "high", rarest.alias("rarest"))
     return sets.select(*keys_of("hashes"), first.alias("first")).groupBy("d1", "d2").agg(F.min("first").alias("first")).select("first.*")
 
 
@@ -168,7 +169,8 @@ def kept_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
     doc_id must be a key of `docs`."""
     at = ["doc_id", "line_no"]
-    classes = scratch.write(classes_of(docs, word_counts(docs)).where("size > 0"), "classes")
+    counts = scratch.write(word_counts(docs), "counts")
+    classes = scratch.write(classes_of(docs, counts).where("size > 0"), "classes")
     pairs = scratch.write(first_pairs(classes).distinct(), "first-pairs")
     gone = confirm(pairs, docs, scratch, "gone")
     marked = scratch.write(classes.join(gone.withColumn("gone", F.lit(True)), at, "left").withColumn("gone", F.col("gone").isNotNull()), "marked")
