@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .decontaminate import op6_decontaminate
+from .hard_negatives import ORACLE as NEGATIVES
+from .hard_negatives import op13_hard_negatives
 from .language_id import op2_language_id
 from .line_dedup import ORACLE as LINES
 from .line_dedup import op1_line_dedup
@@ -15,5 +17,5 @@ from .topk_search import op9_topk_search
 from .toxicity import op8_toxicity
 from .url_filter import op10_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_token_counts, op4_token_files, op5_packing, op6_decontaminate, op7_near_dedup, op8_toxicity, op9_topk_search, op10_url_filter)}
-ORACLES: dict[str, str] = {"op1_line_dedup": LINES, "op9_topk_search": TOPK}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_language_id, op3_token_counts, op4_token_files, op5_packing, op6_decontaminate, op7_near_dedup, op8_toxicity, op9_topk_search, op10_url_filter, op13_hard_negatives)}
+ORACLES: dict[str, str] = {"op1_line_dedup": LINES, "op9_topk_search": TOPK, "op13_hard_negatives": NEGATIVES}

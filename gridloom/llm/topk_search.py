@@ -17,151 +17,98 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, ship
+from .vectors import BLOCK_BYTES, BLOCK_ROWS, Best, blocks, matrix, numbers, optional, product, quantised, slices, thin, upper
 
 BLOCK = 256
-ROWS = 1 << 16
-EXACT = float(1 << 53)
 
 
-def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """vec_id and floor(scale * x) of every usable vector."""
-    x = F.col("embedding")
-    ok = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
-    return vectors.where(F.coalesce(ok, F.lit(False))).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda v: F.floor(v.cast("double") * scale)).alias("q")
-    )
-
-
-def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products of all rows of a with all rows of b."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    if most < EXACT:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
-
-
-class Best:
-    """The k best (score, vec_id) of each query: higher scores first, then smaller ids."""
-
-    def __init__(self, queries: int, k: int):
-        self.score = np.full((queries, k), -np.iinfo(np.int64).max)
-        self.vec = np.full((queries, k), np.iinfo(np.int64).max)
-
-    def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        k = self.score.shape[1]
-        if score.shape[1] > 4 * k:  # ties with the k-th stay
-            kth = -np.partition(-score, k - 1, axis=1)[:, k - 1]
-            keep = (score >= np.maximum(kth, self.score[rows, -1])[:, None]).any(0)
-            score, ids = score[:, keep], ids[keep]
-        s = np.concatenate((self.score[rows], score), axis=1)
-        v = np.concatenate((self.vec[rows], np.broadcast_to(ids, score.shape)), axis=1)
-        order = np.lexsort((v, -s), axis=1)[:, :k]
-        self.score[rows] = np.take_along_axis(s, order, 1)
-        self.vec[rows] = np.take_along_axis(v, order, 1)
-
-
-def search(ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, best: Best) -> None:
+def search(ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, best: Best, none: np.ndarray | None = None) -> None:
     """Block-at-a-time search of all queries over one set of rows, beyond what `best` holds already."""
     if not len(ids) or not len(queries):
         return
+    none = np.zeros(len(ids), bool) if none is None else none
     # like rows side by side: by the component of the largest size and its sign
-    lead = np.abs(rows).argmax(1)
-    order = np.lexsort((ids, np.sign(rows[np.arange(len(rows)), lead]), lead))
-    ids, rows = ids[order], rows[order]
+    lead = np.abs(rows).argmax(1) if rows.shape[1] else np.zeros(len(rows), np.int64)
+    sign = np.sign(rows[np.arange(len(rows)), lead]) if rows.shape[1] else lead
+    order = np.lexsort((ids, sign, lead))
+    ids, none, rows = ids[order], none[order], rows[order]
     cut = np.arange(0, len(ids), BLOCK)
     high, low = np.maximum.reduceat(rows, cut), np.minimum.reduceat(rows, cut)
-    bound = product(np.maximum(queries, 0), high) + product(np.minimum(queries, 0), low)
+    bound = upper(queries, high, low)
     visit = np.argsort(-bound, axis=1, kind="stable")
     live = np.arange(len(queries))
     for turn in range(len(cut)):
         block = visit[live, turn]
         # a bound equal to the k-th score may still bring a tie with a smaller id
-        going = bound[live, block] >= best.score[live, -1]
+        going = bound[live, block] >= best.kth[live]
         live, block = live[going], block[going]
         if not len(live):
             break
         for b in np.unique(block):
             at = live[block == b]
             part = slice(cut[b], cut[b] + BLOCK)
-            best.add(at, product(queries[at], rows[part]), ids[part])
-
-
-def matrix(column, size: int) -> np.ndarray:
-    """The lists of `size` integers each as rows."""
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-
+            best.add(at, product(queries[at], rows[part]), ids[part], none[part])
+        best.merge()
 
-def query_blocks(queries: DataFrame, block_rows: int):
-    """(number of components, ids, rows) of the queries, a block of bounded size after another;
-    queries of one dimension at a time."""
-    for size, count in sorted((r.n, r["count"]) for r in queries.groupBy(F.size("q").alias("n")).count().collect()):
-        n = max(1, -(-count // block_rows))
-        for b in range(n):
-            part = queries.where(F.size("q") == size).where(F.pmod(F.xxhash64("vec_id", "q"), F.lit(n)) == b)
-            table = part.toArrow()
-            if table.num_rows:
-                yield size, table.column("vec_id").to_numpy(), matrix(table.column("q").combine_chunks(), size)
 
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, block_rows: int = 20_000) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """For each row of `queries`, the k best rows of `vectors` other than itself: query_id,
     rank, vec_id, score (integer inner product of floor(scale * component)).
 
-    Ties go to the smaller vec_id; fewer rows give fewer results. Null vectors, vectors
+    Ties go to the smaller vec_id, and last to rows without one, which are candidates like others;
+    fewer rows give fewer results. Null vectors, vectors
     with null, NaN or infinite components, and candidates of another dimension than the
-    query take no part; an id that occurs more than once stands for so many candidates,
+    query take no part; vectors of no component score 0 with each other. An id that occurs more than once stands for so many candidates,
     of which only the query row itself is left out. Empty tables give an empty result;
-    other columns don't matter. Scores are exact within 64 bits. The queries come to the driver
-    a block at a time; a block's result is written before the next one comes.
+    other columns don't matter. Scores are exact; those beyond 64 bits saturate. The queries come to the driver
+    a block at a time, bounded in rows and bytes; a block's result is written before the next one comes.
     """
     spark = vectors.sparkSession
     ship(spark)
     rows, scratch, start, merged = quantised(vectors, scale), Scratch(spark, "top-k"), 0, None
-    for size, ids, found in query_blocks(quantised(queries, scale), block_rows):
-        shared = spark.sparkContext.broadcast((ids, found))
+    for size, table in blocks(quantised(queries, scale), scratch, "queries", block_bytes, block_rows):
+        shared = spark.sparkContext.broadcast((numbers(table.column("vec_id")), matrix(table.column("q"), size)))
         merged = scratch.write(search_block(rows.where(F.size("q") == size), shared, k, start), "found", "append")
         shared.destroy()
-        start += len(ids)
+        start += table.num_rows
     if merged is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    ranked = merged.withColumn("_at", F.row_number().over(W.partitionBy("_row").orderBy(F.desc("score"), "vec_id", F.desc("own"))))
+    ranked = merged.withColumn("_at", F.row_number().over(W.partitionBy("_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), F.desc("own"))))
     # a query's own row counts as one candidate too many: one of its id and score goes
-    own = F.min(F.when(F.col("vec_id") == F.col("query_id"), F.when(F.col("score") == F.col("self"), F.col("_at")))).over(W.partitionBy("_row"))
+    own = F.min(F.when(F.col("own") & (F.col("score") == F.col("self")), F.col("_at"))).over(W.partitionBy("_row"))
     ranked = ranked.where(F.col("_at") <= k + 1).withColumn("_own", own)
     place = F.col("_at") - F.when(F.col("_at") > F.col("_own"), 1).otherwise(0)
     return ranked.where(F.col("_own").isNull() | (F.col("_at") != F.col("_own"))).where(place <= k).select("query_id", place.cast("int").alias("rank"), "vec_id", "score")
 
 
+def own_scores(queries: np.ndarray) -> np.ndarray:
+    """Each row's inner product with itself."""
+    return np.array([product(q[None], q[None])[0, 0] for q in queries], np.int64)
+
+
 def search_block(rows: DataFrame, block, k: int, start: int) -> DataFrame:
     def run(batches):
-        query_ids, queries = block.value
-        own, best = (queries * queries).sum(1), Best(len(queries), k + 1)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def look():
-            search(np.concatenate([i for i, _ in held]), np.concatenate([v for _, v in held]), queries, best)
-            held.clear()
-
-        for batch in batches:
-            held.append((batch.column(0).to_numpy(zero_copy_only=False), matrix(batch.column(1), queries.shape[1])))
-            if sum(len(i) for i, _ in held) >= ROWS:
-                look()
-        if held:
-            look()
-        some = best.vec != np.iinfo(np.int64).max
-        q, _ = np.nonzero(some)
-        vec, score = best.vec[some], best.score[some]
-        yield pa.RecordBatch.from_pydict(
-            {"_row": q + start, "query_id": query_ids[q], "self": own[q], "vec_id": vec, "score": score, "own": (vec == query_ids[q]).astype(np.int64)}
+        (query_ids, no_id), queries = block.value
+        own, best = own_scores(queries), Best(len(queries), k + 1)
+        for table in slices(batches, queries.shape[1]):
+            (ids, none), vectors = numbers(table.column(0)), matrix(table.column(1), queries.shape[1])
+            some = thin(vectors, ids, none, k + 1)
+            search(ids[some], vectors[some], queries, best, none[some])
+        best.merge()
+        q = best.row
+        same = ~best.none & ~no_id[q] & (best.vec == query_ids[q]) | best.none & no_id[q]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(q + start), optional(query_ids[q], no_id[q]), pa.array(own[q]), optional(best.vec, best.none), pa.array(best.score), pa.array(same)],
+            names=["_row", "query_id", "self", "vec_id", "score", "own"],
         )
 
-    return rows.mapInArrow(run, "_row long, query_id long, self long, vec_id long, score long, own long")
+    return rows.mapInArrow(run, "_row long, query_id long, self long, vec_id long, score long, own boolean")
 
 
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: the 5 best of all vectors for each whose vec_id is divisible by 50.
 
-    Rows without an id are candidates and no queries; see top_k."""
+    Rows without an id are candidates only; see top_k."""
     vectors = documents(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 

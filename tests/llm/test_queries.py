@@ -24,6 +24,7 @@ TYPES = {
     "op7_near_dedup": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op8_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9_topk_search": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+    "op13_hard_negatives": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
     "op10_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
 }
 
@@ -53,7 +54,7 @@ def remainder(i, n):
 
 
 def test_all_are_here():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)] and set(TYPES) | {"op3_token_counts"} == set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in (*range(1, 11), 13)] and set(TYPES) | {"op3_token_counts"} == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
