@@ -59,12 +59,18 @@ INVERSE = np.concatenate((np.ones(1, U), np.cumprod(np.full(2 * STEP, pow(RADIX,
 
 def word_hashes(raw: np.ndarray, off: np.ndarray, ends: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """(64-bit hash of each word, first word of each text; then, for each prefix length, the
-    hash of each word's first bytes). A-Z count as a-z. `ends`: bytes that end a word.
+    hash of each word's first bytes). A-Z count as a-z. `ends`: bytes that end a word."""
+    (hashes, *more), begin, _ = word_spans(raw, off, ends, prefixes)
+    return hashes, np.searchsorted(begin, off), *more
+
+
+def word_spans(raw: np.ndarray, off: np.ndarray, ends: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """([hash of each word, then of its first bytes for each prefix length], where words begin, where they end).
 
     A word's hash is a polynomial over its bytes, from prefix sums over the buffer.
     """
     out: list[list[np.ndarray]] = [[] for _ in range(1 + len(prefixes))]
-    places = []
+    places, stops = [], []
     edge = np.zeros(len(raw) + 1, bool)
     edge[off] = True
     at = 0
@@ -87,10 +93,10 @@ def word_hashes(raw: np.ndarray, off: np.ndarray, ends: np.ndarray, prefixes: tu
             for k, size in enumerate((None, *prefixes)):
                 out[k].append(np.array([long_hash(value[a : b if size is None else min(b, a + size)]) for a, b in zip(begin, stop, strict=True)], U))
         places.append(begin + at)
+        stops.append(stop + at)
         at = to
     joined = [np.concatenate(x) if x else np.zeros(0, U) for x in out]
-    place = np.concatenate(places) if places else np.zeros(0, np.int64)
-    return joined[0], np.searchsorted(place, off), *joined[1:]
+    return joined, *(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (places, stops))
 
 
 def long_hash(value: np.ndarray) -> np.uint64:

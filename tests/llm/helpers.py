@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import xxhash
+
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, word string, n int, c string, key int, size int, items string, _keep string"
 
@@ -68,3 +70,28 @@ def contamination(texts, items, window=10):
                     found |= own
         out[i] = (len(w), len(hit), found)
     return out
+
+
+def simhash(text: str | None, words: int) -> int:
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(LOW)) if x]
+    runs = [" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))] if w else []
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in hashes) > len(hashes))
+
+
+def linked(values: dict, alike) -> dict:
+    """{key: least key that links reach}"""
+    parent = {i: i for i in values}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(values)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if alike(values[a], values[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}

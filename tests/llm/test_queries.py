@@ -24,6 +24,8 @@ TYPES = {
     "op7_near_dedup": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op8_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9_topk_search": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+    "op11_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op12_collocations": {"lang": "string", "phrase": "string", **dict.fromkeys(("rank", "a", "l", "r", "n", "score"), "bigint")},
     "op13_hard_negatives": {"anchor_id": "bigint", "positive_id": "bigint", "rank": "int", "negative_id": "bigint", "positive_score": "bigint", "negative_score": "bigint"},
     "op10_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
 }
@@ -54,7 +56,7 @@ def remainder(i, n):
 
 
 def test_all_are_here():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in (*range(1, 11), 13)] and set(TYPES) | {"op3_token_counts"} == set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)] and set(TYPES) | {"op3_token_counts"} == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -128,3 +130,9 @@ def test_url_filter(run, spark):
     for r in rows:
         host, path, rule, verdict = plain_rule(urls[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ((verdict,) if verdict else ("allow", "block"))
+
+
+def test_simhash(run, docs):
+    prints = {i: h.simhash(t, 4) for i, t in docs.items()}
+    want = h.linked(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in run("op11_simhash")} == {i: (f"{p:016x}", want[i]) for i, p in prints.items()}
