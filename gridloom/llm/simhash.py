@@ -80,7 +80,7 @@ def bits_of(fps: np.ndarray) -> np.ndarray:
 
 def block_values(fps: np.ndarray, order: np.ndarray) -> np.ndarray:
     """(fingerprints, blocks) values of 16 bits, taken in this order."""
-    return np.packbits(bits_of(fps)[:, order], axis=1, bitorder="little").view("<u2").astype(np.int64)
+    return np.ascontiguousarray(np.packbits(bits_of(fps)[:, order], axis=1, bitorder="little")).view("<u2").astype(np.int64)
 
 
 def tallied(classes: DataFrame, cells: int, count) -> np.ndarray:
