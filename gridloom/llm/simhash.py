@@ -6,7 +6,8 @@ two blocks are one. If partitions have thresholds t with the sum distance + 1 le
 two linked fingerprints differ in at most t bits of one of them (-1: it need not be probed). Each
 fingerprint gets the thresholds of its own least cost by dynamic programming: what a probe costs
 and how many candidates it brings, which is counted over all fingerprints for each block's values.
-It probes the values within its thresholds, and candidates are verified on all 64 bits.
+It probes the values within its thresholds, and candidates are verified on all 64 bits. Before that, each is
+compared with the least fingerprint of its value in each partition; those that this joins are not paired again.
 
 A fingerprint that would bring too many candidates even so stands in a crowd. Those of crowds meet each
 other at the points halfway between them instead: all who share such a point are
@@ -195,77 +196,86 @@ class Plan:
 
 
 def posted(classes: DataFrame, plan, probing: bool) -> DataFrame:
-    """key, fp: every fingerprint under each partition's value, or, `probing`, under all values within its thresholds, where
+    """key, fp, comp: every fingerprint under each partition's value, or, `probing`, under all values within its thresholds, where
     one of a crowd probes nothing."""
 
     def run(batches):
         p = plan.value
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
-                fps = batch.column(0).slice(at, STEP).to_numpy()
+                fps, comps = (batch.column(i).slice(at, STEP).to_numpy() for i in range(2))
                 values = block_values(fps, p.order)
-                keys, found = p.keys(values), ([], [])
                 if probing:
                     t, _, candidates = p.allocate(values)
                     open_ = candidates <= p.crowd
-                for i, key in enumerate(keys):
+                for i, key in enumerate(p.keys(values)):
                     tag = i << (WIDTH * BLOCKS // len(p.scheme))
                     for s, mask in enumerate(p.masks[i], 1) if probing else ((0, np.zeros(1, np.int64)),):
                         of = np.flatnonzero(open_ & (t[:, i] == s)) if probing else np.arange(len(fps))
-                        for a in range(0, len(of), max(1, (1 << 20) // len(mask))):
-                            some = of[a : a + max(1, (1 << 20) // len(mask))]
-                            found[0].append((key[some][:, None] ^ mask[None, :]).ravel() + tag)
-                            found[1].append(np.repeat(fps[some], len(mask)))
-                            if sum(map(len, found[0])) > 1 << 20:
-                                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], names=["key", "fp"])
-                                found = ([], [])
-                if found[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], names=["key", "fp"])
+                        rows = max(1, (1 << 18) // len(mask))
+                        for a in range(0, len(of), rows):
+                            some = of[a : a + rows]
+                            keys = (key[some][:, None] ^ mask[None, :]).ravel() + tag
+                            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.repeat(x[some], len(mask))) for x in (fps, comps))], names=["key", "fp", "comp"])
 
-    return classes.select("fp").mapInArrow(run, "key long, fp long")
+    return classes.select("fp", "comp").mapInArrow(run, "key long, fp long, comp long")
 
 
 def halfway(classes: DataFrame, plan) -> DataFrame:
-    """Of each fingerprint of a crowd the points at most half the distance off: point, fp, near (at most the lower half)."""
+    """Of each fingerprint of a crowd the points at most half the distance off: point, comp, near (at most the lower half)."""
 
     def run(batches):
         p = plan.value
         ball = masks(BITS, p.distance - p.distance // 2)
         near = np.arange(len(ball[-1])) < len(ball[p.distance // 2])
         for batch in batches:
-            fps = batch.column(0).to_numpy()
-            crowded = fps[p.allocate(block_values(fps, p.order))[2] > p.crowd] if len(fps) else fps
+            fps, comps = (batch.column(i).to_numpy() for i in range(2))
+            crowded = np.flatnonzero(p.allocate(block_values(fps, p.order))[2] > p.crowd) if len(fps) else fps
             for at in range(0, len(crowded), 256):
                 some = crowded[at : at + 256]
-                points = (some[:, None] ^ ball[-1][None, :]).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(points), pa.array(np.repeat(some, len(ball[-1]))), pa.array(np.tile(near, len(some)))], names=["point", "fp", "near"])
+                points = (fps[some][:, None] ^ ball[-1][None, :]).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(points), pa.array(np.repeat(comps[some], len(ball[-1]))), pa.array(np.tile(near, len(some)))], names=["point", "comp", "near"])
 
-    return classes.select("fp").mapInArrow(run, "point long, fp long, near boolean")
+    return classes.select("fp", "comp").mapInArrow(run, "point long, comp long, near boolean")
 
 
-def links(classes: DataFrame, scratch: Scratch, distance: int, crowd: int = CROWD, schemes=SCHEMES) -> DataFrame:
-    """(a, b): links of different fingerprints, enough to join what links join."""
-    spark = classes.sparkSession
+def differing(a: str, b: str):
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
+def best_plan(classes: DataFrame, distance: int, crowd: int, schemes):
+    """The way to cut fingerprints that costs least over all of them, for the tasks."""
     tally = tallied(classes, BITS * BITS + 1, both_set)
     n = tally[-1]
     order = bit_order(tally[:-1].reshape(BITS, BITS), n)
     near = at_distance(tallied(classes, BLOCKS << WIDTH, lambda fps: value_counts(fps, order)), distance)
-    plans = [spark.sparkContext.broadcast(Plan(s, order, near, n, distance, crowd)) for s in schemes]
+    plans = [classes.sparkSession.sparkContext.broadcast(Plan(s, order, near, n, distance, crowd)) for s in schemes]
     costs = [tallied(classes, 1, lambda fps, p=p: p.value.cost(fps))[0] for p in plans]
-    plan = plans[int(np.argmin(costs))]
-    index, probes = posted(classes, plan, False), posted(classes, plan, True).withColumnRenamed("fp", "q")
-    differ = F.bit_count(F.col("fp").bitwiseXOR(F.col("q")))
-    found = scratch.write(index.join(probes, "key").where((F.col("fp") != F.col("q")) & (differ <= distance)).select(F.least("fp", "q").alias("a"), F.greatest("fp", "q").alias("b")), "links")
-    points = scratch.write(halfway(classes, plan), "halfway")
+    return plans[int(np.argmin(costs))]
+
+
+def grouped(classes: DataFrame, scratch: Scratch, distance: int, crowd: int = CROWD, schemes=SCHEMES) -> DataFrame:
+    """fp, comp: the least fingerprint that links reach, of every one of `classes`, which are different."""
+    plan = best_plan(classes, distance, crowd, schemes)
+    alone = classes.select("fp", F.col("fp").alias("comp"))
+    index = scratch.write(posted(alone, plan, False).select("key", "fp"), "index")
+    pivots = index.groupBy("key").agg(F.min("fp").alias("a"))
+    stars = index.join(pivots, "key").where("a <> fp").where(differing("a", "fp") <= distance).select("a", F.col("fp").alias("b")).distinct()
+    first = components(stars, scratch, "first")
+    named = scratch.write(classes.select("fp").join(first.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("comp", "fp").alias("comp")), "named")
+    scratch.drop("index")
+    # what stands in one component already is not paired again
+    probes = posted(named, plan, True).select("key", F.col("fp").alias("q"), F.col("comp").alias("other"))
+    met = posted(named, plan, False).join(probes, "key").where(F.col("comp") != F.col("other")).where(differing("fp", "q") <= distance)
+    links = scratch.write(met.select(F.least("comp", "other").alias("a"), F.greatest("comp", "other").alias("b")).distinct(), "links")
+    points = scratch.write(halfway(named, plan), "halfway")
     if not points.isEmpty():
-        # all others of a point are linked with its least near one
-        pivots = points.groupBy("point").agg(F.min(F.when(F.col("near"), F.col("fp"))).alias("a"), F.count("*").alias("n")).where("a is not null and n > 1").drop("n")
-        stars = points.join(pivots, "point").where("a <> fp").select("a", F.col("fp").alias("b")).distinct()
-        found = scratch.write(stars, "links", "append")
+        # all others of a point are linked with one that is near
+        pivots = points.groupBy("point").agg(F.min(F.when(F.col("near"), F.col("comp"))).alias("a")).where("a is not null")
+        links = scratch.write(points.join(pivots, "point").where("a <> comp").select("a", F.col("comp").alias("b")).distinct(), "links", "append")
     scratch.drop("halfway")
-    for p in plans:
-        p.destroy()
-    return found
+    second = components(links, scratch, "second").select(F.col("node").alias("comp"), F.col("comp").alias("lower"))
+    return scratch.write(named.join(second, "comp", "left").select("fp", F.coalesce("lower", "comp").alias("comp")), "grouped")
 
 
 def near_fingerprints(docs: DataFrame, words: int = 4, distance: int = 4, crowd: int = CROWD) -> DataFrame:
@@ -285,9 +295,7 @@ def near_fingerprints(docs: DataFrame, words: int = 4, distance: int = 4, crowd:
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     if classes.isEmpty():
         return signed.select("doc_id", digits, F.col("doc_id").alias("component_id"))
-    labels = components(links(classes, scratch, distance, crowd), scratch, "labels").withColumnRenamed("node", "fp")
-    named = classes.join(labels, "fp", "left").select("fp", "least", F.coalesce("comp", "fp").alias("comp"))
-    named = scratch.write(named, "named")
+    named = classes.join(grouped(classes, scratch, distance, crowd), "fp")
     lowest = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     of_class = scratch.write(named.join(lowest, "comp").select("fp", "component_id"), "of-class")
     return signed.join(of_class, "fp").select("doc_id", digits, "component_id")

@@ -9,7 +9,6 @@ from tests.llm import helpers as h
 
 from gridloom.llm import simhash
 from gridloom.llm.common import Scratch
-from gridloom.llm.graph import components
 
 LONG = "long word " * 100_000
 
@@ -38,11 +37,10 @@ def test_links_equal_all_pairs(spark, crowd, distance, schemes):
     want = h.linked(fps, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= distance)
     scratch = Scratch(spark, "test")
     table = scratch.write(spark.createDataFrame([(f,) for f in fps.values()], "fp long"), "fps")
-    found = components(simhash.links(table, scratch, distance, crowd, schemes), scratch, "labels")
-    label = {r.node: r.comp for r in found.collect()}
+    label = {r.fp: r.comp for r in simhash.grouped(table, scratch, distance, crowd, schemes).collect()}
     got: dict = {}
     for i, f in fps.items():
-        got.setdefault(label.get(f, f), []).append(i)
+        got.setdefault(label[f], []).append(i)
     groups: dict = {}
     for i, g in want.items():
         groups.setdefault(g, []).append(i)
