@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import re
 import sys
 import time
 from pathlib import Path
@@ -26,11 +27,13 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
     for name in ("all", "ipc", "unemployment", "flat"):
         parser.add_argument(f"--{name}", action="store_true")
-    parser.add_argument("--root", type=Path, default=Path("data"))
+    parser.add_argument("--root", default="data", help="a folder in any store that Spark knows")
+    parser.add_argument("--logs", type=Path, help="a local folder for the log; below the root, if that is local")
     parser.add_argument("--landed", type=Path, help="read pages and workbooks from this folder")
     parser.add_argument("--publish", choices=("checked", "always"), default="checked")
     args = parser.parse_args(argv)
-    setup_logging(args.root / "logs")
+    root = re.sub("^file:(//)?", "", args.root)
+    setup_logging(args.logs or (Path("logs") if re.match("[a-zA-Z][a-zA-Z0-9+.-]*:", root) else Path(root) / "logs"))
     log, began = logging.getLogger("gridloom.cli"), time.time()
     spark = SparkSession.builder.appName("gridloom").getOrCreate()
     try:

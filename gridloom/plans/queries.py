@@ -185,7 +185,7 @@ def row_arg_max(spark, sf_dir):
 
 @query(f"WITH {GRID_SQL} SELECT file, sheet, min(row_idx) AS row_idx FROM r WHERE regexp_matches(t, '[0-9]{{4}}') GROUP BY file, sheet")
 def first_match_row(spark, sf_dir):
-    return document_grid(spark, sf_dir).where(text.matches(F.col("raw"), r"\d{4}")).groupBy("file", "sheet").agg(F.min("row_idx").alias("row_idx"))
+    return layout.first_row(document_grid(spark, sf_dir), text.matches(F.col("raw"), r"\d{4}"))
 
 
 @query(f"""
@@ -193,9 +193,7 @@ WITH {GRID_SQL}, c AS (SELECT file, sheet, row_idx, unnest(string_split(t, ' '))
 n AS (SELECT file, sheet, row_idx FROM c WHERE w IN ('the', 'of', 'and', 'die', 'und', 'que', 'la', 'de') GROUP BY ALL HAVING count(DISTINCT w) >= 2)
 SELECT file, sheet, min(row_idx) AS row_idx FROM n GROUP BY file, sheet""")
 def distinct_match_count(spark, sf_dir):
-    cells = document_grid(spark, sf_dir).where(text.key(F.col("raw")).isin("the", "of", "and", "die", "und", "que", "la", "de"))
-    rows = cells.groupBy("file", "sheet", "row_idx").agg(F.count_distinct(text.key(F.col("raw"))).alias("n")).where("n >= 2")
-    return rows.groupBy("file", "sheet").agg(F.min("row_idx").alias("row_idx"))
+    return layout.first_row_of_words(document_grid(spark, sf_dir), ("the", "of", "and", "die", "und", "que", "la", "de"), 2)
 
 
 SHEET_SCORE_SQL = " + ".join(f"CAST(contains(t, '{k}') AS INTEGER) + 2 * CAST(contains(sheet, '{k}') AS INTEGER)" for k in (*WANTED, "7"))
@@ -230,6 +228,36 @@ def target_link(spark, sf_dir):
     return links.target(page_links(spark, sf_dir), "th", keys=("page_id",)).select("page_id", "href")
 
 
+REFERENCES = ("../up.html", "./a/./b/../c?x=1#y", "?page=2", "#top", "//cdn.example.org/a/b", "/root/../../r//s/.", "d//e/..", "", "HTTPS://other.example.org/../z", "mailto:a@b.c", "../../../g;p")
+PATH_SQL = """CASE WHEN host <> '' THEN path WHEN path = '' THEN folder ELSE coalesce(nullif(array_to_string(CASE WHEN s[-1] IN ('.', '..') THEN list_append(kept, '') ELSE kept END, '/'), ''), '/') END"""
+
+
+@query(rf"""
+WITH p AS (
+  SELECT page_id, url AS base, CAST(n - 1 AS INTEGER) AS n, ref, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS scheme, regexp_extract(url, '^[^/?#]*//([^/?#]*)', 1) AS place,
+    regexp_extract(url, '^[^/?#]*//[^/?#]*([^?#]*)', 1) AS folder, regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS asked,
+    lower(regexp_extract(ref, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) AS own, regexp_extract(ref, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1) AS host,
+    regexp_extract(ref, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1) AS path, regexp_extract(ref, '\?([^#]*)', 1) AS query, regexp_extract(ref, '#(.*)$', 1) AS fragment
+  FROM pages, (SELECT unnest({list(REFERENCES)}) AS ref, generate_subscripts({list(REFERENCES)}, 1) AS n)
+), q AS (
+  SELECT *, CASE WHEN starts_with(path, '/') THEN string_split(path, '/') ELSE list_concat(list_slice(string_split(folder, '/'), 1, greatest(len(string_split(folder, '/')) - 1, 1)), string_split(path, '/')) END AS raw FROM p
+), i AS (
+  SELECT *, CASE WHEN starts_with(path, '/') THEN raw ELSE list_filter(raw, lambda x, i: x <> '' OR i = 1 OR i = len(raw)) END AS s FROM q
+), k AS (
+  SELECT *, list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(s, lambda x: [x])),
+    lambda acc, x: CASE WHEN x[1] = '..' THEN list_slice(acc, 1, len(acc) - 1) WHEN x[1] = '.' THEN acc ELSE list_concat(acc, x) END) AS kept FROM i
+), f AS (
+  SELECT *, CASE WHEN host <> '' THEN host ELSE place END AS site, {PATH_SQL} AS final, CASE WHEN host = '' AND path = '' AND query = '' THEN asked ELSE query END AS wanted FROM k
+)
+SELECT page_id, n, CASE WHEN ref = '' THEN base WHEN own <> '' AND own <> scheme THEN ref
+  ELSE scheme || '://' || site || CASE WHEN final <> '' AND NOT starts_with(final, '/') THEN '/' ELSE '' END || final
+    || CASE WHEN wanted <> '' THEN '?' || wanted ELSE '' END || CASE WHEN fragment <> '' THEN '#' || fragment ELSE '' END END AS url FROM f""")
+def link_resolve(spark, sf_dir):
+    """References of every kind, resolved on the address of each page."""
+    refs = table(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(F.array(*map(F.lit, REFERENCES))).alias("n", "ref"))
+    return refs.select("page_id", "n", links.absolute(F.col("url"), F.col("ref")).alias("url"))
+
+
 def order_hrefs(spark, sf_dir) -> DataFrame:
     names = {v: k for k, v in SHORT_MONTHS.items()}
     month = F.when(F.col("o_orderkey") % 7 == 0, "sept").otherwise(text.lookup(names, F.month("o_orderdate")))
@@ -280,12 +308,21 @@ def drop_null_rows(spark, sf_dir):
     return events.dropna(subset=["value"])
 
 
-@query("SELECT ['download_date', 'source', 'unemployment_rate'] AS missing, ['value'] AS extra, false AS complete, CAST(3 AS INTEGER) AS shared")
+CONTRACT = ("k", "user_id", "value")
+
+
+@query("""
+WITH e AS (SELECT event_type, list_sort(list_concat(json_keys(props), CASE WHEN value IS NOT NULL THEN ['value'] ELSE [] END)) AS names FROM events),
+x AS (SELECT event_type, list_sort(list_filter(['k', 'user_id', 'value'], lambda c: NOT list_contains(coalesce(names, []), c))) AS missing,
+  list_filter(coalesce(names, []), lambda c: NOT list_contains(['k', 'user_id', 'value'], c)) AS extra FROM e)
+SELECT event_type, missing, extra, len(missing) = 0 AS complete, CAST(3 - len(missing) AS INTEGER) AS shared, count(*) AS events FROM x GROUP BY ALL""")
 def column_contract(spark, sf_dir):
-    columns = months_of_orders(spark, sf_dir).columns
-    expected, actual = (F.array(*map(F.lit, c)) for c in (RateFeed().output.columns, columns))
-    missing = F.array_sort(F.array_except(expected, actual))
-    return spark.range(1).select(missing.alias("missing"), F.array_sort(F.array_except(actual, expected)).alias("extra"), (F.size(missing) == 0).alias("complete"), F.size(F.array_intersect(expected, actual)).alias("shared"))
+    """The names that each event bears, against those expected: missing, extra, all there, how many shared."""
+    own = F.concat(F.coalesce(F.json_object_keys("props"), F.array().cast("array<string>")), F.when(F.col("value").isNotNull(), F.array(F.lit("value"))).otherwise(F.array().cast("array<string>")))
+    named = table(spark, sf_dir, "events").select("event_type", F.array_sort(own).alias("names"))
+    missing, extra, complete, shared = quality.contract(F.array(*map(F.lit, CONTRACT)), F.col("names"))
+    found = named.select("event_type", missing.alias("missing"), extra.alias("extra"), complete.alias("complete"), shared.alias("shared"))
+    return found.groupBy(*found.columns).agg(F.count("*").alias("events"))
 
 
 @query(f"""
@@ -336,11 +373,10 @@ def month_year_parse(spark, sf_dir):
     names = {v: k for k, v in LONG_MONTHS.items()}
     data = quantities(spark, sf_dir, F.col("l_returnflag")).withColumn("sheet", F.lit("IndicesIPC"))
     column, row = F.col("year") - 1980, 8 + F.col("month")
-    body = text_cells(data, (row, column, F.col("value")))
-    years = text_cells(data.select("file", "sheet", "year").distinct(), (F.lit(8), column, F.col("year")))
-    months = text_cells(data.select("file", "sheet", "month").distinct(), (row, F.lit(0), F.initcap(text.lookup(names, F.col("month")))))
-    head = text_cells(data.select("file", "sheet").distinct(), (F.lit(8), F.lit(0), F.lit("Mes")))
-    return clean.clean_index(body.unionByName(years).unionByName(months).unionByName(head), "2026-01-01", IndexFeed(header_row=None))
+    # all cells from one pass over the data; those of the header and the months come once for each value
+    head = (F.lit(8), F.lit(0), F.lit("Mes")), (F.lit(8), column, F.col("year")), (row, F.lit(0), F.initcap(text.lookup(names, F.col("month"))))
+    cells = text_cells(data, (row, column, F.col("value")), *head).distinct()
+    return clean.clean_index(cells, "2026-01-01", IndexFeed(header_row=None))
 
 
 def order_sheets(spark, sf_dir) -> DataFrame:

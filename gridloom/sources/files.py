@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import urllib.request
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,27 @@ def located(spark: SparkSession, path):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def found_files(spark: SparkSession, path) -> list[str]:
+    """The addresses of the files that a path, or several, name: files, patterns, or what lies in folders."""
+    found = []
+    for p in path if isinstance(path, list | tuple) else [path]:
+        fs, target = located(spark, p)
+        for status in fs.globStatus(target) or []:
+            inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += [s.getPath().toString() for s in inside if s.isFile() and not s.getPath().getName().startswith((".", "_"))]
+    if not found:
+        raise FileNotFoundError(f"no file at {path}")
+    return found
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers that share this file system import the package."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = f"{root}:{env['PYTHONPATH']}" if env.get("PYTHONPATH") else root
+
+
 def ensure_folders(spark: SparkSession, root) -> dict[str, str]:
     folders = {n: f"{str(root).rstrip('/')}/{n}" for n in ("raw", "processed", "logs")}
     for folder in folders.values():
@@ -84,25 +106,74 @@ def exists(spark: SparkSession, path) -> bool:
     return fs.exists(target)
 
 
+CORRUPT = "_corrupt"
+
+
+def split_rows(spark: SparkSession, path, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(the rows of a CSV file that fit the schema; those that do not, with what could be read of them and the whole `line`)."""
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
+    rows = spark.read.options(**options).schema(f"{schema}, {CORRUPT} string").csv(str(path))
+    # Spark looks at the columns only that a query names: this names all, and is always true
+    rows = rows.where(F.length(F.concat_ws("", *(F.col(f"`{c}`").cast("string") for c in rows.columns))) >= 0)
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")
+
+
 def load_series(spark: SparkSession, path, measure: str) -> DataFrame:
-    """A published series, with its own types."""
+    """A published series, with its own types, without the lines that don't have them; see rejected_rows."""
     if not exists(spark, path):
         raise FileNotFoundError(f"no such file: {path}")
-    return spark.read.csv(str(path), header=True, schema=SERIES.format(measure=measure))
+    return split_rows(spark, path, SERIES.format(measure=measure))[0]
 
 
-def read_flat_csv(spark: SparkSession, path) -> DataFrame:
-    return spark.read.csv(str(path), header=True)
+def rejected_rows(spark: SparkSession, path, measure: str) -> DataFrame:
+    """The lines that load_series leaves out."""
+    return split_rows(spark, path, SERIES.format(measure=measure))[1]
 
 
-def save_series(df: DataFrame, path) -> str:
-    """One CSV file in order of date; a series has one row a month. It takes its name when it is whole."""
+def read_flat_csv(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """(the rows of a CSV file as text, the lines that have more or fewer cells than its header)."""
+    names = spark.read.csv(str(path), header=True).columns
+    return split_rows(spark, path, ", ".join(f"`{n.replace('`', '``')}` string" for n in names))
+
+
+def save_rejected(rejected: DataFrame, path) -> int:
+    """Keeps rejected rows as a table beside a series; how many there are. The table of an earlier run is replaced, an empty one goes."""
+    spark = rejected.sparkSession
+    rejected.write.mode("overwrite").parquet(str(path))
+    n = spark.read.parquet(str(path)).count()
+    if not n:
+        fs, target = located(spark, path)
+        fs.delete(target, True)
+    return n
+
+
+def stage_series(df: DataFrame, path) -> str:
+    """Writes one CSV file in order of date beside `path` and gives its address; a series has one row a month."""
     spark, (folder, _, name) = df.sparkSession, str(path).rpartition("/")
-    parts = f"{folder or '.'}/.{name}.parts"
-    df.withColumn("date", F.col("date").cast("string")).coalesce(1).sortWithinPartitions("date").write.mode("overwrite").option("header", True).csv(parts)
-    fs, target = located(spark, path)
-    _, made = located(spark, f"{parts}/part-*.csv")
-    fs.delete(target, False)
-    fs.rename(fs.globStatus(made)[0].getPath(), target)
-    fs.delete(made.getParent(), True)
+    parts = f"{folder or '.'}/.{name}.{uuid.uuid4().hex}"
+    df.withColumn("date", F.col("date").cast("string")).repartition(1).sortWithinPartitions("date").write.option("header", True).csv(parts)
+    fs, made = located(spark, f"{parts}/part-*.csv")
+    return fs.globStatus(made)[0].getPath().toString()
+
+
+def commit(spark: SparkSession, staged: str, path) -> str:
+    """Renames a staged file over `path` in one step: readers see the old file or the new one, never none."""
+    jvm, (fs, target) = spark.sparkContext._jvm, located(spark, path)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    target = fs.makeQualified(target)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(located(spark, staged)[1], target, how)
+    discard(spark, staged)
     return str(path)
+
+
+def discard(spark: SparkSession, staged: str) -> None:
+    """Removes what is left of a staged file and its folder."""
+    fs, target = located(spark, staged)
+    fs.delete(target.getParent(), True)
+
+
+def save_series(df: DataFrame, path) -> str:
+    """One CSV file in order of date. It takes its name when it is whole, over whatever had it."""
+    return commit(df.sparkSession, stage_series(df, path), path)

@@ -7,25 +7,59 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.config import PERIOD, SHORT_MONTHS
-from gridloom.functions.text import lookup, matches, strip
+from gridloom.functions.text import lookup, matches
+from gridloom.sources.html import with_anchors
 
-ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[\"'][^\"']*[\"'][^>]*>.*?</a>"
-HREF = r"(?is)^<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"
+# The parts of a reference (RFC 3986, appendix B), with a scheme that begins with a letter.
+REFERENCE = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+#: Schemes of addresses with a host, whose references may be relative.
+HIERARCHICAL = ("http", "https", "ftp", "ws", "wss", "sftp")
+
+
+def part(c: Column, n: int) -> Column:
+    """A part of a reference; empty where it is absent."""
+    return F.regexp_extract(c, f"(?s){REFERENCE}", n)
+
+
+def without_dots(segments: Column) -> Column:
+    """The path of these segments without `.` and `..`; steps above the root are none."""
+    kept = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.array_append(acc, s)),
+    )
+    # a path that ends in dots names the folder
+    path = F.array_join(F.when(F.element_at(segments, -1).isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept), "/")
+    return F.when(path == "", F.lit("/")).otherwise(path)
 
 
 def absolute(base: Column, href: Column) -> Column:
-    """href on its base: absolute and root-relative links, others below the base."""
-    return F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([^/]*)", 1), href)).when(
-        href.startswith("/"), F.concat(F.regexp_extract(base, r"^([^/]*//[^/]*)", 1), href)
-    ).otherwise(F.concat(F.regexp_replace(base, "/[^/]*$", "/"), href))
+    """href resolved on its base (RFC 3986): other schemes stay as they are, other hosts keep their path, dots are removed, a
+    reference that is only a query or a fragment keeps the base's path. Blanks before it and line ends inside are not part of it."""
+    ref = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    scheme, host, path, query, fragment = (part(ref, n) for n in range(1, 6))
+    own, place, folder = F.lower(part(base, 1)), part(base, 2), part(base, 3)
+    foreign = ((scheme != "") & (F.lower(scheme) != own)) | ~own.isin(*HIERARCHICAL)
+    segments = F.split(path, "/")
+    above = F.split(F.regexp_replace(folder, "[^/]*$", ""), "/")
+    above = F.when(F.size(above) > 1, F.slice(above, F.lit(1), F.size(above) - 1)).otherwise(F.array(F.lit("")))
+    merged = F.concat(above, segments)
+    inner = F.filter(merged, lambda s, i: (s != "") | (i == 0) | (i == F.size(merged) - 1))
+    final = F.when(host != "", path).when(path == "", folder).otherwise(without_dots(F.when(path.startswith("/"), segments).otherwise(inner)))
+    asked = F.when((host == "") & (path == "") & (query == ""), part(base, 4)).otherwise(query)
+    at = F.when(host != "", host).otherwise(place)
+    rooted = F.when((at != "") & (final != "") & ~final.startswith("/"), F.concat(F.lit("/"), final)).otherwise(final)
+    whole = F.concat(own, F.lit("://"), at, rooted, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(""), F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
+    return F.when(href == "", base).when(foreign, href).otherwise(whole)
 
 
 def extract_links(pages: DataFrame, base: Column, pattern: str, html: str = "html", keys=()) -> DataFrame:
-    """keys, ordinal, url, text, href of each anchor whose href matches, in document order, repeated ones too."""
-    anchors = pages.select(*keys, base.alias("_base"), F.posexplode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))).alias("ordinal", "_a"))
-    linked = anchors.withColumn("href", F.replace(F.regexp_extract("_a", HREF, 1), F.lit("&amp;"), F.lit("&"))).where(matches(F.col("href"), pattern))
-    text = strip(F.regexp_replace(F.regexp_replace("_a", r"(?s)^<a\s[^>]*>|</a>$", ""), r"(?s)<[^>]*>", ""))
-    return linked.select(*keys, "ordinal", absolute(F.col("_base"), F.col("href")).alias("url"), text.alias("text"), "href")
+    """keys, ordinal, url, text, href of each anchor whose href matches, in document order, repeated ones too.
+
+    ordinal counts the anchors that have an href. Null and empty pages have no links."""
+    found = with_anchors(pages.select(*(F.col(k) for k in keys), base.alias("_base"), F.col(html).alias("_html")), "_html", "_anchors")
+    linked = found.select(*keys, "_base", F.explode("_anchors").alias("_a")).where(matches(F.col("_a.href"), pattern))
+    return linked.select(*keys, "_a.ordinal", absolute(F.col("_base"), F.col("_a.href")).alias("url"), "_a.text", "_a.href")
 
 
 def period(href: Column, months: dict = SHORT_MONTHS) -> Column:

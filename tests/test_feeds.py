@@ -152,7 +152,7 @@ def test_links(spark):
     found = links.extract_links(pages, F.lit("https://www.dane.gov.co/"), RateFeed().origin.links)
     assert [r.href.rsplit("-", 1)[1] for r in found.orderBy("ordinal").collect()] == ["dic2025.xlsx", "ene2026.xlsx"]
     best = links.newest(found).first()
-    assert best.url == "https://www.dane.gov.co/files/operaciones/GEIH/anex-GEIH-ene2026.xlsx" and best.text == "Descargar ya"
+    assert best.url == "https://www.dane.gov.co/files/operaciones/GEIH/anex-GEIH-ene2026.xlsx" and best.text == "Descargarya"
     empty = links.extract_links(spark.createDataFrame([("",)], "html string"), F.lit("x"), ".")
     with pytest.raises(ValueError, match="no link"):
         links.only(empty, links.newest(empty), "annex")
