@@ -18,6 +18,7 @@ the sets of the lines in a pair are made anew from the texts.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, with_keys
@@ -122,10 +123,11 @@ def close(x: str, y: str) -> Column:
 
 def first_pairs(classes: DataFrame) -> DataFrame:
     """Each line with the earliest one of a word and a range of sizes, if they may be similar."""
-    index = postings(classes, index_length).repartition("word")  # dealt once, for the least of each word and for the join
+    index = postings(classes, index_length)
     sizes = F.floor(F.log(F.col("size")) / F.log(F.lit(1.25)))
-    firsts = index.groupBy("word", sizes.alias("sizes")).agg(F.min(F.struct(*POSTING)).alias("first")).select("word", "first.*")
-    return side(firsts, "x").join(side(index, "y"), "word").where(earlier("x", "y") & close("x", "y")).select(*PAIR)
+    group = W.partitionBy("word", "sizes").orderBy("doc_id", "line_no").rowsBetween(W.unboundedPreceding, 0)
+    met = index.withColumn("sizes", sizes).select(*(F.col(c).alias(f"y{c}") for c in POSTING), *(F.first(c).over(group).alias(f"x{c}") for c in POSTING))
+    return met.where(earlier("x", "y") & close("x", "y")).select(*PAIR)
 
 
 def rest_pairs(classes: DataFrame) -> list[DataFrame]:
