@@ -5,54 +5,80 @@ words that no benchmark phrase holds end a segment, since no phrase can span
 them. Over the segments a suffix array, the Burrows-Wheeler transform, a wavelet
 matrix for ranks and sampled suffix positions are built. All phrases are searched
 backward at once, occurrences are located by walking to sampled positions, and
-overlapping spans are merged. No step shuffles documents. Phrases are made by Spark in blocks of bounded size,
-each a file in the shared folder; a worker reads one at a time.
+overlapping spans are merged. No step shuffles documents. Words are known by 64-bit hashes. Phrases are made by Spark
+in blocks of bounded size, each a file of arrays in the shared folder. A shard is indexed once and searched for one block after
+another; a worker holds the blocks it read last, up to a bound.
 """
 
 from __future__ import annotations
 
-import functools
-import pickle
+import io
 import re
-from collections import defaultdict
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, fetch, put, ship
-from .textbytes import pieces
+from .textbytes import U, pieces, text_buffer, word_hashes
 
-#: A-Z to a-z; 0-9, a-z and all bytes of non-ASCII characters stay; the rest ends a word.
-WORD_TABLE = bytes(
-    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
-)
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+#: All bytes but ASCII letters and digits and those of other characters end a word.
+ENDS = np.array([not WORD.match(bytes([b])) for b in range(256)])
 SAMPLE = 8
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(WORD_TABLE).split()
+HELD = 64 << 20
 
 
 class Phrases:
-    """Benchmark windows as symbol rows, and the items that hold each."""
-
-    def __init__(self, items: list[tuple[str, str | None]], window: int):
-        self.vocab: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[str]] = {}
-        for item, text in items:
-            symbols = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
-            for i in range(max(1, len(symbols) - window + 1) if symbols else 0):
-                found.setdefault(tuple(symbols[i : i + window]), set()).add(item)
-        keys = list(found)
-        self.items = [sorted(found[k]) for k in keys]
-        self.length = np.array([len(k) for k in keys], np.int64)
-        self.shortest = int(self.length.min()) if keys else 0
-        self.symbols = np.zeros((len(keys), window), np.int64)
-        for i, k in enumerate(keys):
-            self.symbols[i, : len(k)] = k
+    """Benchmark windows as rows of word hashes (0 behind the last), and the items that hold each.
+
+    `items` are numbers of `names`; an item without a name is searched and has no number."""
+
+    def __init__(self, words: np.ndarray, length: np.ndarray, start: np.ndarray, items: np.ndarray, names: list[str]):
+        self.words, self.length, self.start, self.items, self.names = words, length, start, items, names
+        self.shortest = int(length.min()) if len(length) else 0
+
+    @classmethod
+    def of(cls, names: list[str | None], texts: pa.Array, window: int) -> Phrases:
+        hashes, first = word_hashes(*text_buffer(texts), ENDS)[:2]
+        count = np.diff(first)
+        runs = np.where(count > 0, np.maximum(1, count - window + 1), 0)
+        owner = np.repeat(np.arange(len(count)), runs)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
+        place = (first[:-1][owner] + inside)[:, None] + np.arange(window)
+        length = np.minimum(count[owner], window)
+        rows = np.append(hashes, U(0))[np.where(np.arange(window) < length[:, None], place, len(hashes))]
+        rows, back = np.unique(np.column_stack((length.astype(U), rows)), axis=0, return_inverse=True)
+        known = sorted({n for n in names if n is not None})
+        at = {n: i for i, n in enumerate(known)}
+        number = np.array([-1 if n is None else at[n] for n in names], np.int64)[owner]
+        named = np.unique(np.column_stack((back.ravel(), number))[number >= 0], axis=0).reshape(-1, 2)
+        return cls(rows[:, 1:], rows[:, 0].astype(np.int64), np.searchsorted(named[:, 0], np.arange(len(rows) + 1)), named[:, 1], known)
+
+    def packed(self) -> bytes:
+        out, name = io.BytesIO(), [n.encode() for n in self.names]
+        sizes = np.array([len(n) for n in name], np.int64)
+        np.savez(out, words=self.words, length=self.length, start=self.start, items=self.items, name=np.frombuffer(b"".join(name), np.uint8), sizes=sizes)
+        return out.getvalue()
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> Phrases:
+        with np.load(io.BytesIO(data)) as f:
+            end = np.cumsum(f["sizes"]).tolist()
+            name = f["name"].tobytes()
+            return cls(f["words"], f["length"], f["start"], f["items"], [name[a:b].decode() for a, b in zip([0, *end], end, strict=False)])
+
+    def numbered(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrases that have only words among the sorted hashes `known`, their words' numbers there from 1 on)."""
+        at = np.minimum(np.searchsorted(known, self.words), len(known) - 1)
+        missing = (known[at] != self.words) & (np.arange(self.words.shape[1]) < self.length[:, None])
+        some = np.flatnonzero(~missing.any(1))
+        return some, at[some] + 1
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -107,18 +133,16 @@ class FMIndex:
             begin = np.where(bit, zeros + ones[begin], begin - ones[begin])
         return at - begin
 
-    def search(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase, place) of every occurrence."""
-        live = np.arange(len(phrases.length))
+    def search(self, symbols: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(phrase, place) of every occurrence of the phrases, rows of symbols of which the first `length` count."""
+        live = np.arange(len(length))
         lo, hi = np.zeros(len(live), np.int64), np.full(len(live), self.n, np.int64)
         done = []
-        for back in range(1, phrases.symbols.shape[1] + 1):
-            over = phrases.length[live] < back
+        for back in range(1, symbols.shape[1] + 1):
+            over = length[live] < back
             done.append((live[over], lo[over], hi[over]))
             live, lo, hi = live[~over], lo[~over], hi[~over]
-            symbol = phrases.symbols[live, phrases.length[live] - back]
-            known = symbol < len(self.first) - 1
-            live, lo, hi, symbol = live[known], lo[known], hi[known], symbol[known]
+            symbol = symbols[live, length[live] - back]
             lo = self.first[symbol] + self.rank(symbol, lo)
             hi = self.first[symbol] + self.rank(symbol, hi)
             some = lo < hi
@@ -144,56 +168,54 @@ class FMIndex:
 
 
 class Shard:
-    """The words of some texts: how many each text has, all as numbers (0 after each text) and by number."""
-
-    def __init__(self, texts: list[bytes]):
-        number: defaultdict[bytes, int] = defaultdict()
-        number.default_factory = lambda: len(number) + 1
-        self.counts, parts = [], []
-        for text in texts:
-            found = text.translate(WORD_TABLE).split()
-            self.counts.append(len(found))
-            parts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
-            parts.append(np.zeros(1, np.int32))
-        self.numbers = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        self.words = list(number)
-
-
-def search_shard(shard: Shard, phrases: Phrases) -> dict[int, tuple[list[int], list[tuple[int, int]]]]:
-    """{text: (phrases that occur, merged word spans)}."""
-    get = phrases.vocab.get
-    hits: dict[int, tuple[list[int], list[tuple[int, int]]]] = {}
-    if not phrases.shortest or not len(shard.numbers):
-        return hits
-    symbols = np.fromiter((get(w, 0) for w in [None, *shard.words]), np.int64, len(shard.words) + 1)[shard.numbers]
-    edge = np.diff(np.concatenate(([0], (symbols > 0).astype(np.int8), [0])))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    keep = end - start >= phrases.shortest
-    start, size = start[keep], end[keep] - start[keep]
-    if not len(start):
+    """The words of some texts: how many each text has, and an index of the runs of those that the benchmark holds."""
+
+    def __init__(self, texts: pa.Array, vocabulary: np.ndarray, shortest: int):
+        hashes, first = word_hashes(*text_buffer(texts), ENDS)[:2]
+        self.counts, self.index = np.diff(first), None
+        if not len(vocabulary) or not len(hashes):
+            return
+        known = vocabulary[np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)] == hashes
+        # runs of such words within a text
+        open_ = np.zeros(len(hashes) + 1, bool)
+        open_[first] = True
+        edge = known & (open_[:-1] | ~np.concatenate(([False], known[:-1])))
+        last = known & (open_[1:] | ~np.concatenate((known[1:], [False])))
+        start, end = np.flatnonzero(edge), np.flatnonzero(last) + 1
+        keep = end - start >= shortest
+        start, size = start[keep], end[keep] - start[keep]
+        if not len(start):
+            return
+        at = np.concatenate(([0], np.cumsum(size + 1)))
+        text, self.origin = np.zeros(at[-1], np.int64), np.zeros(at[-1], np.int64)
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        target = np.repeat(at[:-1], size) + inside
+        self.origin[target] = np.repeat(start, size) + inside
+        self.words, numbers = np.unique(hashes[self.origin[target]], return_inverse=True)
+        text[target] = numbers + 1
+        self.first, self.index = first, FMIndex(text, at[:-1])
+
+    def search(self, phrases: Phrases) -> dict[int, tuple[list[int], list[tuple[int, int]]]]:
+        """{text: (phrases that occur, merged word spans)}."""
+        hits: dict[int, tuple[list[int], list[tuple[int, int]]]] = {}
+        if self.index is None or not phrases.shortest:
+            return hits
+        some, symbols = phrases.numbered(self.words)
+        phrase, place = self.index.search(symbols, phrases.length[some])
+        if not len(phrase):
+            return hits
+        phrase, place = some[phrase], self.origin[place]
+        order = np.argsort(place, kind="stable")
+        phrase, place = phrase[order], place[order]
+        owner = np.searchsorted(self.first, place, "right") - 1
+        reach = np.maximum.accumulate(place + phrases.length[phrase])
+        cut = np.concatenate(([0], np.flatnonzero((place[1:] > reach[:-1]) | (owner[1:] != owner[:-1])) + 1, [len(place)]))
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            doc = int(owner[a])
+            which, spans = hits.setdefault(doc, ([], []))
+            which.extend(np.unique(phrase[a:b]).tolist())
+            spans.append((int(place[a] - self.first[doc]), int(reach[b - 1] - self.first[doc])))
         return hits
-    at = np.concatenate(([0], np.cumsum(size + 1)))
-    text, origin = np.zeros(at[-1], np.int64), np.zeros(at[-1], np.int64)
-    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    target = np.repeat(at[:-1], size) + inside
-    origin[target] = np.repeat(start, size) + inside
-    text[target] = symbols[origin[target]]
-    phrase, place = FMIndex(text, at[:-1]).search(phrases)
-    if not len(phrase):
-        return hits
-    place = origin[place]
-    order = np.argsort(place, kind="stable")
-    phrase, place = phrase[order], place[order]
-    reach = np.maximum.accumulate(place + phrases.length[phrase])
-    cut = np.concatenate(([0], np.flatnonzero(place[1:] > reach[:-1]) + 1, [len(place)]))
-    base = np.concatenate(([0], np.cumsum(np.array(shard.counts) + 1)))
-    owner = np.searchsorted(base, place, "right") - 1
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        doc = int(owner[a])
-        which, spans = hits.setdefault(doc, ([], []))
-        which.extend(np.unique(phrase[a:b]).tolist())
-        spans.append((int(place[a] - base[doc]), int(reach[b - 1] - base[doc])))
-    return hits
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -216,52 +238,78 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int, window: int) -> list[str]:
-    """The distinct items as files of Phrases, of about `block_bytes` of text at most.
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int, window: int) -> tuple[list[str], str]:
+    """The distinct items as files of Phrases, of about `block_bytes` of text at most, and the file of their words' hashes.
 
-    Tasks write them; the driver sees their names only."""
+    Tasks write them; the driver sees the blocks' names only."""
     spark = benchmark.sparkSession
-    root = Scratch(spark, "benchmark").path("phrases")
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
+    scratch = Scratch(spark, "benchmark")
+    folder = scratch.path("phrases")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
 
     def write(table: pa.Table) -> pa.Table:
-        uri = f"{root}/{table.column('block')[0].as_py()}"
-        put(uri, [pickle.dumps(Phrases(sorted(zip(table.column("item_id").to_pylist(), table.column("text").to_pylist(), strict=True)), window))])
+        uri = f"{folder}/{table.column('block')[0].as_py()}"
+        put(uri, [Phrases.of(table.column("item_id").to_pylist(), table.column("text").combine_chunks(), window).packed()])
         return pa.table({"uri": [uri]})
 
+    def words(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(word_hashes(*text_buffer(batch.column(0)), ENDS)[0]).view(np.int64))], names=["h"])
+
     blocks = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))).groupBy("block")
-    return sorted(r.uri for r in blocks.applyInArrow(write, "uri string").collect())
+    found = sorted(r.uri for r in blocks.applyInArrow(write, "uri string").collect())
+    scratch.write(items.select("text").mapInArrow(words, "h long").distinct(), "vocabulary")
+    return found, scratch.path("vocabulary")
+
+
+def vocabulary(uri: str) -> np.ndarray:
+    """The sorted hashes of all words of the benchmark, eight bytes a word."""
+    fs, path = pafs.FileSystem.from_uri(uri)
+    parts = [f.path for f in fs.get_file_info(pafs.FileSelector(path)) if f.path.endswith(".parquet")]
+    found = [pq.read_table(p, filesystem=fs).column("h").to_numpy() for p in parts]
+    return np.sort(np.concatenate(found).astype(np.int64).view(U)) if found else np.zeros(0, U)
+
+
+class Blocks:
+    """Blocks of phrases by address; those read last stay, up to HELD bytes."""
 
+    def __init__(self):
+        self.held: OrderedDict[str, tuple[int, Phrases]] = OrderedDict()
 
-@functools.lru_cache(maxsize=1)
-def load(uri: str) -> Phrases:
-    return pickle.loads(fetch(uri))
+    def __getitem__(self, uri: str) -> Phrases:
+        if uri not in self.held:
+            data = fetch(uri)
+            self.held[uri] = len(data), Phrases.unpacked(data)
+            while len(self.held) > 1 and sum(n for n, _ in self.held.values()) > HELD:
+                self.held.popitem(last=False)
+        self.held.move_to_end(uri)
+        return self.held[uri][1]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int, shard_bytes: int, block_bytes: int, schema: str, kept: list[str], make) -> DataFrame:
-    """Searches every shard for every block of phrases; `make(part, texts, counts, items, spans)`
+    """Searches every shard for every block of phrases; `make(part, column, counts, items, spans)`
     gives the columns of `schema` for the rows of a shard, of which `kept` are read."""
     ship(docs.sparkSession)
-    blocks = benchmark_blocks(benchmark, block_bytes, window)
+    blocks, words = benchmark_blocks(benchmark, block_bytes, window)
 
     def run(batches):
+        known, held = vocabulary(words), Blocks()
+        shortest = min((p.shortest for p in (held[uri] for uri in blocks) if p.shortest), default=0)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("text"))
             for a, b in pieces(column, shard_bytes):
                 part = batch.slice(a, b - a)
-                strings = column.slice(a, b - a).cast(pa.large_binary()).to_pylist()
-                texts = [t or b"" for t in strings]
-                items: list[set[str]] = [set() for _ in texts]
-                spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-                shard = Shard(texts)
+                items: list[set[str]] = [set() for _ in range(b - a)]
+                spans: list[list[tuple[int, int]]] = [[] for _ in range(b - a)]
+                shard = Shard(column.slice(a, b - a), known, shortest)
                 for uri in blocks:
-                    phrases = load(uri)
-                    for doc, (which, found) in search_shard(shard, phrases).items():
-                        items[doc].update(x for k in which for x in phrases.items[k])
+                    phrases = held[uri]
+                    for doc, (which, found) in shard.search(phrases).items():
+                        items[doc].update(phrases.names[i] for k in which for i in phrases.items[phrases.start[k] : phrases.start[k + 1]])
                         spans[doc].extend(found)
-                yield make(part, strings, shard.counts, items, [merge(s) for s in spans])
+                yield make(part, column.slice(a, b - a), shard.counts, items, [merge(s) for s in spans])
 
     return docs.select(*kept).mapInArrow(run, schema)
 
@@ -272,11 +320,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased in
     A-Z only. Windows are `window` words; a shorter item is one window, an item
     without words none. Null or empty text: no words, no spans.
-    Repeated rows are each judged; an empty table gives an empty table; items with
-    null id or text take no part; other columns of either table don't matter.
+    Repeated rows are each judged; an empty table gives an empty table; items without an id are searched like
+    others but not among the named ones; items with null text have no words; other columns of either table don't matter.
     """
 
-    def make(part, strings, counts, items, spans):
+    def make(part, column, counts, items, spans):
         return pa.RecordBatch.from_arrays(
             [
                 part.column(0),
@@ -296,12 +344,18 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10
     loses its last word goes. Other rows, null and empty texts included, stay as they are."""
     columns = docs.columns
 
-    def make(part, strings, counts, items, spans):
-        texts = [cut_words(t, s) if s else t for t, s in zip(strings, spans, strict=True)]
-        stay = pa.array([not s or bool(WORD.search(t)) for t, s in zip(texts, spans, strict=True)], pa.bool_())
-        text = pa.array(texts, pa.binary()).cast(pa.string())
+    def make(part, column, counts, items, spans):
+        changed = [i for i, s in enumerate(spans) if s]
+        texts = {i: cut_words(column[i].as_py().encode(), spans[i]) for i in changed}
+        stay = np.ones(len(spans), bool)
+        stay[[i for i in changed if not WORD.search(texts[i])]] = False
+        text = column.cast(pa.string())
+        if changed:
+            mask = np.zeros(len(spans), bool)
+            mask[changed] = True
+            text = pc.replace_with_mask(text, pa.array(mask), pa.array([texts[i].decode() for i in changed], pa.string()))
         arrays = [text if c == "text" else part.column(i) for i, c in enumerate(columns)]
-        return pa.RecordBatch.from_arrays(arrays, names=columns).filter(stay)
+        return pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(stay))
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     return scan(docs, benchmark, window, shard_bytes, block_bytes, schema, columns, make)

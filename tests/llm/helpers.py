@@ -58,8 +58,8 @@ def contamination(texts, items, window=10):
     windows: dict[tuple, set] = {}
     for item, t in items:
         w = words(t)
-        for k in range(max(1, len(w) - window + 1) if w and item is not None else 0):
-            windows.setdefault(tuple(w[k : k + window]), set()).add(item)
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            windows.setdefault(tuple(w[k : k + window]), set()).update(() if item is None else (item,))
     out = {}
     for i, t in texts.items():
         w, hit, found = words(t), set(), set()

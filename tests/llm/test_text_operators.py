@@ -162,6 +162,38 @@ def test_packing(spark):
     assert packing.pack(docs.limit(0), tokens.vocabulary("byte_bpe_50k.json")).count() == 0
 
 
+def test_a_shard_is_indexed_once(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i if i % 3 else None, words(rng, 14, 12)) for i in range(60)]
+    texts = [words(rng, 200, 12) + " " + items[i][1] for i in range(12)]
+    docs, bench = h.docs_of(spark, texts).coalesce(1), spark.createDataFrame(items, "item_id long, text string")
+    uris, vocabulary = decontaminate.benchmark_blocks(bench, 80, 10)
+    assert len(uris) >= 15
+    known, held = decontaminate.vocabulary(vocabulary), decontaminate.Blocks()
+    assert len(known) == len({w for _, t in items for w in t.split()})
+    built = []
+    init = decontaminate.FMIndex.__init__
+    monkeypatch.setattr(decontaminate.FMIndex, "__init__", lambda self, *a: (built.append(1), init(self, *a))[1])
+    shard = decontaminate.Shard(pa.array(texts), known, min(held[u].shortest for u in uris))
+    spans: dict[int, list] = {}
+    for u in uris:
+        for doc, (_, found) in shard.search(held[u]).items():
+            spans.setdefault(doc, []).extend(found)
+    want = h.contamination(dict(enumerate(texts)), items)
+    assert built == [1] and {i: sum(b - a for a, b in decontaminate.merge(spans.get(i, []))) for i in want} == {i: n for i, (_, n, _) in want.items()}
+    assert any(n and not found for _, n, found in want.values())
+    got = rows(decontaminate.find_contamination(docs, bench, block_bytes=80))
+    assert {i: (sum(s.end - s.start for s in r.spans), set(r.items)) for i, r in got.items()} == {i: (n, {str(x) for x in found}) for i, (_, n, found) in want.items()}
+
+
+def test_held_blocks_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HELD", 100)
+    bench = spark.createDataFrame([(i, f"w{i} x y z") for i in range(40)], "item_id long, text string")
+    uris, _ = decontaminate.benchmark_blocks(bench, 40, 10)
+    held = decontaminate.Blocks()
+    assert sorted(n for u in uris for n in held[u].names) == sorted(map(str, range(40))) and len(held.held) == 1
+
+
 def test_patterns_fill_most_sequences():
     count = np.zeros(257, np.int64)
     count[1:] = np.random.default_rng(1).integers(50, 90, 256)
