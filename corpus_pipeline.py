@@ -14,9 +14,11 @@ WORDS, PERCENT = 5, 80
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a language; null texts and texts without letters are rejected.
-    A missing lang is filled in. Repeated rows are judged alike, an empty table stays empty."""
-    judged = language_id.predict(docs, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
-    return judged.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    A missing lang is filled in. Repeated rows are judged alike, an empty table stays empty; columns of the
+    documents that bear names of the model's results keep their values."""
+    rows = docs.select("text", F.struct("*").alias("_row"))
+    judged = language_id.predict(rows, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
+    return judged.select(F.col("_row").withField("lang", F.coalesce("_row.lang", "lang_pred")).alias("_row")).select("_row.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
