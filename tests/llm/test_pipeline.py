@@ -47,3 +47,87 @@ def test_texts_of_symbols_are_rejected(spark):
     texts = ["the end of the day", "und das ist ein Tag", "“”… €", "😀 👍🏽", "٠١٢٣", "\u00a0\u3000", "“я”"]
     docs = h.docs_of(spark, texts, langs=["en", "de", *[None] * 5])
     assert {r.text for r in pipeline.identify(spark, docs, "").collect()} == {t for t in texts if any(c.isalpha() for c in t)}
+
+
+#: Columns that bear names of what the operators add, and of what the stages use themselves.
+ODD_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred int, kept string, removed string, `_row` string, items int, component_id string"
+PASSAGE = "the quick brown fox jumps over the lazy dog and runs away from here at once"
+ODD_TEXTS = [
+    (1, "the end of the day and the start of the night in the town of the hills"),
+    (1, "the end of the day and the start of the night in the town of the hills"),  # a repeated row
+    (1, "something else that has the same id but no like words at all in it"),
+    (None, "a row without any id that is kept by all the stages of the pipeline"),
+    (None, "the end of the day and the start of the night in the town of the hills"),
+    (4, "the end of the day and the start of the night in the town of the hill"),
+    (5, None),
+    (6, ""),
+    (7, " \n\t "),
+    (8, f"before it {PASSAGE} and after it there are more words of the own kind"),
+    (9, PASSAGE),
+    (10, "word " * 60_000),
+]
+
+
+def odd_docs(spark):
+    rows = [(i, t, "en" if k % 2 else None, "s", len(t or ""), f"own{k}", k, "k", "r", "row", 3, "c") for k, (i, t) in enumerate(ODD_TEXTS)]
+    return spark.createDataFrame(rows, ODD_SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def with_benchmark(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("sf")
+    spark.createDataFrame([(1, PASSAGE, "x"), (None, "an item without id that stands in no document at all, not anywhere here", "y")], "item_id long, text string, doc_id string").write.parquet(str(folder / "benchmark.parquet"))
+    return str(folder)
+
+
+def kept(df, docs):
+    assert df.columns == docs.columns and df.dtypes == docs.dtypes
+    return sorted((r.score, r.doc_id, r.text) for r in df.collect())
+
+
+def test_stages_on_odd_rows(spark, with_benchmark):
+    docs = odd_docs(spark)
+    rows = {f"own{k}": (i, t) for k, (i, t) in enumerate(ODD_TEXTS)}
+    named = {r.score: r for r in pipeline.identify(spark, docs, "").collect()}
+    # own columns called like the model's results keep their values
+    assert set(named) == {k for k, (_, t) in rows.items() if any(c.isalpha() for c in t or "")} and all(r.lang_pred == int(k[3:]) and r.lang == "en" and r.text == rows[k][1] for k, r in named.items())
+    lined = {s: (i, t) for s, i, t in kept(pipeline.drop_lines(spark, docs, ""), docs)}
+    # equal rows of one id are judged alike, rows without an id take no part, the near line of row 4 goes with its text
+    assert set(lined) == set(rows) - {"own5"} and all(lined[k] == rows[k] for k in lined)
+    near = {s: (i, t) for s, i, t in kept(pipeline.drop_near(spark, docs, ""), docs)}
+    assert "own5" not in near and len({"own0", "own1"} & set(near)) == 1 and {"own2", "own3", "own4", "own6", "own7", "own8"} <= set(near)
+    clean = {s: (i, t) for s, i, t in kept(pipeline.decontaminated(spark, docs, with_benchmark), docs)}
+    assert "own10" not in clean and PASSAGE not in clean["own9"][1] and all(clean[k] == rows[k] for k in clean if k != "own9")
+    packed = pipeline.packed(spark, docs, "")
+    sizes: dict = {}
+    for r in packed.collect():
+        sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.length
+    assert set(sizes) == {i for i, _ in ODD_TEXTS} and sizes[5] == 1 and sizes[10] > 60_000
+
+
+@pytest.mark.parametrize("at", range(len(pipeline.STAGES)))
+def test_stages_on_an_empty_table(spark, with_benchmark, at):
+    docs = odd_docs(spark).limit(0)
+    found = pipeline.STAGES[at][1](spark, docs, with_benchmark)
+    assert found.count() == 0 and (at == len(pipeline.STAGES) - 1 or found.dtypes == docs.dtypes)
+
+
+def test_recall_of_near_duplicates(spark):
+    """The links of planted pairs of similarity 0.8 and a little more that min-max bands find."""
+    import random
+
+    from gridloom.llm import near_dedup
+
+    rng, texts = random.Random(21), []
+    for g in range(300):
+        base = [f"g{g}w{k}" for k in range(101)]
+        other = list(base)
+        for k in rng.sample(range(50), 5):
+            other[2 * k + rng.randrange(2)] = f"e{g}x{k}"
+        texts += [" ".join(base), " ".join(other)]
+    want = h.near_components(dict(enumerate(texts[:60])), 2)
+    sets = [h.shingles(t, 2) for t in texts]
+    linked = [k for k in range(0, len(texts), 2) if 100 * len(sets[k] & sets[k + 1]) >= 80 * len(sets[k] | sets[k + 1])]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(h.docs_of(spark, texts)).collect()}
+    assert len(linked) > 100 and all(got[k + 1] == k for k in linked)
+    assert all(got[i] == c for i, c in want.items())
