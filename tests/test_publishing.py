@@ -94,3 +94,11 @@ def test_quantiles_leave_the_values_where_they_are(spark):
     found = series.describe(df, "v")
     q = np.quantile([k * 7919 % 100_003 for k in range(200_000)], (0.25, 0.5, 0.75))
     assert found.first()[4:7] == pytest.approx(tuple(q))
+
+
+def test_a_root_may_be_an_address(spark, tmp_path):
+    from gridloom.plans import cli
+
+    (tmp_path / "aat1.csv").write_text("year,unemployed_percent\n2001,4.7\n2002,5.8\n")
+    assert cli.main(["--flat", "--root", (tmp_path / "out").as_uri(), "--landed", str(tmp_path), "--logs", str(tmp_path / "logs")]) == 0
+    assert values(spark, tmp_path / "out/processed/yearly.csv") == [4.7, 5.8]
