@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, ship
-from .vectors import BLOCK_BYTES, BLOCK_ROWS, MOST, WIDE, Best, blocks, clipped, matrix, numbers, optional, quantised, reach, slices, thin
+from .vectors import BLOCK_BYTES, BLOCK_ROWS, WIDE, Best, blocks, clipped, matrix, numbers, optional, quantised, reach, slices, thin
 
 TABLE_BYTES = 16 << 20
 CHUNK = 256

@@ -72,7 +72,7 @@ def profile(raw: np.ndarray, step: int = 8 << 20) -> np.ndarray:
 
 def profiles(column: pa.Array):
     """(first row, end, profiles) of a slice after another; all 0 for a text without letters."""
-    for a, b in pieces(column, 4 << 20, 1024):
+    for a, b in pieces(column, 1 << 20, 128):
         raw, off = text_buffer(column.slice(a, b - a))
         yield a, b, np.array([profile(raw[x:y]) if has_letters(raw[x:y]) else np.zeros(DIMS) for x, y in zip(off[:-1], off[1:], strict=True)]).reshape(-1, DIMS)
 

@@ -4,7 +4,6 @@ import math
 import random
 import re
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tests.llm import helpers as h
