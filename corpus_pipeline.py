@@ -16,9 +16,17 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a language; null texts and texts without letters are rejected.
     A missing lang is filled in. Repeated rows are judged alike, an empty table stays empty; columns of the
     documents that bear names of the model's results keep their values."""
-    rows = docs.select("text", F.struct("*").alias("_row"))
-    judged = language_id.predict(rows, language_id.train(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
-    return judged.select(F.col("_row").withField("lang", F.coalesce("_row.lang", "lang_pred")).alias("_row")).select("_row.*")
+    own = {c: hidden(c, docs.columns) for c in docs.columns if c in ("lang_pred", "score")}
+    judged = language_id.predict(docs.withColumnsRenamed(own), language_id.train(docs)).where(F.col("lang_pred") != language_id.UNKNOWN)
+    named = judged.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    return named.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
+
+
+def hidden(name: str, taken: list[str]) -> str:
+    """A name that no column has."""
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
