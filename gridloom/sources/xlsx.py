@@ -1,7 +1,7 @@
 """Workbooks as a long table of cells, and a catalogue of their sheets.
 
-`read_cells` is a Python data source: each sheet of each file is a partition, and filters on sheet and row_idx
-reach the source, so that a sheet that is not wanted is not opened and a peek at the first rows stops
+`read_cells` is a Python data source: each sheet of each file is a partition, or where there are very many, a partition
+holds some of them, and filters on sheet and row_idx reach the source, so that a sheet that is not wanted is not opened and a peek at the first rows stops
 behind them. A workbook is a zip file: its directory and the few parts that a sheet needs are read by
 ranges, in the tasks. A row is a cell that holds something; positions are those of the cell references, from 0.
 Stores that only Spark's readers can open are read whole by the binaryFile reader instead.
@@ -34,8 +34,10 @@ NAMES = [part.split()[0] for part in CELLS.split(", ")]
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 #: Stores that pyarrow opens by itself.
 OPENED = ("file", "hdfs", "s3", "gs", "abfs", "abfss")
-#: With more files than these a partition is a file, and its sheets are not listed before.
+#: With more files than these their sheets are not listed before, and are read together.
 LISTED = 256
+#: So many partitions for each task that runs at once, at most.
+WAVES = 4
 BATCH = 1 << 14
 
 
@@ -173,16 +175,21 @@ def opened(uri: str):
 
 
 @dataclass
-class Sheet(InputPartition):
-    """A sheet of a file, or with no number all of its sheets."""
+class Sheets(InputPartition):
+    """Sheets by file and number; with no number all of a file."""
 
-    file: str
-    index: int | None = None
+    items: list
+
+
+def dealt(items: list, parts: int) -> list[Sheets]:
+    n = min(len(items), parts)
+    return [Sheets(items[k::n]) for k in range(n)]
 
 
 @dataclass
 class Cells(DataSourceReader):
     files: list
+    parts: int
     wanted: Wanted = field(default_factory=Wanted)
 
     def pushFilters(self, filters):
@@ -192,25 +199,27 @@ class Cells(DataSourceReader):
         if self.wanted.high is not None and self.wanted.high <= self.wanted.low or self.wanted.names == set():
             return []
         if len(self.files) > LISTED:
-            return [Sheet(f) for f in self.files]
+            return dealt([(f, None) for f in self.files], self.parts)
         found = []
         for file in self.files:
             with opened(file) as f, zipfile.ZipFile(f) as book:
-                found += [Sheet(file, i) for i, (name, _) in enumerate(sheets(book)) if self.wanted.names is None or name in self.wanted.names]
-        return found
+                found += [(file, i) for i, (name, _) in enumerate(sheets(book)) if self.wanted.names is None or name in self.wanted.names]
+        return dealt(found, self.parts)
 
     def read(self, partition):
-        with opened(partition.file) as f, zipfile.ZipFile(f) as book:
-            strings, rows = Strings(book), []
-            for index, (name, part) in enumerate(sheets(book)):
-                if partition.index in (None, index) and (self.wanted.names is None or name in self.wanted.names):
-                    for cell in sheet_cells(book, part, name, index, strings, self.wanted):
-                        rows.append((partition.file, *cell))
-                        if len(rows) == BATCH:
-                            yield batch(rows)
-                            rows = []
-            if rows:
-                yield batch(rows)
+        rows = []
+        for file, wanted in partition.items:
+            with opened(file) as f, zipfile.ZipFile(f) as book:
+                strings = Strings(book)
+                for index, (name, part) in enumerate(sheets(book)):
+                    if wanted in (None, index) and (self.wanted.names is None or name in self.wanted.names):
+                        for cell in sheet_cells(book, part, name, index, strings, self.wanted):
+                            rows.append((file, *cell))
+                            if len(rows) == BATCH:
+                                yield batch(rows)
+                                rows = []
+        if rows:
+            yield batch(rows)
 
 
 def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -218,7 +227,7 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class Workbooks(DataSource):
-    """The cells of workbooks: option `files`, a JSON list of addresses."""
+    """The cells of workbooks: options `files`, a JSON list of addresses, and `parts`, the most partitions."""
 
     @classmethod
     def name(cls) -> str:
@@ -228,7 +237,7 @@ class Workbooks(DataSource):
         return CELLS
 
     def reader(self, schema) -> Cells:
-        return Cells(json.loads(self.options["files"]))
+        return Cells(json.loads(self.options["files"]), int(self.options["parts"]))
 
 
 def listed(content, file: str) -> list[tuple]:
@@ -241,17 +250,19 @@ def listed(content, file: str) -> list[tuple]:
 @dataclass
 class Directory(DataSourceReader):
     files: list
+    parts: int
 
     def partitions(self):
-        return [Sheet(f) for f in self.files]
+        return dealt(self.files, self.parts)
 
     def read(self, partition):
-        with opened(partition.file) as f:
-            yield from listed(f, partition.file)
+        for file in partition.items:
+            with opened(file) as f:
+                yield from listed(f, file)
 
 
 class Catalogue(DataSource):
-    """The sheets of workbooks, those without cells too: option `files`, a JSON list of addresses."""
+    """The sheets of workbooks, those without cells too; options as of Workbooks."""
 
     @classmethod
     def name(cls) -> str:
@@ -261,7 +272,7 @@ class Catalogue(DataSource):
         return SHEETS
 
     def reader(self, schema) -> Directory:
-        return Directory(json.loads(self.options["files"]))
+        return Directory(json.loads(self.options["files"]), int(self.options["parts"]))
 
 
 def source(spark: SparkSession, kind, path) -> DataFrame | None:
@@ -272,7 +283,7 @@ def source(spark: SparkSession, kind, path) -> DataFrame | None:
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(kind)
-    return spark.read.format(kind.name()).option("files", json.dumps(files)).load()
+    return spark.read.format(kind.name()).option("files", json.dumps(files)).option("parts", WAVES * spark.sparkContext.defaultParallelism).load()
 
 
 def read_cells(spark: SparkSession, path, sheet: str | None = None, max_rows: int | None = None) -> DataFrame:

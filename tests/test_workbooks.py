@@ -60,9 +60,16 @@ def test_filters_reach_the_source(spark, large, tmp_path):
     assert whole.rdd.getNumPartitions() == 3 and whole.count() == 360_002
 
 
-@pytest.mark.parametrize("listed", [256, 1])
-def test_files_of_a_folder(spark, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr(xlsx, "LISTED", listed)
+def test_many_files_share_partitions(spark, tmp_path):
+    for k in range(xlsx.LISTED + 4):
+        wb.write(tmp_path / f"b{k}.xlsx", {"A": [[k]], "B": [["y"]]})
+    cells = xlsx.read_cells(spark, str(tmp_path))
+    assert cells.rdd.getNumPartitions() == xlsx.WAVES * spark.sparkContext.defaultParallelism
+    assert cells.count() == 2 * (xlsx.LISTED + 4) and {int(r.raw) for r in cells.where("sheet = 'A'").collect()} == set(range(xlsx.LISTED + 4))
+    assert xlsx.read_sheets(spark, str(tmp_path)).count() == 2 * (xlsx.LISTED + 4)
+
+
+def test_files_of_a_folder(spark, tmp_path):
     for k in range(3):
         wb.write(tmp_path / f"b{k}.xlsx", {"A": [[k]], "B": [["y", None], [None, k]]})
     (tmp_path / "_SUCCESS").write_text("")
