@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Values from which the bounds of parts are taken, about; only how even parts are depends on it.
+SAMPLE = 10_000
+
 
 def over(by, order) -> W:
     return W.partitionBy(*by).orderBy(*order)
@@ -41,11 +44,18 @@ def with_gaps(df: DataFrame, by, name: str) -> DataFrame:
 
 
 def with_parts(df: DataFrame, order: str, name: str) -> DataFrame:
-    """df with the number of each row's part: parts follow each other in the order of a column, and equal values share one. Their
-    bounds are approximate quantiles, a subquery of the plan; as many as shuffles have partitions."""
+    """df with the number of each row's part: parts follow each other in the order of a column, and equal values share one; as
+    many as shuffles have partitions.
+
+    Their bounds stand evenly among those values of the column whose hashes fall into a share of about SAMPLE rows. They are a subquery of
+    the plan and the same whenever it is evaluated, whatever the order of rows, as rows are dealt more than once in a plan."""
     n = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     value = as_number(df, order)
-    bounds = df.agg(F.approx_percentile(value, F.array(*(F.lit(k / n) for k in range(1, n))), F.lit(50 * n)).alias("b")).scalar()
+    rows = df.agg(F.count(value)).scalar()
+    some = df.select(value.alias("v"), F.greatest(F.lit(1), F.floor(rows / SAMPLE)).alias("m")).where("v is not null and pmod(xxhash64(v), m) = 0")
+    found = some.agg(F.sort_array(F.collect_set("v")).alias("s"))
+    evenly = F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get("s", F.floor(i * F.size("s") / n).cast("int")))
+    bounds = found.select(F.array_distinct(evenly).alias("b")).scalar()
     bounded = df.withColumn("_bounds", bounds)
     return bounded.withColumn(name, F.coalesce(F.size(F.filter("_bounds", lambda b: b < value)), F.lit(0))).drop("_bounds")
 
