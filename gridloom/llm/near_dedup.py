@@ -159,9 +159,14 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     sets = scratch.write(full_sets(docs.join(wanted, "doc_id", "left_semi"), words), "all-sets")
     scratch.drop("wanted")
 
-    pairs = members.where("c <> p").where(size_fits(F.col("n"), F.col("pn"), percent)).select(F.col("p").alias("a"), F.col("c").alias("b")).distinct()
-    seen = scratch.write(confirm(pairs, sets, percent), "seen-0")
+    pairs = members.where("c <> p").where(size_fits(F.col("n"), F.col("pn"), percent)).select(F.col("p").alias("a"), F.col("c").alias("b"))
+    # each with the least of its pivots first, then with those that this has not joined it to: most of a large group needs no second one
+    seen = scratch.write(confirm(pairs.groupBy("b").agg(F.min("a").alias("a")), sets, percent), "seen-0")
     labels = components(seen.where("ok"), scratch, "labels-0")
+    more = scratch.write(apart(pairs.distinct(), labels), "apart")
+    if not more.isEmpty():
+        found = scratch.write(confirm(more.join(seen.select("a", "b"), ["a", "b"], "left_anti"), sets, percent), "seen-1")
+        labels, seen = merged(labels, found.where("ok"), scratch, "labels-1"), seen.union(found)
     for turn, make in enumerate((lambda spread, seen: hub_pairs(spread, seen, percent), lambda spread, seen: open_pairs(spread, sets, percent)), 1):
         spread = scratch.write(spanning(members, labels).join(classes.select("c", "odd"), "c"), f"spread-{turn}")
         if spread.isEmpty():
@@ -173,7 +178,7 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
             seen = seen.union(found)
             continue
         seen = seen.union(found)
-        labels = components(seen.where("ok"), scratch, f"labels-{turn}")
+        labels = merged(labels, found.where("ok"), scratch, f"labels-{turn + 1}")
     scratch.drop("members", "all-sets")
 
     named = scratch.write(classes.select("c", "least").join(labels.withColumnRenamed("node", "c"), "c", "left").select("c", "least", F.coalesce("comp", "c").alias("comp")), "named")
@@ -184,6 +189,28 @@ def near_duplicates(docs: DataFrame, words: int = 2, percent: int = 80) -> DataF
     return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b, comp_a, comp_b); a class without a label is a component of its own."""
+    for end in "ab":
+        own = labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+        pairs = pairs.join(own, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+    return pairs
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends stand in different components."""
+    return labelled(pairs, labels).where("comp_a <> comp_b").select("a", "b")
+
+
+def merged(labels: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The labels after more links; only components are joined, not all that stand in them."""
+    ends = scratch.write(labelled(links.select("a", "b"), labels), f"{name}-ends")
+    lower = components(ends.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct(), scratch, f"{name}-comps")
+    lower = lower.select(F.col("node").alias("comp"), F.col("comp").alias("lower"))
+    both = labels.union(ends.select("a", "comp_a")).union(ends.select("b", "comp_b")).distinct()
+    return scratch.write(both.join(lower, "comp", "left").select("node", F.coalesce("lower", "comp").alias("comp")), name)
+
+
 def spanning(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, c, n, comp) of the buckets whose members are in more than one component."""
     own = members.select("key", "c", "n").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
