@@ -50,7 +50,7 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts benchmark passages out; documents of which no word is left go, null texts stay."""
-    return with_length(docs, decontaminate.remove_contamination(docs, documents(spark, sf_dir, "benchmark")))
+    return with_length(docs, decontaminate.remove_contamination(docs, documents(spark, sf_dir, "benchmark"), shard_bytes=8 << 20))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
