@@ -6,7 +6,8 @@ gives two signature values; bands of four values put classes into buckets. Of a
 bucket not all pairs are made: members are first compared with the bucket's pivot,
 then, where a bucket still spans several components, with members of many links,
 and last all pairs that stand in different components and were not compared yet. Those of buckets that are
-still large are found by an exact prefix filter on their rarest shingles instead.
+still large are found by an exact prefix filter on their rarest shingles instead, which
+also heeds where in both sets the first common shingle stands.
 So no link that could join components is passed over. Before sets are fetched, the parities
 of a set's hashes in 1024 cells bound from below in how many shingles two sets differ.
 Every link is confirmed on the full sets.
@@ -246,21 +247,32 @@ def open_pairs(spread: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     near = some.join(other, "key").where("c < c2 and comp <> comp2").where(may_link(F.col("n"), F.col("n2"), F.col("odd"), F.col("odd2"), percent))
     out = near.select(*ordered(F.col("c"), F.col("c2")))
     large = sizes.where(F.col("size") > HOT)
-    return (out if large.isEmpty() else out.union(prefix_pairs(spread.join(large, "key").select("c", "n", "comp").distinct(), sets, percent))).distinct()
+    return (out if large.isEmpty() else out.union(prefix_pairs(spread.join(large, "key").select("c", "n", "comp", "odd").dropDuplicates(["c"]), sets, percent))).distinct()
+
+
+def room(n: str, place: str):
+    """How many shingles two sets can share at most, as far as this one tells, if their first common one stands there."""
+    return F.col(n) - F.col(place) + 1
 
 
 def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of members in different components that share one of the shingles, rarest
-    first, among which sets of the needed similarity must share one."""
-    shingles = members.join(sets.dropDuplicates(["c"]), "c").select("c", "n", "comp", F.explode("shingles").alias("s"))
+    """All pairs (a, b) of members in different components that share one of the shingles, rarest first, among which
+    sets of the needed similarity must share one, if what stands behind it leaves room for enough other common ones and their
+    parities are like. The smaller set of a pair has its first common shingle earlier than the larger one may have it."""
+    shingles = members.select("c", "n", "comp").join(sets.dropDuplicates(["c"]), "c").select("c", "n", "comp", F.explode("shingles").alias("s"))
     counts = shingles.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
     # those that no other member holds are the rarest and meet nothing
     met = shingles.join(counts, "s")
     place = F.row_number().over(W.partitionBy("c").orderBy("df", "s")) + F.col("n") - F.count("*").over(W.partitionBy("c"))
-    prefix = met.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-    other = prefix.select("s", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    near = prefix.join(other, "s").where("c < c2 and comp <> comp2").where(size_fits(F.col("n"), F.col("n2"), percent))
-    return near.select(*ordered(F.col("c"), F.col("c2")))
+    prefix = met.withColumn("place", place).where(100 * room("n", "place") >= percent * F.col("n")).select("s", "c", "n", "comp", "place")
+    # of two sets of these sizes at least percent / (100 + percent) of both together must be common
+    index = prefix.where((100 + percent) * room("n", "place") >= 2 * percent * F.col("n"))
+    other = prefix.select("s", *(F.col(x).alias(f"{x}2") for x in ("c", "n", "comp", "place")))
+    fits = size_fits(F.col("n"), F.col("n2"), percent) & ((100 + percent) * F.least(room("n", "place"), room("n2", "place2")) >= percent * (F.col("n") + F.col("n2")))
+    near = index.join(other, "s").where("comp <> comp2 and (n < n2 or n = n2 and c < c2)").where(fits).select("c", "n", "c2", "n2").distinct()
+    odd = members.select("c", "odd")
+    both = near.join(odd, "c").join(odd.select(F.col("c").alias("c2"), F.col("odd").alias("odd2")), "c2")
+    return both.where(may_link(F.col("n"), F.col("n2"), F.col("odd"), F.col("odd2"), percent)).select(*ordered(F.col("c"), F.col("c2")))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -260,6 +260,23 @@ def test_a_large_bucket_of_unlinked_sets(spark):
     assert linked <= got and len(got) < 300
 
 
+def test_edits_of_one_text_in_a_large_bucket(spark):
+    """Each is edited in own places: next to none are linked, though all share most of their words."""
+    rng, sets = random.Random(23), []
+    for i in range(700):
+        own = rng.sample(range(100), 100 - rng.randint(14, 22))
+        sets.append([*own, *range(1000 * i + 1000, 1000 * i + 1100 - len(own))])
+    sets += [[*s[:-2], 2_000_000 + i] for i, s in enumerate(sets[::50])]  # fifteen links of unequal sizes
+    ids = [bytes([i >> 8, i & 255]) for i in range(len(sets))]
+    odd = near_dedup.parities([np.array(s, np.uint64) * np.uint64(0x9E3779B97F4A7C15) for s in sets]).tolist()
+    spread = spark.createDataFrame([("k", c, len(s), c, o) for c, s, o in zip(ids, sets, odd, strict=True)], "key string, c binary, n long, comp binary, odd array<long>")
+    full = spark.createDataFrame(list(zip(ids, sets, strict=True)), "c binary, shingles array<long>")
+    got = {(bytes(r.a), bytes(r.b)) for r in near_dedup.open_pairs(spread, full, 80).collect()}
+    linked = {(ids[i], ids[j]) for i in range(len(sets)) for j in range(i) for x, y in [(set(sets[i]), set(sets[j]))] if 100 * len(x & y) >= 80 * len(x | y)}
+    linked = {(min(p), max(p)) for p in linked}
+    assert len(linked) >= 14 and linked <= got and len(got) < len(linked) + 700, (len(linked), len(got))
+
+
 def test_long_chains_are_one_component(spark):
     from gridloom.llm.graph import components
 
