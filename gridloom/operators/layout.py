@@ -143,9 +143,30 @@ def assigned(header: Column, patterns: dict) -> Column:
     return F.aggregate(F.array(*fits), taken, lambda acc, columns: F.array_append(acc, F.coalesce(F.array_min(F.array_except(columns, acc)), F.lit(-1))))
 
 
+def in_cells(keywords) -> bool:
+    """Whether each keyword that stands in a row's text stands in one of its cells: none is empty or holds the space between cells."""
+    return len(keywords) < 63 and all(k and " " not in k for k in keywords)
+
+
+def found_in(raw: Column, keywords) -> Column:
+    """The keywords that the cells of a group hold, as bits. No text need travel for it."""
+    return F.bit_or(sum((F.when(F.contains(key(raw), F.lit(k)), F.lit(1 << i)).otherwise(0).cast("long") for i, k in enumerate(keywords)), F.lit(0).cast("long")))
+
+
+def sheet_scores(cells: DataFrame, keywords, rows: int, sheets: DataFrame | None) -> DataFrame:
+    """file, sheet, sheet_idx, score; see sheet_score."""
+    named = [*SHEET, "sheet_idx"]
+    if not in_cells(keywords):
+        return heads(cells, rows, sheets=sheets).select(*named, sheet_score(F.col("top"), keywords, rows).alias("score"))
+    found = cells.groupBy(*named).agg(found_in(F.when(F.col("row_idx") < rows, F.col("raw")), keywords).alias("_found"))
+    if sheets is not None:
+        found = sheets.select(*named).join(found, named, "left")
+    return found.select(*named, (F.bit_count(F.coalesce("_found", F.lit(0).cast("long"))) + 2 * hits(F.lower("sheet"), keywords)).alias("score"))
+
+
 def best_sheet(cells: DataFrame, keywords=SHEET_KEYWORDS, rows: int = 40, sheets: DataFrame | None = None) -> DataFrame:
     """Per file the sheet with most keywords in its first rows, those in its name counting twice."""
-    scored = heads(cells, rows, sheets=sheets).select("file", "sheet", "sheet_idx", sheet_score(F.col("top"), keywords, rows).alias("score"))
+    scored = sheet_scores(cells, keywords, rows, sheets)
     return scored.groupBy("file").agg(F.max_by("sheet", F.struct("score", -F.col("sheet_idx"))).alias("sheet"), F.max("score").alias("score"))
 
 

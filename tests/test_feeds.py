@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -122,6 +123,20 @@ def test_best_sheet_prefers_the_earlier_of_equals(spark):
     assert layout.best_sheet(a.union(deep)).first().sheet == "A"
 
 
+def test_no_text_travels_for_keywords(spark):
+    """The rules over arrays of cells and those over bits give the same; only keywords with spaces need the cells' text."""
+    rng, words = random.Random(5), ["Tasa", "x", " mes\n", "desempleo td", None, "MES TASA", "y", "date", "z", ""]
+    cells = [("f", f"s{k % 4}{'td' * (k % 3)}", k % 4, rng.choice([i, i + 30, i + 38]), j, rng.choice(words)) for k in range(24) for i in range(3) for j in range(rng.randint(0, 3))]
+    cells = spark.createDataFrame([*cells, ("g", "only", 0, 45, 0, "tasa"), ("h", "null", 0, 0, 0, None)], "file string, sheet string, sheet_idx int, row_idx int, col_idx int, raw string")
+    sheets = cells.select("file", "sheet", "sheet_idx").distinct().union(spark.createDataFrame([("i", "td", 0)], "file string, sheet string, sheet_idx int"))
+    for words in (("mes", "tasa", "td", "date"), ("mes", "mes", "x"), ("mes tasa", "x"), ("",)):
+        for all_sheets in (None, sheets):
+            top = layout.heads(cells, 40, sheets=all_sheets).select("file", "sheet", "sheet_idx", layout.sheet_score(F.col("top"), words).alias("score"))
+            assert sorted(layout.sheet_scores(cells, words, 40, all_sheets).collect()) == sorted(top.collect())
+    for df in (layout.best_sheet(cells),):
+        assert "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_month_column(spark):
     heads = lambda g: g.select("file", "sheet").distinct().withColumn("header_row", F.lit(0))
     for names, want in ((["x", "Semestre", "MES "], 2), (["x", "Semestre"], 1), (["Periodo", "y"], 0)):
