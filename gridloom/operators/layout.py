@@ -181,6 +181,13 @@ def choose_sheet(cells: DataFrame, sheet: str | None, best=first_sheet) -> DataF
 
 def header_row(cells: DataFrame, keywords=HEADER_KEYWORDS, max_scan: int = 30) -> DataFrame:
     """Per sheet the row whose text holds most keywords."""
+    if in_cells(keywords):
+        named = [*SHEET, "sheet_idx"]
+        rows = cells.groupBy(*named, F.when(F.col("row_idx") < max_scan, F.col("row_idx")).alias("_row")).agg(found_in(F.col("raw"), keywords).alias("_found"))
+        # one number, the greater the more keywords and then the earlier the row: such maxima are taken in place
+        place = F.lit(1 << 32) * F.bit_count("_found") - F.col("_row")
+        best = rows.groupBy(*named).agg(F.max(F.when(F.col("_found") != 0, place)).alias("_best"))
+        return best.select(*SHEET, F.coalesce(F.pmod(-F.col("_best"), F.lit(1 << 32)), F.lit(0)).cast(cells.schema["row_idx"].dataType).alias("header_row"))
     return heads(cells, max_scan).select(*SHEET, header_row_of(F.col("top"), keywords, max_scan).alias("header_row"))
 
 

@@ -133,7 +133,10 @@ def test_no_text_travels_for_keywords(spark):
         for all_sheets in (None, sheets):
             top = layout.heads(cells, 40, sheets=all_sheets).select("file", "sheet", "sheet_idx", layout.sheet_score(F.col("top"), words).alias("score"))
             assert sorted(layout.sheet_scores(cells, words, 40, all_sheets).collect()) == sorted(top.collect())
-    for df in (layout.best_sheet(cells),):
+        rows = layout.heads(cells, 30).select("file", "sheet", layout.header_row_of(F.col("top"), words, 30).alias("header_row"))
+        found = layout.header_row(cells, words)
+        assert sorted(found.collect()) == sorted(rows.collect()) and found.schema["header_row"].dataType == rows.schema["header_row"].dataType
+    for df in (layout.best_sheet(cells), layout.header_row(cells)):
         assert "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
