@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOCAL_SHARED = "spark.gridloom.local.shared"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Set while a table is written: its shuffle files go when it is done, and the driver keeps plans' texts short.
 WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.maxPlanStringLength": "100000"}
 
@@ -25,6 +31,36 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = f"{root}:{env['PYTHONPATH']}" if env.get("PYTHONPATH") else root
 
 
+def small_batches(spark: SparkSession, limit: int = 2 << 20) -> None:
+    """Batches of rows between Spark and Python are cut at `limit` bytes, unless the session has a limit of its own."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(limit))
+
+
+def give_back() -> None:
+    """Returns the memory that this process has freed to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run, encoders: bool = False):
+    """`run`, a function over batches, in a worker that Spark keeps for tasks of other steps: it begins without the `encoders` of
+    steps before, unless it uses them itself, and gives back at its end what it has freed."""
+
+    def made(batches):
+        tokens = sys.modules.get("gridloom.llm.tokens")
+        if tokens and not encoders:
+            tokens.encoder.cache_clear()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return made
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
 

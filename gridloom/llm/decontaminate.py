@@ -24,7 +24,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, fetch, put, ship
+from .common import Scratch, documents, fetch, lean, put, ship
 from .textbytes import U, pieces, text_buffer, word_hashes
 
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
@@ -260,7 +260,7 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int, window: int) -> tup
 
     blocks = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n))).groupBy("block")
     found = sorted(r.uri for r in blocks.applyInArrow(write, "uri string").collect())
-    scratch.write(items.select("text").mapInArrow(words, "h long").distinct(), "vocabulary")
+    scratch.write(items.select("text").mapInArrow(lean(words), "h long").distinct(), "vocabulary")
     return found, scratch.path("vocabulary")
 
 
@@ -311,7 +311,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int, shard_bytes: int, b
                         spans[doc].extend(found)
                 yield make(part, column.slice(a, b - a), shard.counts, items, [merge(s) for s in spans])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return docs.select(*kept).mapInArrow(lean(run), schema)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_bytes: int = 24 << 20, block_bytes: int = 16 << 20) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_mod, documents, hash_limit, ship
+from .common import Scratch, crc_mod, documents, hash_limit, lean, ship
 from .textbytes import LOWER, NO_LETTER, pieces, text_buffer
 
 DIMS = 4096
@@ -89,7 +89,7 @@ def with_profiles(docs: DataFrame) -> DataFrame:
                 rows = pa.FixedSizeListArray.from_arrays(pa.array(found[some].ravel()), DIMS).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([lang, rows], names=["lang", "profile"])
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, profile array<double>")
+    return docs.select("lang", "text").mapInArrow(lean(run), "lang string, profile array<double>")
 
 
 class Vote:
@@ -192,7 +192,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     names=[*batch.schema.names, "lang_pred", "score"],
                 )
 
-    return docs.select(*kept).mapInArrow(run, "".join(f"`{c}` {types[c]}, " for c in kept) + "lang_pred string, score double")
+    return docs.select(*kept).mapInArrow(lean(run), "".join(f"`{c}` {types[c]}, " for c in kept) + "lang_pred string, score double")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

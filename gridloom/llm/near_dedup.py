@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, ship
+from .common import Scratch, documents, lean, ship
 from .graph import components
 from .textbytes import SPACE, U, mix, ngram_hashes, pieces, text_buffer, word_hashes
 
@@ -95,7 +95,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, c binary, bands array<long>, odd array<long>")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, n long, c binary, bands array<long>, odd array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -110,7 +110,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
                     values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(full).view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array(digests(full), pa.binary()), values], names=["c", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "c binary, shingles array<long>")
+    return docs.select("text").mapInArrow(lean(run), "c binary, shingles array<long>")
 
 
 def may_link(n_a, n_b, odd_a, odd_b, percent: int):

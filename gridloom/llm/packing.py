@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, ship
+from .common import Scratch, documents, lean, ship
 from .textbytes import pieces
 from .tokens import encoder, id_type, vocabulary
 
@@ -137,7 +137,7 @@ class Plan:
         return self.sequence[at] + key - self.first[at], self.offset[at]
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, memo_words: int) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, and the partition that made it
     with the piece's number among those of its length there."""
     ship(docs.sparkSession)
@@ -146,7 +146,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataF
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
-        shard, encode = TaskContext.get().partitionId(), encoder(tokenizer, dtype).encode
+        shard, encode = TaskContext.get().partitionId(), encoder(tokenizer, dtype, memo_words).encode
         seen: dict[int, int] = defaultdict(int)
         for batch in batches:
             for a, b in pieces(batch.column(1), CHUNK):
@@ -168,21 +168,21 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataF
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "shard", "nth"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, shard int, nth long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run, encoders=True), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, shard int, nth long")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024, memo_words: int = 400_000) -> DataFrame:
     """Packs all rows into sequences of at most `size` tokens: per piece doc_id, piece,
     start, length, ids_crc32, sequence_id, offset.
 
     A row is its text's ids and `end_id`; null text is empty and gives the end id
     alone. Only longer rows are cut, into pieces of `size`, of which the first may be
-    shorter. Repeated rows and null ids are packed like any; an empty table gives an
+    shorter. A worker remembers the ids of some `memo_words` words, which bounds its memory. Repeated rows and null ids are packed like any; an empty table gives an
     empty result; other columns don't matter.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
-    cut = scratch.write(cut_pieces(docs, tokenizer, end_id, size), "pieces")
+    cut = scratch.write(cut_pieces(docs, tokenizer, end_id, size, memo_words), "pieces")
     count = np.zeros(size + 1, np.int64)
     each = scratch.write(cut.groupBy("length", "shard").count(), "counts")
     for r in each.groupBy("length").agg(F.sum("count").alias("n")).collect():
@@ -201,7 +201,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int = 1024) ->
     return (
         cut.join(bases, ["length", "shard"])
         .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("nth"))
-        .mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+        .mapInArrow(lean(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
     )
 
 

@@ -37,7 +37,7 @@ def pieces(column: pa.Array, limit: int, rows: int | None = None):
 
 U = np.uint64
 RADIX = 0x9E3779B97F4A7C15 | 1
-STEP = 1 << 20
+STEP = 1 << 18
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
@@ -89,7 +89,7 @@ def word_spans(raw: np.ndarray, off: np.ndarray, ends: np.ndarray, prefixes: tup
             for k, size in enumerate((None, *prefixes)):
                 end = stop if size is None else np.minimum(stop, begin + size)
                 out[k].append(mix((total[end] - total[begin]) * INVERSE[begin]))
-        else:  # one word of more than a million bytes
+        else:  # one word of more than 2 * STEP bytes
             for k, size in enumerate((None, *prefixes)):
                 out[k].append(np.array([long_hash(value[a : b if size is None else min(b, a + size)]) for a, b in zip(begin, stop, strict=True)], U))
         places.append(begin + at)

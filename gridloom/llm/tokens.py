@@ -109,10 +109,10 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str, dtype: str) -> Encoder:
+def encoder(path: str, dtype: str, memo_words: int = 400_000) -> Encoder:
     """The encoder of this worker process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path, dtype)
+    return Encoder(path, dtype, memo_words)
 
 
 @functools.cache

@@ -1,14 +1,37 @@
 import os
 
 import corpus_pipeline as pipeline
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import helpers as h
 
+from gridloom.llm import tokens
+from gridloom.llm.common import lean, small_batches
 from gridloom.llm.tokens import vocabulary
 
 SF = "/root/testdata/sf0.001"
 
 
+def test_stages_take_small_batches(spark):
+    """Whole batches of 10,000 long texts took an executor's memory."""
+    small_batches(spark)
+    texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("a b c d "), 1000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "b": [batch.nbytes]})
+
+    found = texts.mapInArrow(sizes, "n long, b long").collect()
+    assert sum(r.n for r in found) == 3000 and max(r.b for r in found) < 5 << 20
+
+
+def test_a_worker_drops_encoders_of_steps_before():
+    tokens.encoder(vocabulary("byte_bpe_50k.json"), "<u2")
+    assert list(lean(iter, encoders=True)([1, 2])) == [1, 2] and tokens.encoder.cache_info().currsize == 1
+    assert list(lean(iter)([3])) == [3] and tokens.encoder.cache_info().currsize == 0
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="the test tables are not here")
 def test_stages_equal_brute_force(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -341,3 +341,14 @@ def test_class_keys_are_independent(spark):
     sets = spark.createDataFrame([([1, 7],), ([2, signed(other)],)], "hashes array<long>")
     one, two = (tuple(r) for r in sets.select(*line_dedup.keys_of("hashes")).collect())
     assert one[0] == two[0] and one[1] != two[1]
+
+
+def test_packing_with_a_bounded_memory_of_words(spark):
+    rng = random.Random(31)
+    docs, path = h.docs_of(spark, [words(rng, 300) for _ in range(6)] + [None, ""]), tokens.vocabulary("byte_bpe_50k.json")
+    ids = lambda **more: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packing.pack(docs, path, **more).collect())
+    assert ids(memo_words=3) == ids()
+    small = tokens.Encoder(path, "<u2", 3)
+    for i in range(50):
+        small.encode(f"word{i} other{i} third{i}")
+    assert max(len(x) + len(x.old) for x in (small.word, small.tail)) <= 6
