@@ -51,6 +51,12 @@ def cell_of(h: Column) -> Column:
     return h.bitwiseAND(F.lit(CELLS - 1)).cast("int")
 
 
+def code_of(h: Column) -> Column:
+    """How common a word is by `counts` above, 56 bits of its hash below; never null, so that Spark sorts plain numbers."""
+    common = F.coalesce(F.get("counts", cell_of(h)), F.lit(0).cast("tinyint")).cast("long")
+    return F.shiftleft(common, 56).bitwiseOR(h.bitwiseAND(F.lit(MASK)))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """One row with `counts`, an array of CELLS numbers that tell how often words of all texts fall into a hash
     cell, on a logarithmic scale. Its size does not depend on the data."""
@@ -87,11 +93,8 @@ def classes_of(docs: DataFrame, counts: DataFrame) -> DataFrame:
     # the numbers come by a subquery, so that they stand in no plan's text; what follows names each of these columns once, so
     # that Spark puts the subquery where it is used and not into rows
     sets = sets.select("doc_id", "line_no", "hashes", size, low.alias("low"), high.alias("high"), length.alias("length"), counts.scalar().alias("counts"))
-    # how common above, 56 bits of the word's hash below
-    common = lambda h: F.get("counts", cell_of(h)).cast("long")
-    code = lambda h: F.shiftleft(common(h), 56).bitwiseOR(h.bitwiseAND(F.lit(MASK)))
     words = F.array_remove("hashes", F.lit(0).cast("long"))
-    rarest = F.transform(F.slice(F.sort_array(F.transform(words, code)), F.lit(1), F.col("length")), lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    rarest = F.transform(F.slice(F.sort_array(F.transform(words, code_of)), F.lit(1), F.col("length")), lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     first = F.struct("doc_id", "line_no", "size", "low", "high", rarest.alias("rarest"))
     return sets.select(*keys_of("hashes"), first.alias("first")).groupBy("d1", "d2").agg(F.min("first").alias("first")).select("first.*")
 

@@ -352,3 +352,10 @@ def test_packing_with_a_bounded_memory_of_words(spark):
     for i in range(50):
         small.encode(f"word{i} other{i} third{i}")
     assert max(len(x) + len(x.old) for x in (small.word, small.tail)) <= 6
+
+
+def test_codes_of_words_are_sorted_as_plain_numbers(spark):
+    rows = spark.range(1).select(F.array_repeat(F.lit(3).cast("tinyint"), line_dedup.CELLS).alias("counts"), F.array(F.xxhash64(F.lit("a")), F.xxhash64(F.lit("b"))).alias("h"))
+    codes = rows.select(F.sort_array(F.transform("h", line_dedup.code_of)).alias("codes"))
+    assert not codes.schema["codes"].dataType.containsNull
+    assert [c >> 56 for c in codes.first().codes] == [3, 3]
