@@ -4,9 +4,9 @@ A line is the set of its words. Lines of equal sets form a class whose first lin
 stands for it. Words are ordered by rarity. Of two sets of similarity 0.8 or more the
 smaller has its first common word among its rarest ninth, the larger among its
 rarest fifth (prefix filter); their sizes are like (length filter), and what stands behind
-that word leaves room for enough other common ones (positional filter). Parities of hashed
-words bound the difference of two sets before the sets of both are joined to the pair and
-the similarity is computed. A line that resembles an earlier one is removed.
+that word leaves room for enough other common ones (positional filter). How many hashed words
+fall into each of 32 ranges bounds the difference of two sets before the sets of both are joined
+to the pair and the similarity is computed. A line that resembles an earlier one is removed.
 
 It goes in two rounds, each exact about what it removes. In the first, a line meets only
 the earliest line of each of its rare words and sizes, which is enough for most lines of large
@@ -26,19 +26,26 @@ from .common import Scratch, documents, with_keys
 CELLS = 1 << 18
 BITS = 1 << 19
 MASK = (1 << 56) - 1
+#: They part the hashes into 32 ranges.
+BOUNDS = [-(1 << 63) + (k << 59) for k in range(1, 32)]
 PAIR = ("xdoc_id", "xline_no", "ydoc_id", "yline_no")
 POSTING = ("doc_id", "line_no", "size", "pos", "low", "high")
 
 
-def spaced(text, ends: str = "\t\r\f\x0b") -> Column:
+def plain(docs: DataFrame, *more: str) -> DataFrame:
+    """`text` in lower case and with spaces for all other ends of words but line feeds, beside the columns `more`.
+
+    A step of its own over whole texts, so that Spark compiles it; few texts hold what is replaced."""
+    ends, text = "\t\r\f\x0b", F.col("text")
+    spaced, some = text, F.lit(False)
     for end in ends:
-        text = F.replace(text, F.lit(end), F.lit(" "))
-    return text
+        spaced, some = F.replace(spaced, F.lit(end), F.lit(" ")), some | F.contains(text, F.lit(end))
+    return docs.select(*more, F.lower("text").alias("text")).select(*more, F.when(some, spaced).otherwise(text).alias("text"))
 
 
 def hashed(line: Column) -> Column:
-    """The hashes of the line's distinct lower-case words."""
-    words = F.transform(F.split(spaced(F.lower(line)), " "), lambda w: F.xxhash64(w))
+    """The hashes of the distinct words of a line of a `plain` text."""
+    words = F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
     return F.array_remove(F.array_distinct(words), F.xxhash64(F.lit("")))
 
 
@@ -60,8 +67,10 @@ def code_of(h: Column) -> Column:
 def word_counts(docs: DataFrame) -> DataFrame:
     """One row with `counts`, an array of CELLS numbers that tell how often words of all texts fall into a hash
     cell, on a logarithmic scale. Its size does not depend on the data."""
-    words = docs.select(F.explode(F.split(spaced(F.lower("text"), "\t\r\f\x0b\n"), " ")).alias("w")).where("w <> ''")
-    cells = words.groupBy(cell_of(F.xxhash64("w")).alias("cell")).agg(F.count("*").alias("n"))
+    words = plain(docs).select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("w")).where("w <> ''")
+    # eight cells a row: the map in which Spark counts stays small
+    eights = words.select(cell_of(F.xxhash64("w")).alias("cell")).groupBy(F.shiftright("cell", 3).alias("eight")).agg(*(F.count_if(F.col("cell").bitwiseAND(F.lit(7)) == i).alias(f"n{i}") for i in range(8)))
+    cells = eights.select("eight", F.posexplode(F.array(*(f"n{i}" for i in range(8)))).alias("i", "n")).where("n > 0").select((F.col("eight") * 8 + F.col("i")).alias("cell"), "n")
     scale = F.coalesce(F.least(F.lit(126), F.floor(F.log2("n") * 2) + 1), F.lit(0)).cast("tinyint")
     all_cells = docs.sparkSession.range(CELLS).select(F.col("id").cast("int").alias("cell")).join(cells, "cell", "left")
     ordered = F.sort_array(F.collect_list(F.struct("cell", scale.alias("scale"))))
@@ -78,25 +87,45 @@ def index_length(size: Column) -> Column:
     return size - F.floor((8 * size + 8) / 9).cast("int") + 1
 
 
+def cyclic(n: Column) -> Column:
+    """Four bits for a number, one of which changes when it grows by one."""
+    return F.call_function("shiftright", F.lit(0xF0), n.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(0xF)).cast("long")
+
+
+def ranges(ends: list[Column]) -> list[Column]:
+    """Two numbers of 64 bits that tell how many words of a set fall into each range; `ends` are the places of BOUNDS among its sorted
+    hashes, and its size with them plus one. Of two sets they differ in no more bits than the sets differ in words."""
+    codes = [cyclic(end - start - 1) for start, end in zip([F.lit(0), *ends], ends, strict=False)]
+    both = []
+    for half in (codes[:16], codes[16:]):
+        bits = half[0]
+        for i, code in enumerate(half[1:], 1):
+            bits = bits.bitwiseOR(F.shiftleft(code, 4 * i))
+        both.append(bits)
+    return both
+
+
 def classes_of(docs: DataFrame, counts: DataFrame) -> DataFrame:
-    """Per distinct set: its first line (doc_id, line_no), size, parities of its lower and higher hashes and its rarest words in
+    """Per distinct set: its first line (doc_id, line_no), size, the bits of `ranges` and its rarest words in
     order. Sets of fewer than 4 words, which resemble none but themselves, have an empty list."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    # a 0 among the sorted hashes parts the lower from the higher ones
-    sets = lines.select("doc_id", "line_no", F.sort_array(F.array_append(hashed(F.col("line")), F.lit(0).cast("long"))).alias("hashes"))
-    sets = sets.select("doc_id", "line_no", "hashes", F.array_position("hashes", F.lit(0).cast("long")).cast("int").alias("middle"), (F.size("hashes") - 1).alias("size"))
-    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))
-    parity = lambda some: F.aggregate(some, F.lit(0).cast("long"), lambda p, h: p.bitwiseXOR(bit(h)))
-    low, high = parity(F.slice("hashes", F.lit(1), F.col("middle") - 1)), parity(F.slice("hashes", F.col("middle") + 1, F.col("size")))
+    lines = plain(docs, "doc_id").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    sets = lines.select("doc_id", "line_no", hashed(F.col("line")).alias("words"))
+    bounds = F.array(*(F.lit(b).cast("long") for b in BOUNDS))
+    sets = sets.select("doc_id", "line_no", "words", F.sort_array(F.concat("words", bounds)).alias("hashes"))
+    places = [F.array_position("hashes", F.lit(b).cast("long")).cast("int").alias(f"end{i}") for i, b in enumerate(BOUNDS)]
+    sets = sets.select("doc_id", "line_no", "words", "hashes", *places, (F.size("hashes") + 1).alias(f"end{len(BOUNDS)}"), F.size("words").alias("size"))
+    low, high = ranges([F.col(f"end{i}") for i in range(len(BOUNDS) + 1)])
     size = F.col("size")
     length = F.when(size >= 4, probe_length(size)).otherwise(0)
     # the numbers come by a subquery, so that they stand in no plan's text; what follows names each of these columns once, so
     # that Spark puts the subquery where it is used and not into rows
-    sets = sets.select("doc_id", "line_no", "hashes", size, low.alias("low"), high.alias("high"), length.alias("length"), counts.scalar().alias("counts"))
-    words = F.array_remove("hashes", F.lit(0).cast("long"))
-    rarest = F.transform(F.slice(F.sort_array(F.transform(words, code_of)), F.lit(1), F.col("length")), lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    first = F.struct("doc_id", "line_no", "size", "low", "high", rarest.alias("rarest"))
-    return sets.select(*keys_of("hashes"), first.alias("first")).groupBy("d1", "d2").agg(F.min("first").alias("first")).select("first.*")
+    sets = sets.select("doc_id", "line_no", "words", "hashes", size, low.alias("low"), high.alias("high"), length.alias("length"), counts.scalar().alias("counts"))
+    # no function with a lambda stands around the sort, or Spark would not compile it
+    codes = F.slice(F.sort_array(F.transform("words", code_of)), F.lit(1), F.col("length"))
+    first = F.struct("doc_id", "line_no", "size", "low", "high", codes.alias("codes"))
+    classes = sets.select(*keys_of("hashes"), first.alias("first")).groupBy("d1", "d2").agg(F.min("first").alias("first")).select("first.*")
+    rarest = F.transform("codes", lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    return classes.select("doc_id", "line_no", "size", "low", "high", rarest.alias("rarest"))
 
 
 def postings(classes: DataFrame, length=None, *more: str) -> DataFrame:
@@ -116,7 +145,7 @@ def earlier(x: str, y: str) -> Column:
 
 
 def close(x: str, y: str) -> Column:
-    """Length, positional and parity filters of two postings of one word."""
+    """Length, positional and range filters of two postings of one word."""
     a, b = F.col(f"{x}size"), F.col(f"{y}size")
     overlap = F.floor((4 * (a + b) + 8) / 9)
     room = F.least(a - F.col(f"{x}pos"), b - F.col(f"{y}pos"))
@@ -129,7 +158,8 @@ def first_pairs(classes: DataFrame) -> DataFrame:
     index = postings(classes, index_length)
     sizes = F.floor(F.log(F.col("size")) / F.log(F.lit(1.25)))
     group = W.partitionBy("word", "sizes").orderBy("doc_id", "line_no").rowsBetween(W.unboundedPreceding, 0)
-    met = index.withColumn("sizes", sizes).select(*(F.col(c).alias(f"y{c}") for c in POSTING), *(F.first(c).over(group).alias(f"x{c}") for c in POSTING))
+    met = index.withColumn("sizes", sizes).select(*(F.col(c).alias(f"y{c}") for c in POSTING), F.first(F.struct(*POSTING)).over(group).alias("x"))
+    met = met.select(*(f"y{c}" for c in POSTING), *(F.col(f"x.{c}").alias(f"x{c}") for c in POSTING))
     return met.where(earlier("x", "y") & close("x", "y")).select(*PAIR)
 
 
@@ -158,7 +188,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, scratch: Scratch, name: str) -> D
     ends = pairs.select(F.col("xdoc_id").alias("doc_id"), F.col("xline_no").alias("line_no")).union(pairs.select("ydoc_id", "yline_no"))
     wanted = ends.groupBy("doc_id").agg(F.collect_set("line_no").alias("wanted"))
     wanted = scratch.write(wanted, f"{name}-wanted")
-    parts = likely(docs, wanted).join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("parts"), "wanted")
+    parts = plain(likely(docs, wanted), "doc_id").join(wanted, "doc_id").select("doc_id", F.split("text", "\n").alias("parts"), "wanted")
     lines = parts.select("doc_id", F.explode(F.transform("wanted", lambda i: F.struct(i.alias("line_no"), F.get("parts", i).alias("line")))).alias("own"))
     sets = scratch.write(lines.select("doc_id", "own.line_no", hashed(F.col("own.line")).alias("h")), f"{name}-sets")
     x = pairs.join(sets.withColumnsRenamed({"doc_id": "xdoc_id", "line_no": "xline_no", "h": "xh"}), ["xdoc_id", "xline_no"])

@@ -359,3 +359,22 @@ def test_codes_of_words_are_sorted_as_plain_numbers(spark):
     codes = rows.select(F.sort_array(F.transform("h", line_dedup.code_of)).alias("codes"))
     assert not codes.schema["codes"].dataType.containsNull
     assert [c >> 56 for c in codes.first().codes] == [3, 3]
+
+
+def test_bits_of_a_set_bound_its_difference_and_no_word_is_folded_by_a_lambda(spark):
+    rng = random.Random(41)
+    pool = [f"w{i}" for i in range(400)]
+    sets = [set(rng.sample(pool, rng.randint(1, 120))) for _ in range(20)]
+    sets += [(s - set(rng.sample(sorted(s), len(s) // 9))) | {f"n{i}"} for i, s in enumerate(sets)]
+    counts = spark.range(1).select(F.array_repeat(F.lit(3).cast("tinyint"), line_dedup.CELLS).alias("counts"))
+    texts = [rng.choice(" \t\r").join(sorted(s)).upper() for s in sets]
+    classes = line_dedup.classes_of(h.docs_of(spark, texts), counts)
+    found = {r.doc_id: r for r in classes.collect()}
+    assert [found[i].size for i in range(len(sets))] == [len(s) for s in sets]
+    differ = lambda x, y: sum(((a ^ b) & (1 << 64) - 1).bit_count() for a, b in ((x.low, y.low), (x.high, y.high)))
+    for i, a in enumerate(sets):
+        for k, b in enumerate(sets[:i]):
+            assert differ(found[i], found[k]) <= len(a ^ b)
+            assert len(a ^ b) < 60 or differ(found[i], found[k]) > 12
+    plan = classes._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and "transform(slice(sort_array" not in plan
