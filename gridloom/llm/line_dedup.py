@@ -113,17 +113,19 @@ def classes_of(docs: DataFrame, counts: DataFrame) -> DataFrame:
     bounds = F.array(*(F.lit(b).cast("long") for b in BOUNDS))
     sets = sets.select("doc_id", "line_no", "words", F.sort_array(F.concat("words", bounds)).alias("hashes"))
     places = [F.array_position("hashes", F.lit(b).cast("long")).cast("int").alias(f"end{i}") for i, b in enumerate(BOUNDS)]
-    sets = sets.select("doc_id", "line_no", "words", "hashes", *places, (F.size("hashes") + 1).alias(f"end{len(BOUNDS)}"), F.size("words").alias("size"))
+    # a lambda over one number: with it Spark projects the places by methods of their own and not within its whole stage, which was slower
+    size = F.get(F.transform(F.array(F.size("words")), lambda n: n), F.lit(0))
+    sets = sets.select("doc_id", "line_no", "words", *places, (F.size("hashes") + 1).alias(f"end{len(BOUNDS)}"), size.alias("size"))
     low, high = ranges([F.col(f"end{i}") for i in range(len(BOUNDS) + 1)])
     size = F.col("size")
     length = F.when(size >= 4, probe_length(size)).otherwise(0)
     # the numbers come by a subquery, so that they stand in no plan's text; what follows names each of these columns once, so
     # that Spark puts the subquery where it is used and not into rows
-    sets = sets.select("doc_id", "line_no", "words", "hashes", size, low.alias("low"), high.alias("high"), length.alias("length"), counts.scalar().alias("counts"))
+    sets = sets.select("doc_id", "line_no", "words", size, low.alias("low"), high.alias("high"), length.alias("length"), counts.scalar().alias("counts"))
     # no function with a lambda stands around the sort, or Spark would not compile it
-    codes = F.slice(F.sort_array(F.transform("words", code_of)), F.lit(1), F.col("length"))
-    first = F.struct("doc_id", "line_no", "size", "low", "high", codes.alias("codes"))
-    classes = sets.select(*keys_of("hashes"), first.alias("first")).groupBy("d1", "d2").agg(F.min("first").alias("first")).select("first.*")
+    sets = sets.select("doc_id", "line_no", "size", "low", "high", "length", F.sort_array(F.transform("words", code_of)).alias("codes"))
+    first = F.struct("doc_id", "line_no", "size", "low", "high", F.slice("codes", F.lit(1), F.col("length")).alias("codes"))
+    classes = sets.select(*keys_of("codes"), first.alias("first")).groupBy("d1", "d2").agg(F.min("first").alias("first")).select("first.*")
     rarest = F.transform("codes", lambda c: c.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     return classes.select("doc_id", "line_no", "size", "low", "high", rarest.alias("rarest"))
 

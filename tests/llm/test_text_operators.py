@@ -378,3 +378,14 @@ def test_bits_of_a_set_bound_its_difference_and_no_word_is_folded_by_a_lambda(sp
             assert len(a ^ b) < 60 or differ(found[i], found[k]) > 12
     plan = classes._jdf.queryExecution().optimizedPlan().toString()
     assert "aggregate(" not in plan and "transform(slice(sort_array" not in plan
+
+
+def test_places_of_bounds_are_not_in_one_method_of_a_whole_stage(spark):
+    counts = spark.range(1).select(F.array_repeat(F.lit(3).cast("tinyint"), line_dedup.CELLS).alias("counts"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = line_dedup.classes_of(h.docs_of(spark, ["a b c d"]), counts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    places = [x for x in plan.splitlines() if "array_position(" in x]
+    assert places and not any("*(" in x for x in places)
